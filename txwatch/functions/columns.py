@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,12 +11,12 @@ MICROS = 1_000_000
 DAY_MICROS = 86_400 * MICROS
 
 
-def wall_micros(ts: Column) -> Column:
+def wall_micros(name: str) -> Column:
     """Microseconds since 1970-01-01 on the wall clock, the same in every session zone."""
-    seconds = (F.unix_date(ts.cast("date")) * 86_400).cast("long")
-    seconds = seconds + F.hour(ts) * 3600 + F.minute(ts) * 60
-    fraction = F.extract(F.lit("SECOND"), ts) * MICROS
-    return seconds * F.lit(MICROS).cast("long") + fraction.cast("long")
+    return F.expr(
+        f"unix_date(cast({name} as date)) * 86400000000L + hour({name}) * 3600000000L "
+        f"+ minute({name}) * 60000000L + cast(extract(second from {name}) * 1000000 as bigint)"
+    )
 
 
 def first_digit(value: Column) -> Column:
@@ -50,13 +48,5 @@ def severity(score: Column, params: Params) -> Column:
     return chain
 
 
-def count_if(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
-def total(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
-
-
 def sorted_distinct(text: Column, separator: str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(text)), separator)

@@ -8,31 +8,36 @@ is cut into time slices.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.params import Params
 
 
-def hot_keys(df: DataFrame, key: str, params: Params) -> DataFrame:
-    """Keys with more than 1/hot_max_keys of the rows: fewer than hot_max_keys, by counting."""
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    everything = sizes.agg(F.sum("_size").alias("_all"))
-    share = F.col("_all") / F.lit(float(params.hot_max_keys))
-    limit = F.greatest(F.lit(float(params.hot_min_rows)), share)
-    return sizes.crossJoin(F.broadcast(everything)).where(F.col("_size") > limit).select(key)
+def hot_keys(df: DataFrame, key: str, params: Params) -> list:
+    """Keys with more than 1/hot_max_keys of the rows: fewer than hot_max_keys, by counting.
+
+    One combinable aggregate over the key column, run when the plan is built.
+    """
+    sizes = df.where(f"{key} is not null").groupBy(key).agg(F.expr("count(*) as _size"))
+    everything = sizes.agg(F.expr("sum(_size) as _all"))
+    limit = f"greatest({params.hot_min_rows}, _all / {float(params.hot_max_keys)})"
+    large = sizes.where(F.col("_size") > params.hot_min_rows).crossJoin(F.broadcast(everything))
+    return [row[0] for row in large.where(f"_size > {limit}").select(key).collect()]
 
 
-def split_hot(df: DataFrame, key: str, params: Params) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows). The broadcast side has fewer than hot_max_keys rows at any volume."""
-    hot = F.broadcast(hot_keys(df, key, params))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+def split_hot(df: DataFrame, key: str, params: Params) -> tuple[DataFrame, DataFrame | None]:
+    """(cold rows, hot rows or None). Rows without a key are in neither."""
+    hot = hot_keys(df, key, params)
+    if not hot:
+        return df.where(f"{key} is not null"), None
+    is_hot = F.col(key).isin(hot)
+    return df.where(~is_hot), df.where(is_hot)
 
 
 def running_sums(df: DataFrame, key: str, at: str, measures: list[str]) -> DataFrame:
     """Replace each measure by its sum over the key's rows up to `at`, simultaneous rows included."""
-    past = Window.partitionBy(key).orderBy(at).rangeBetween(Window.unboundedPreceding, 0)
-    return _sums_over(df, measures, past)
+    return _sums_over(df, measures, key, at)
 
 
 def sliced_running_sums(
@@ -43,28 +48,29 @@ def sliced_running_sums(
     Slice totals are combined before the shuffle and accumulated per key (at most one row per slice
     there). Each total re-enters its slice as a carry row placed on the slice's left edge.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(at) / F.lit(slice_width)))
-    totals = sliced.groupBy(key, "_slice").agg(*[F.sum(m).alias(m) for m in measures])
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     kinds = dict(df.dtypes)
-    carry = totals.select(
+    sliced = df.selectExpr("*", f"floor({at} / {slice_width}) as _slice", "false as _carry")
+    totals = sliced.groupBy(key, "_slice").agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
+    before = f"(partition by {key} order by _slice rows between unbounded preceding and 1 preceding)"
+    carry = totals.selectExpr(
         key,
         "_slice",
-        (F.col("_slice") * F.lit(slice_width)).cast(kinds[at]).alias(at),
-        F.lit(True).alias("_carry"),
-        *[F.sum(m).over(before).cast(kinds[m]).alias(m) for m in measures],
+        f"cast(_slice * {slice_width} as {kinds[at]}) as {at}",
+        "true as _carry",
+        *[f"cast(sum({m}) over {before} as {kinds[m]}) as {m}" for m in measures],
     )
-    rows = sliced.withColumn("_carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)
-    past = Window.partitionBy(key, "_slice").orderBy(at)
-    past = past.rangeBetween(Window.unboundedPreceding, 0)
-    return _sums_over(rows, measures, past).where(~F.col("_carry")).drop("_carry", "_slice")
+    rows = sliced.unionByName(carry, allowMissingColumns=True)
+    summed = _sums_over(rows, measures, f"{key}, _slice", at)
+    return summed.where("not _carry").drop("_carry", "_slice")
 
 
-def _sums_over(df: DataFrame, measures: list[str], frame) -> DataFrame:
-    kinds = dict(df.dtypes)
-    return df.select(
+def _sums_over(df: DataFrame, measures: list[str], keys: str, at: str) -> DataFrame:
+    past = (
+        f"(partition by {keys} order by {at} range between unbounded preceding and current row)"
+    )
+    return df.selectExpr(
         *[
-            F.sum(c).over(frame).cast(kinds[c]).alias(c) if c in measures else F.col(c)
-            for c in df.columns
+            f"cast(sum({c}) over {past} as {kind}) as {c}" if c in measures else c
+            for c, kind in df.dtypes
         ]
     )

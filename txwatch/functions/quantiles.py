@@ -8,11 +8,9 @@ counted, not estimated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.functions.columns import total
-
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY
 _CELLS = 4096
@@ -21,78 +19,76 @@ _CELLS = 4096
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: list[float], keys: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per key and probability: keys, prob, quantil, n. Linear interpolation, nulls ignored.
+    """One row per key and probability: keys, prob, quantil, n. Linear interpolation; nulls and NaN
+    are left out.
 
     The number of distinct keys must be small (a global quantile, or the few hot keys): it is joined
-    back as a broadcast table.
+    back as a broadcast table. `df` is read three times and should be cheap to read.
     """
     keys = list(keys)
+    by_key = f"partition by {', '.join(keys)}" if keys else ""
     probs = sorted(probabilities)
-    known = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    known = known.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    known = df.selectExpr(*keys, f"cast({value} as double) as _v")
+    known = known.where("_v is not null and not isnan(_v)")
 
     edges = [e for p in probs for e in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
+    cuts = ", ".join(f"{e:.6f}D" for e in edges)
     sketch = known.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", edges, _ACCURACY).alias("_cuts"),
+        F.expr("count(*) as n"),
+        F.expr(f"percentile_approx(_v, array({cuts}), {_ACCURACY}) as _cuts"),
     )
-    cut = [F.col("_cuts")[i] for i in range(len(edges))]
+    last = len(edges) - 1
+    band = " + ".join(f"cast(_v > _cuts[{i}] as int)" for i in range(len(edges)))
     placed = (
         _attach(known, sketch, keys)
-        .withColumn("_band", total([(F.col("_v") > c).cast("int") for c in cut]))
-        .withColumn("_low", F.col("_cuts")[F.greatest(F.col("_band") - 1, F.lit(0))])
-        .withColumn("_high", F.col("_cuts")[F.least(F.col("_band"), F.lit(len(edges) - 1))])
-        .withColumn(
-            "_cell",
-            F.when(
-                F.col("_high") > F.col("_low"),
-                F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * _CELLS),
-            ).otherwise(F.lit(0)),
+        .selectExpr("*", f"{band} as _band")
+        .selectExpr(
+            *keys,
+            "_v",
+            "n",
+            "_band",
+            "_cuts[greatest(_band - 1, 0)] as _low",
+            f"_cuts[least(_band, {last})] as _high",
+        )
+        .selectExpr(
+            *keys,
+            "_v",
+            "n",
+            "_band",
+            f"if(_high > _low, floor((_v - _low) / (_high - _low) * {_CELLS}), 0L) as _cell",
         )
-        .select(*keys, "_v", "n", "_band", "_cell")
     )
 
     cell_keys = [*keys, "_band", "_cell"]
-    sizes = placed.groupBy(*cell_keys).agg(
-        F.count(F.lit(1)).alias("_size"), F.first("n").alias("n")
-    )
+    sizes = placed.groupBy(*cell_keys).agg(F.expr("count(*) as _size"), F.expr("first(n) as n"))
     # Cells are bounded per key, so this window is small even without keys.
-    lower = Window.partitionBy(*keys).orderBy("_band", "_cell")
-    lower = lower.rowsBetween(Window.unboundedPreceding, -1)
+    lower = f"({by_key} order by _band, _cell rows between unbounded preceding and 1 preceding)"
     wanted = (
-        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(lower), F.lit(0)))
-        .withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
-        .withColumn("_rank", F.col("prob") * (F.col("n") - 1))
-        .withColumn("_lo", F.floor("_rank"))
-        .withColumn("_hi", F.ceil("_rank"))
+        sizes.selectExpr("*", f"coalesce(sum(_size) over {lower}, 0L) as _before")
+        .selectExpr("*", f"explode(array({', '.join(f'{p!r}D' for p in probs)})) as prob")
+        .selectExpr("*", "prob * (n - 1) as _rank")
+        .selectExpr("*", "floor(_rank) as _lo", "ceil(_rank) as _hi")
+        .where("(_lo >= _before and _lo < _before + _size) "
+               "or (_hi >= _before and _hi < _before + _size)")
     )
-    inside = lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size"))
-    wanted = wanted.where(inside(F.col("_lo")) | inside(F.col("_hi")))
-    targets = wanted.select(*cell_keys, "n", "_before", "prob", "_rank", "_lo", "_hi")
-
-    cells = targets.select(*cell_keys, "_before").distinct()
-    held = placed.join(F.broadcast(cells), cell_keys).groupBy(*cell_keys, "_before", "_v")
-    held = held.agg(F.count(F.lit(1)).alias("_times"))
-    upto = Window.partitionBy(*cell_keys).orderBy("_v")
-    upto = upto.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = held.withColumn("_end", F.col("_before") + F.sum("_times").over(upto)).withColumn(
-        "_start", F.col("_end") - F.col("_times")
+    targets = wanted.select(*cell_keys, "prob", "_rank", "_lo", "_hi")
+    cells = wanted.select(*cell_keys, "_before").distinct()
+    held = placed.join(F.broadcast(cells), cell_keys).groupBy(*cell_keys, "n", "_before", "_v")
+    held = held.agg(F.expr("count(*) as _times"))
+    upto = (
+        f"(partition by {', '.join(cell_keys)} order by _v "
+        "rows between unbounded preceding and current row)"
     )
-    at = lambda r: (r >= F.col("_start")) & (r < F.col("_end"))
-    picked = (
-        ranked.drop("_before")
-        .join(F.broadcast(targets.drop("_before")), cell_keys)
-        .where(at(F.col("_lo")) | at(F.col("_hi")))
+    ranked = held.selectExpr("*", f"_before + sum(_times) over {upto} as _end")
+    return (
+        ranked.join(F.broadcast(targets), cell_keys)
+        .where("(_lo >= _end - _times and _lo < _end) or (_hi >= _end - _times and _hi < _end)")
         .groupBy(*keys, "prob")
         .agg(
-            F.min("_v").alias("_a"),
-            F.max("_v").alias("_b"),
-            F.first(F.col("_rank") - F.col("_lo")).alias("_part"),
-            F.first("n").alias("n"),
+            F.expr("min(_v) + (max(_v) - min(_v)) * first(_rank - _lo) as quantil"),
+            F.expr("first(n) as n"),
         )
     )
-    quantile = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
-    return picked.select(*keys, "prob", quantile.alias("quantil"), "n")
 
 
 def _attach(df: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.functions.columns import count_if, off_hours
+from txwatch.functions.columns import off_hours
 from txwatch.params import Params
 
 PROFILE_COLUMNS = (
@@ -26,8 +26,8 @@ def branch_day(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("qtd_tx"),
         F.sum("valor").alias("valor_total"),
         F.avg("valor").alias("valor_medio"),
-        count_if(F.col("flag_fora_horario")).alias("qtd_fora_horario"),
-        count_if(F.col("flag_valor_alto")).alias("qtd_valor_alto"),
+        F.count_if(F.col("flag_fora_horario")).alias("qtd_fora_horario"),
+        F.count_if(F.col("flag_valor_alto")).alias("qtd_valor_alto"),
     )
 
 
@@ -36,7 +36,7 @@ def operator_day(silver: DataFrame) -> DataFrame:
     return attended.groupBy("operador_id", "agencia_id", "dt").agg(
         F.count(F.lit(1)).alias("qtd_tx"),
         F.sum("valor").alias("valor_total"),
-        count_if(F.col("flag_fora_horario")).alias("qtd_fora_horario"),
+        F.count_if(F.col("flag_fora_horario")).alias("qtd_fora_horario"),
     )
 
 

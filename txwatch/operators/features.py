@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import DAY_MICROS, MICROS, wall_micros
@@ -36,101 +36,98 @@ def member_features(silver: DataFrame, params: Params) -> DataFrame:
     Counts over the last 7 and 30 days, and payees seen so far, are running sums over marks placed on
     the member's time line: +1 when a transaction happens, -1 when it leaves the window, +1 for a
     payee's first use. That is linear in the member's history whatever its length.
+
+    `silver` is read more than once and should be a stored table.
     """
     rows = _prepare(silver)
-    owned = rows.where(F.col(_KEY).isNotNull())
-    orphans = rows.where(F.col(_KEY).isNull())
-    cold, hot = split_hot(owned, _KEY, params)
-    measured = _cold(cold).unionByName(_hot(hot, params)).unionByName(_orphans(orphans))
-    return _finish(measured)
+    cold, hot = split_hot(rows, _KEY, params)
+    measured = _cold(cold)
+    if hot is not None:
+        measured = measured.unionByName(_hot(hot, params))
+    return _finish(measured.unionByName(_orphans(rows.where(f"{_KEY} is null"))))
 
 
 def _prepare(silver: DataFrame) -> DataFrame:
     has = set(silver.columns)
-    since = F.col("dt_adesao") if "dt_adesao" in has else F.lit(None).cast("date")
-    risk = F.col("score_risco") if "score_risco" in has else F.lit(None).cast("double")
-    age = F.datediff(F.to_date("dt_transacao"), since)
+    since = "dt_adesao" if "dt_adesao" in has else "cast(null as date)"
+    risk = "score_risco" if "score_risco" in has else "cast(null as double)"
     return silver.select(
         _KEY,
         "transacao_id",
         "conta_destino",
-        wall_micros(F.col("dt_transacao")).alias("_t"),
-        F.col("valor").cast("double").alias("valor"),
-        F.hour("dt_transacao").alias("hora"),
-        F.weekday("dt_transacao").alias("dia_semana"),
-        F.greatest(F.coalesce(age, F.lit(0)), F.lit(0)).alias("idade"),
-        F.coalesce(risk, F.lit(0.3)).alias("risco"),
-        F.col("geo_lat").alias("lat"),
-        F.col("geo_lon").alias("lon"),
+        wall_micros("dt_transacao").alias("_t"),
+        F.expr("cast(valor as double) as valor"),
+        F.expr("hour(dt_transacao) as hora"),
+        F.expr("weekday(dt_transacao) as dia_semana"),
+        F.expr(f"greatest(coalesce(datediff(to_date(dt_transacao), {since}), 0), 0) as idade"),
+        F.expr(f"coalesce({risk}, 0.3D) as risco"),
+        F.expr("geo_lat as lat"),
+        F.expr("geo_lon as lon"),
     )
 
 
-def _marks(rows: DataFrame, new_payee: Column) -> DataFrame:
+def _marks(rows: DataFrame, new_payee: str) -> DataFrame:
     """Three marks per transaction; only the first one keeps the transaction's own columns."""
-
-    def mark(delay_days: int, now: bool, week: int, month: int, payee: Column) -> Column:
-        return F.struct(
-            (F.col("_t") + F.lit(delay_days * DAY_MICROS)).alias("t"),
-            F.lit(now).alias("now"),
-            F.lit(week).cast("long").alias("week"),
-            F.lit(month).cast("long").alias("month"),
-            payee.cast("long").alias("payee"),
-        )
-
-    marks = F.array(
-        mark(0, True, 1, 1, new_payee),
-        mark(7, False, -1, 0, F.lit(0)),
-        mark(30, False, 0, -1, F.lit(0)),
+    week, month = 7 * DAY_MICROS, 30 * DAY_MICROS
+    marks = (
+        f"explode(array(struct(_t as t, true as now, 1L as week, 1L as month, {new_payee} as payee), "
+        f"struct(_t + {week} as t, false as now, -1L as week, 0L as month, 0L as payee), "
+        f"struct(_t + {month} as t, false as now, 0L as week, -1L as month, 0L as payee))) as _m"
     )
-    now = F.col("_mark.now")
-    kept = [c for c in (*_PAYLOAD, *_STATS) if c in rows.columns]
-    return rows.withColumn("_mark", F.explode(marks)).select(
+    return rows.selectExpr(_KEY, *_PAYLOAD, *_STATS, marks).selectExpr(
         _KEY,
-        F.col("_mark.t").alias("_t"),
-        now.alias("_now"),
-        *[F.when(now, F.col(c)).alias(c) for c in kept],
-        F.col("_mark.week").alias("freq_7d"),
-        F.col("_mark.month").alias("freq_30d"),
-        F.col("_mark.payee").alias("destinos_unicos_30d"),
+        "_m.t as _t",
+        "_m.now as _now",
+        *[f"if(_m.now, {c}, null) as {c}" for c in (*_PAYLOAD, *_STATS)],
+        "_m.week as freq_7d",
+        "_m.month as freq_30d",
+        "_m.payee as destinos_unicos_30d",
     )
 
 
 def _cold(rows: DataFrame) -> DataFrame:
     """One shuffle by member; every window below reuses it. Medians are picked by rank, so that a
     member's rows are sorted (and spilled if need be) rather than held in a buffer."""
-    member = Window.partitionBy(_KEY)
-    first_use = Window.partitionBy(_KEY, "conta_destino").orderBy("_t", "transacao_id")
-    rows = (
-        rows.repartition(_KEY)
-        .withColumn("ticket", F.avg("valor").over(member))
-        .withColumn("_use", F.row_number().over(first_use))
+    member = f"partition by {_KEY}"
+    ranked = rows.repartition(_KEY).selectExpr(
+        "*",
+        f"avg(valor) over ({member}) as ticket",
+        f"row_number() over ({member}, conta_destino order by _t, transacao_id) as _use",
+        f"row_number() over ({member} order by lat asc nulls last) as _rank_lat",
+        f"row_number() over ({member} order by lon asc nulls last) as _rank_lon",
+        f"count(lat) over ({member}) as _n_lat",
+        f"count(lon) over ({member}) as _n_lon",
+    )
+    medians = [
+        f"avg(if(2 * _rank_{a} between _n_{a} and _n_{a} + 2, {a}, null)) over ({member}) "
+        f"as {a}_mediana"
+        for a in ("lat", "lon")
+    ]
+    marks = _marks(
+        ranked.selectExpr("*", *medians),
+        "cast(conta_destino is not null and _use = 1 as bigint)",
     )
-    for axis in ("lat", "lon"):
-        rank = member.orderBy(F.col(axis).asc_nulls_last())
-        rows = rows.withColumn("_rank", F.row_number().over(rank)).withColumn(
-            "_known", F.count(axis).over(member)
-        )
-        middle = (F.col("_rank") * 2 >= F.col("_known")) & (F.col("_rank") * 2 <= F.col("_known") + 2)
-        rows = rows.withColumn(f"{axis}_mediana", F.avg(F.when(middle, F.col(axis))).over(member))
-    new_payee = F.col("conta_destino").isNotNull() & (F.col("_use") == 1)
-    marks = _marks(rows, new_payee)
     return running_sums(marks, _KEY, "_t", _COUNTS).where("_now").drop("_t", "_now")
 
 
 def _hot(rows: DataFrame, params: Params) -> DataFrame:
     """Hot members: statistics by combinable aggregates, time line cut into slices."""
-    stats = rows.groupBy(_KEY).agg(F.avg("valor").alias("ticket"))
+    stats = rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket"))
     for axis in ("lat", "lon"):
         median = exact_quantiles(rows, axis, [0.5], (_KEY,))
-        stats = stats.join(median.select(_KEY, F.col("quantil").alias(f"{axis}_mediana")), _KEY, "left")
+        stats = stats.join(median.selectExpr(_KEY, f"quantil as {axis}_mediana"), _KEY, "left")
     # One row per hot member, hence fewer than hot_max_keys rows.
     known = rows.join(F.broadcast(stats), _KEY)
-    first = rows.where(F.col("conta_destino").isNotNull()).groupBy(_KEY, "conta_destino")
-    first = first.agg(F.min("_t").alias("_t")).select(
-        _KEY, "_t", F.lit(False).alias("_now"), F.lit(1).cast("long").alias("destinos_unicos_30d")
+    first = rows.where("conta_destino is not null").groupBy(_KEY, "conta_destino")
+    first = first.agg(F.expr("min(_t) as _t")).selectExpr(
+        _KEY,
+        "_t",
+        "false as _now",
+        "0L as freq_7d",
+        "0L as freq_30d",
+        "1L as destinos_unicos_30d",
     )
-    first = first.withColumns({c: F.lit(0).cast("long") for c in ("freq_7d", "freq_30d")})
-    marks = _marks(known, F.lit(0)).unionByName(first, allowMissingColumns=True)
+    marks = _marks(known, "0L").unionByName(first, allowMissingColumns=True)
     width = params.hot_slice_seconds * MICROS
     summed = sliced_running_sums(marks, _KEY, "_t", _COUNTS, width)
     return summed.where("_now").drop("_t", "_now")
@@ -138,38 +135,29 @@ def _hot(rows: DataFrame, params: Params) -> DataFrame:
 
 def _orphans(rows: DataFrame) -> DataFrame:
     """Rows without a member have no history; they need no shuffle."""
-    return rows.select(
+    return rows.selectExpr(
         _KEY,
         *_PAYLOAD,
-        *[F.lit(None).cast("double").alias(c) for c in _STATS],
-        *[F.lit(0).cast("long").alias(c) for c in _COUNTS],
+        *[f"cast(null as double) as {c}" for c in _STATS],
+        *[f"0L as {c}" for c in _COUNTS],
     )
 
 
 def _finish(rows: DataFrame) -> DataFrame:
-    ratio = F.when(F.col("ticket") != 0, F.col("valor") / F.col("ticket"))
-    east = F.col("lon") - F.col("lon_mediana")
-    north = F.col("lat") - F.col("lat_mediana")
     # A missing coordinate stands for the member's own median.
-    north = F.when(F.col("lat_mediana").isNotNull(), F.coalesce(north, F.lit(0.0)))
-    east = F.when(F.col("lon_mediana").isNotNull(), F.coalesce(east, F.lit(0.0)))
+    north = "if(lat_mediana is null, null, coalesce(lat - lat_mediana, 0.0D))"
+    east = "if(lon_mediana is null, null, coalesce(lon - lon_mediana, 0.0D))"
     features = {
-        "valor": F.col("valor"),
-        "log_valor": F.log1p(F.greatest(F.col("valor"), F.lit(0.01))),
-        "hora": F.col("hora"),
-        "dia_semana": F.col("dia_semana"),
-        "freq_7d": F.col("freq_7d"),
-        "freq_30d": F.col("freq_30d"),
-        "destinos_unicos_30d": F.col("destinos_unicos_30d"),
-        "idade_conta_dias": F.col("idade"),
-        "score_risco_assoc": F.col("risco"),
-        "ratio_valor_ticket_medio": F.coalesce(ratio, F.lit(1.0)),
-        "distancia_geo_padrao": F.sqrt(north * north + east * east),
+        "log_valor": "log1p(greatest(valor, 0.01D))",
+        "idade_conta_dias": "idade",
+        "score_risco_assoc": "risco",
+        "ratio_valor_ticket_medio": "coalesce(try_divide(valor, ticket), 1.0D)",
+        "distancia_geo_padrao": f"sqrt(pow({north}, 2) + pow({east}, 2))",
     }
-    return rows.select(
+    return rows.selectExpr(
         "transacao_id",
         *[
-            F.coalesce(features[name].cast("double"), F.lit(0.0)).alias(name)
+            f"coalesce(cast({features.get(name, name)} as double), 0.0D) as {name}"
             for name in FEATURE_COLUMNS
         ],
     )

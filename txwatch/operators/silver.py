@@ -12,7 +12,7 @@ _ORDER_FIRST = "dt_ingestao"
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Usable rows, one per transacao_id: the first one ingested, ties by the remaining columns.
+    """Usable rows, one per transacao_id: the first one ingested, ties by a hash of the rest.
 
     The row_number() = 1 filter becomes a group limit that already runs before the shuffle, so any
     number of copies of one id shrinks to one row per map task.
@@ -21,10 +21,10 @@ def clean(raw: DataFrame) -> DataFrame:
         F.col("transacao_id").isNotNull() & (F.col("valor") > 0) & F.col("dt_transacao").isNotNull()
     )
     others = [c for c in raw.columns if c not in ("transacao_id", _ORDER_FIRST)]
-    order = [c for c in (_ORDER_FIRST, *others) if c in raw.columns]
-    copies = Window.partitionBy("transacao_id").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    order = [F.col(_ORDER_FIRST).asc_nulls_last()] if _ORDER_FIRST in raw.columns else []
+    copies = Window.partitionBy("transacao_id").orderBy(*order, F.xxhash64(*others))
     numbered = usable.withColumn("_copy", F.row_number().over(copies))
-    return numbered.where(F.col("_copy") == 1).drop("_copy")
+    return numbered.where("_copy = 1").drop("_copy")
 
 
 def derive(tx: DataFrame) -> DataFrame:

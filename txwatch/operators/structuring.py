@@ -30,45 +30,45 @@ def structuring_windows(tx: DataFrame, params: Params) -> DataFrame:
     cold, hot = split_hot(small, "associado_id", params)
 
     sums = ["qtd_janela", "soma_janela"]
-    width = params.hot_slice_seconds * MICROS
     # Cold members are shuffled once, by member; the steps after it keep that layout.
     by_member = cold.repartition("associado_id")
-    rolled = running_sums(_marks(by_member, params), "associado_id", "_t", sums).unionByName(
-        sliced_running_sums(_marks(hot, params), "associado_id", "_t", sums, width)
-    )
-    suspicious = (F.col("soma_janela") > F.lit(params.structuring_limit).cast(_SUM)) & (
-        F.col("qtd_janela") >= params.structuring_min_tx
-    )
-    return rolled.where(F.col("dt_transacao").isNotNull()).select(
+    rolled = running_sums(_marks(by_member, params), "associado_id", "_t", sums)
+    if hot is not None:
+        width = params.hot_slice_seconds * MICROS
+        sliced = sliced_running_sums(_marks(hot, params), "associado_id", "_t", sums, width)
+        rolled = rolled.unionByName(sliced)
+    return rolled.where("dt_transacao is not null").selectExpr(
         "associado_id",
         "dt_transacao",
         "qtd",
         "soma",
         "qtd_janela",
         "soma_janela",
-        suspicious.alias("suspeita"),
+        f"soma_janela > cast({params.structuring_limit!r}D as {_SUM}) "
+        f"and qtd_janela >= {params.structuring_min_tx} as suspeita",
     )
 
 
 def _marks(small: DataFrame, params: Params) -> DataFrame:
     """Entry and exit of every instant; only entries keep dt_transacao."""
     instants = small.groupBy("associado_id", "dt_transacao").agg(
-        F.count(F.lit(1)).alias("qtd"),
-        F.sum(F.col("valor").cast(_MONEY)).cast(_SUM).alias("soma"),
+        F.expr("count(*) as qtd"),
+        F.expr(f"cast(sum(cast(valor as {_MONEY})) as {_SUM}) as soma"),
+    )
+    stay = params.structuring_hours * 3600 * MICROS
+    both = F.expr(
+        "explode(array(struct(_t as t, true as enters), "
+        f"struct(_t + {stay} as t, false as enters))) as _mark"
     )
-    at = wall_micros(F.col("dt_transacao"))
-    leave = at + F.lit(params.structuring_hours * 3600 * MICROS)
-    enter = F.struct(at.alias("t"), F.lit(True).alias("enters"))
-    both = F.array(enter, F.struct(leave.alias("t"), F.lit(False).alias("enters")))
-    enters = F.col("_mark.enters")
-    return instants.withColumn("_mark", F.explode(both)).select(
+    timed = instants.select("*", wall_micros("dt_transacao").alias("_t"))
+    return timed.select("associado_id", "dt_transacao", "qtd", "soma", both).selectExpr(
         "associado_id",
-        F.col("_mark.t").alias("_t"),
-        F.when(enters, F.col("dt_transacao")).alias("dt_transacao"),
+        "_mark.t as _t",
+        "if(_mark.enters, dt_transacao, null) as dt_transacao",
         "qtd",
         "soma",
-        F.when(enters, F.col("qtd")).otherwise(-F.col("qtd")).alias("qtd_janela"),
-        F.when(enters, F.col("soma")).otherwise(-F.col("soma")).cast(_SUM).alias("soma_janela"),
+        "if(_mark.enters, qtd, -qtd) as qtd_janela",
+        f"cast(if(_mark.enters, soma, -soma) as {_SUM}) as soma_janela",
     )
 
 

@@ -40,19 +40,18 @@ def catalogue() -> dict[str, Query]:
 def _comparable(df: DataFrame) -> DataFrame:
     """Portable column types: doubles at 6 places, integers as long, dates and times as text."""
 
-    def plain(name: str, kind: str):
-        column = F.col(name)
+    def plain(name: str, kind: str) -> str:
         if kind == "double" or kind.startswith("decimal"):
-            return F.round(column.cast("double"), 6).alias(name)
+            return f"round(cast({name} as double), 6) as {name}"
         if kind in ("int", "smallint", "tinyint"):
-            return column.cast("long").alias(name)
+            return f"cast({name} as bigint) as {name}"
         if kind == "date":
-            return column.cast("string").alias(name)
+            return f"cast({name} as string) as {name}"
         if kind.startswith("timestamp"):
-            return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
-        return column
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as {name}"
+        return name
 
-    return df.select(*[plain(n, k) for n, k in df.dtypes])
+    return df.selectExpr(*[plain(n, k) for n, k in df.dtypes])
 
 
 def _query(build: Query) -> Query:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.functions.columns import count_if
 from txwatch.functions.quantiles import exact_quantiles
 
 
@@ -14,11 +13,11 @@ def kpi_summary(alerts: DataFrame, as_of: str) -> DataFrame:
     days = F.datediff(F.lit(as_of).cast("date"), F.to_date("dt_alerta"))
     status = F.col("status")
     return alerts.agg(
-        count_if(status == "ABERTO").alias("alertas_abertos"),
-        count_if(F.col("severidade") == "CRITICA").alias("alertas_criticos"),
+        F.count_if(status == "ABERTO").alias("alertas_abertos"),
+        F.count_if(F.col("severidade") == "CRITICA").alias("alertas_criticos"),
         F.avg("score").alias("score_medio"),
         F.try_divide(
-            count_if(status == "FALSO_POSITIVO"), count_if(status.isNotNull() & (status != ""))
+            F.count_if(status == "FALSO_POSITIVO"), F.count_if(status.isNotNull() & (status != ""))
         ).alias("pct_falso_positivo"),
         F.avg(F.when(status != "ABERTO", days)).alias("dias_tratamento"),
     )
@@ -109,7 +108,7 @@ def fp_rate_by_rule(alerts: DataFrame) -> DataFrame:
     """False positives over judged alerts, for every rule an alert names."""
     judged = alerts.where(F.col("status").isin("CONFIRMADO", "FALSO_POSITIVO"))
     per_rule = judged.select(F.explode(F.split("regra_id", "[|]")).alias("regra"), "status")
-    false = count_if(F.col("status") == "FALSO_POSITIVO")
+    false = F.count_if(F.col("status") == "FALSO_POSITIVO")
     return per_rule.groupBy("regra").agg(
         F.count(F.lit(1)).alias("julgados"),
         false.alias("falsos"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.functions.columns import count_if
 from txwatch.functions.quantiles import exact_quantiles
 
 _FLOOR = 1e-4
@@ -53,7 +52,7 @@ def precision_at_k(scored: DataFrame, k: int) -> DataFrame:
     """Share of labelled frauds among the k best scores. `scored` has transacao_id, score and
     fraude_label."""
     best = scored.orderBy(F.desc_nulls_last("score"), "transacao_id").limit(k)
-    hits = count_if(F.coalesce("fraude_label", F.lit(False)))
+    hits = F.count_if(F.coalesce("fraude_label", F.lit(False)))
     return best.agg(
         F.count(F.lit(1)).alias("k"),
         hits.alias("acertos"),
@@ -64,7 +63,7 @@ def precision_at_k(scored: DataFrame, k: int) -> DataFrame:
 def recall_by_type(scored: DataFrame, cut: float) -> DataFrame:
     """Share of each fraud type whose score reaches `cut`."""
     frauds = scored.where(F.col("fraude_label"))
-    found = count_if(F.col("score") >= cut)
+    found = F.count_if(F.col("score") >= cut)
     return frauds.groupBy("fraude_tipo").agg(
         F.count(F.lit(1)).alias("fraudes"),
         found.alias("detectadas"),

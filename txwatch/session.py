@@ -17,6 +17,8 @@ def build_session(app_name: str = "txwatch", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call-site capture for every column expression makes building large plans slow.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwatch.operators.silver import calendar
@@ -18,62 +18,70 @@ TYPES = {
 }
 CHANNELS = ("APP", "INTERNET_BANKING", "ATM", "AGENCIA", "API")
 
+# The rules named by the alert of each event type.
+ALERT_RULES = {
+    "click": "D2_EWMA|M1_ISOLATION_FOREST",
+    "view": "D1_CUSUM",
+    "purchase": "D5_FRACIONAMENTO",
+    "signup": "D3_3SIGMA_HORA",
+    "error": "D4_BENFORD|M2_AUTOENCODER",
+}
+
 
 def sample_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _code(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def _code(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(cast({number} as string), {width}, '0'))"
 
 
-def _named(value: Column, names: dict) -> Column:
-    chain = F.lit(None).cast("string")
-    for key, name in names.items():
-        chain = F.when(value == key, F.lit(name)).otherwise(chain)
-    return chain
+def _named(value: str, names: dict[str, str]) -> str:
+    arms = " ".join(f"when '{key}' then '{name}'" for key, name in names.items())
+    return f"case {value} {arms} end"
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """One transaction per event, without defects."""
-    event, user = F.col("event_id"), F.col("user_id")
-    slot = F.get_json_object("props", "$.k").cast("int") % 5
-    digital = F.col("canal").isin("APP", "INTERNET_BANKING", "API")
-    payable = F.col("tipo").isin("PIX_OUT", "TED")
-    far = event % 997 == 0
-    spread = lambda step, middle: F.lit(middle) + ((event * step) % 1000 - 500) / F.lit(500.0)
-    geo = lambda step, middle, off: F.when(
-        digital, F.when(far, F.lit(off)).otherwise(spread(step, middle))
-    )
-    mapped = (
-        sample_table(spark, folder, "events")
-        .withColumn("tipo", _named(F.col("event_type"), TYPES))
-        .withColumn("canal", _named(slot, dict(enumerate(CHANNELS))))
-        .withColumn("valor", F.col("value") * 250.0)
+    channels = ", ".join(f"'{c}'" for c in CHANNELS)
+    mapped = sample_table(spark, folder, "events").selectExpr(
+        "event_id",
+        "user_id",
+        "ts",
+        f"{_named('event_type', TYPES)} as tipo",
+        f"element_at(array({channels}), 1 + cast(get_json_object(props, '$.k') as int) % 5) as canal",
+        "value * 250.0D as valor",
     )
-    kind = F.when(digital & far, F.lit("F4_GEO_OUTLIER")).when(
-        F.col("valor") > 75_000, F.lit("F3_BENFORD_VIOLATION")
+    typed = mapped.selectExpr(
+        "*",
+        "canal in ('APP', 'INTERNET_BANKING', 'API') as digital",
+        "event_id % 997 = 0 as far",
     )
-    address = F.concat_ws(
-        ".", F.lit("10.0"), (event % 254).cast("string"), (user % 254).cast("string")
+    marked = typed.selectExpr(
+        "*",
+        "case when digital and far then 'F4_GEO_OUTLIER' "
+        "when valor > 75000 then 'F3_BENFORD_VIOLATION' end as fraude_tipo",
     )
-    return mapped.select(
-        F.concat(F.lit("T"), event.cast("string")).alias("transacao_id"),
+    return marked.selectExpr(
+        "concat('T', event_id) as transacao_id",
         "tipo",
         "valor",
-        F.col("ts").alias("dt_transacao"),
-        _code("CT", user, 10).alias("conta_origem"),
-        F.when(payable, _code("CT", (event * 7919) % 200, 10)).alias("conta_destino"),
-        _code("AS", user, 7).alias("associado_id"),
-        _code("AG", user % 27, 4).alias("agencia_id"),
-        F.when(~digital, _code("OP", event % 40, 5)).alias("operador_id"),
+        "ts as dt_transacao",
+        f"{_code('CT', 'user_id', 10)} as conta_origem",
+        f"case when tipo in ('PIX_OUT', 'TED') then {_code('CT', '(event_id * 7919) % 200', 10)} end "
+        "as conta_destino",
+        f"{_code('AS', 'user_id', 7)} as associado_id",
+        f"{_code('AG', 'user_id % 27', 4)} as agencia_id",
+        f"case when not digital then {_code('OP', 'event_id % 40', 5)} end as operador_id",
         "canal",
-        F.when(digital, address).alias("ip_origem"),
-        geo(31, -16.6, 35.6).alias("geo_lat"),
-        geo(37, -49.3, 139.6).alias("geo_lon"),
-        (F.col("ts") + F.expr("interval 1 hour")).alias("dt_ingestao"),
-        kind.isNotNull().alias("fraude_label"),
-        kind.alias("fraude_tipo"),
+        "case when digital then concat('10.0.', event_id % 254, '.', user_id % 254) end as ip_origem",
+        "case when digital then if(far, 35.6D, "
+        "-16.6D + ((event_id * 31) % 1000 - 500) / 500.0D) end as geo_lat",
+        "case when digital then if(far, 139.6D, "
+        "-49.3D + ((event_id * 37) % 1000 - 500) / 500.0D) end as geo_lon",
+        "ts + interval 1 hour as dt_ingestao",
+        "fraude_tipo is not null as fraude_label",
+        "fraude_tipo",
     )
 
 
@@ -81,52 +89,58 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     """The transactions plus defects for cleaning: deposits delivered twice, zero amounts for
     withdrawals, and ids lost by counter payments."""
     tx = transactions(spark, folder)
-    twice = tx.where(F.col("tipo") == "DEPOSITO")
-    zero = tx.where(F.col("tipo") == "SAQUE").withColumns(
-        {"transacao_id": F.concat(F.lit("Z"), "transacao_id"), "valor": F.lit(0.0)}
-    )
-    lost = tx.where((F.col("tipo") == "TED") & (F.col("canal") == "AGENCIA")).withColumn(
-        "transacao_id", F.lit(None).cast("string")
-    )
-    return tx.unionByName(twice).unionByName(zero).unionByName(lost)
+    columns = tx.columns
+    twice = tx.where("tipo = 'DEPOSITO'")
+    spoilt = {"transacao_id": "concat('Z', transacao_id) as transacao_id", "valor": "0.0D as valor"}
+    zero = tx.where("tipo = 'SAQUE'").selectExpr(*[spoilt.get(c, c) for c in columns])
+    nameless = {"transacao_id": "cast(null as string) as transacao_id"}
+    lost = tx.where("tipo = 'TED' and canal = 'AGENCIA'")
+    lost = lost.selectExpr(*[nameless.get(c, c) for c in columns])
+    return tx.union(twice).union(zero).union(lost)
 
 
 def dim_member(spark: SparkSession, folder: str) -> DataFrame:
     """Customers in credit; members without a row exercise the outer join."""
     customer, nation = (sample_table(spark, folder, t) for t in ("customer", "nation"))
-    key = F.col("c_custkey")
-    risk = F.least(F.greatest((10_000 - F.col("c_acctbal")) / 11_000, F.lit(0.0)), F.lit(1.0))
-    joined = customer.where(F.col("c_acctbal") >= 0).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    joined = customer.where("c_acctbal >= 0").join(
+        nation, F.expr("c_nationkey = n_nationkey"), "left"
     )
-    return joined.select(
-        _code("AS", key, 7).alias("associado_id"),
-        F.col("c_mktsegment").alias("segmento"),
-        F.date_sub(F.lit("2024-01-01").cast("date"), ((key * 37) % 7300).cast("int")).alias(
-            "dt_adesao"
-        ),
-        F.when(key % 11 != 0, risk).alias("score_risco"),
-        F.col("n_name").alias("uf_residencia"),
+    return joined.selectExpr(
+        f"{_code('AS', 'c_custkey', 7)} as associado_id",
+        "c_mktsegment as segmento",
+        "date_sub(date'2024-01-01', cast((c_custkey * 37) % 7300 as int)) as dt_adesao",
+        "case when c_custkey % 11 <> 0 then "
+        "least(greatest((10000 - c_acctbal) / 11000, 0.0D), 1.0D) end as score_risco",
+        "n_name as uf_residencia",
     )
 
 
 def dim_branch(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = (sample_table(spark, folder, t) for t in ("nation", "region"))
-    size = _named(F.col("n_nationkey") % 3, {0: "PEQUENO", 1: "MEDIO", 2: "GRANDE"})
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select(
-        _code("AG", F.col("n_nationkey"), 4).alias("agencia_id"),
-        F.col("n_name").alias("municipio"),
-        F.col("r_name").alias("uf"),
-        F.lit("C").alias("central"),
-        size.alias("porte"),
-        F.lit(None).cast("string").alias("endereco"),
+    joined = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+    return joined.selectExpr(
+        f"{_code('AG', 'n_nationkey', 4)} as agencia_id",
+        "n_name as municipio",
+        "r_name as uf",
+        "'C' as central",
+        "element_at(array('PEQUENO', 'MEDIO', 'GRANDE'), 1 + n_nationkey % 3) as porte",
+        "cast(null as string) as endereco",
+    )
+
+
+def dim_operator(spark: SparkSession, folder: str) -> DataFrame:
+    """The operators seen in the events."""
+    seen = transactions(spark, folder).where("operador_id is not null")
+    return seen.select("operador_id").distinct().selectExpr(
+        "operador_id",
+        "element_at(array('CAIXA', 'GERENTE', 'AUDITOR', 'SUPORTE'), "
+        "1 + cast(substring(operador_id, 3) as int) % 4) as funcao",
+        f"{_code('AG', 'cast(substring(operador_id, 3) as int) % 25', 4)} as agencia_lotacao",
     )
 
 
 def dim_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    days = sample_table(spark, folder, "events").select(F.to_date("ts").alias("dt"))
-    return calendar(days)
+    return calendar(sample_table(spark, folder, "events").selectExpr("to_date(ts) as dt"))
 
 
 def dimensions(spark: SparkSession, folder: str) -> Dimensions:
@@ -137,41 +151,24 @@ def dimensions(spark: SparkSession, folder: str) -> Dimensions:
 
 def labelled_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """One alert with an auditor status per event."""
-    rules = {
-        "click": "D2_EWMA|M1_ISOLATION_FOREST",
-        "view": "D1_CUSUM",
-        "purchase": "D5_FRACIONAMENTO",
-        "signup": "D3_3SIGMA_HORA",
-        "error": "D4_BENFORD|M2_AUTOENCODER",
-    }
-    kind = F.col("event_type")
-    slot = F.get_json_object("props", "$.k").cast("int") % 4
-    status = (
-        F.when(F.col("value") > 60, F.lit("CONFIRMADO"))
-        .when(slot == 0, F.lit("ABERTO"))
-        .when(slot == 1, F.lit("EM_ANALISE"))
-        .otherwise(F.lit("FALSO_POSITIVO"))
+    scored = sample_table(spark, folder, "events").selectExpr(
+        "*",
+        "least(1.0D, value / 150.0D) as score",
+        "cast(get_json_object(props, '$.k') as int) % 4 as slot",
     )
-    family = F.when(kind == "purchase", F.lit("PLD")).when(
-        kind == "signup", F.lit("CONTROLE_INTERNO")
-    )
-    score = F.least(F.lit(1.0), F.col("value") / 150.0)
-    band = (
-        F.when(score < 0.7, F.lit("BAIXA"))
-        .when(score < 0.85, F.lit("MEDIA"))
-        .when(score < 0.95, F.lit("ALTA"))
-        .otherwise(F.lit("CRITICA"))
-    )
-    return sample_table(spark, folder, "events").select(
-        F.concat(F.lit("A"), F.col("event_id").cast("string")).alias("alerta_id"),
-        F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("transacao_id"),
-        F.col("ts").alias("dt_alerta"),
-        _named(kind, rules).alias("regra_id"),
-        family.otherwise(F.lit("FRAUDE")).alias("familia"),
-        band.alias("severidade"),
-        score.alias("score"),
-        F.concat(F.lit("Regra "), kind).alias("motivo"),
-        status.alias("status"),
+    return scored.selectExpr(
+        "concat('A', event_id) as alerta_id",
+        "concat('T', event_id) as transacao_id",
+        "ts as dt_alerta",
+        f"{_named('event_type', ALERT_RULES)} as regra_id",
+        "case event_type when 'purchase' then 'PLD' when 'signup' then 'CONTROLE_INTERNO' "
+        "else 'FRAUDE' end as familia",
+        "case when score < 0.7D then 'BAIXA' when score < 0.85D then 'MEDIA' "
+        "when score < 0.95D then 'ALTA' else 'CRITICA' end as severidade",
+        "score",
+        "concat('Regra ', event_type) as motivo",
+        "case when value > 60 then 'CONFIRMADO' when slot = 0 then 'ABERTO' "
+        "when slot = 1 then 'EM_ANALISE' else 'FALSO_POSITIVO' end as status",
     )
 
 
@@ -185,13 +182,9 @@ def labelled_scores(spark: SparkSession, folder: str) -> DataFrame:
         "D5_FRACIONAMENTO": 17,
         "M2_AUTOENCODER": 23,
     }
-    event = F.col("event_id")
-    cells = [
-        F.struct(F.lit(rule).alias("regra_id"), ((event * p) % 100 / 100.0).alias("score"))
-        for rule, p in spread.items()
-    ]
-    own = F.least(F.lit(1.0), F.col("value") / 150.0)
-    cells.append(F.struct(F.lit("M1_ISOLATION_FOREST").alias("regra_id"), own.alias("score")))
-    alert = F.concat(F.lit("A"), event.cast("string")).alias("alerta_id")
-    rows = sample_table(spark, folder, "events").select(alert, F.explode(F.array(*cells)).alias("_c"))
-    return rows.select("alerta_id", "_c.regra_id", "_c.score")
+    cells = [f"'{rule}', (event_id * {p}) % 100 / 100.0D" for rule, p in spread.items()]
+    cells.append("'M1_ISOLATION_FOREST', least(1.0D, value / 150.0D)")
+    return sample_table(spark, folder, "events").selectExpr(
+        "concat('A', event_id) as alerta_id",
+        f"stack({len(cells)}, {', '.join(cells)}) as (regra_id, score)",
+    )
