@@ -21,7 +21,7 @@ def wall_micros(name: str) -> Column:
 
 def first_digit(value: Column) -> Column:
     """First significant digit, read off the decimal text; null where there is none."""
-    digits = F.regexp_replace(value.cast("string"), "[^1-9]", "")
+    digits = F.ltrim(value.cast("string"), F.lit("-0."))
     return F.substring(digits, 1, 1).try_cast("int")
 
 

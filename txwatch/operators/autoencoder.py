@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from txwatch.functions.quantiles import exact_quantiles
 from txwatch.operators.facts import PROFILE_COLUMNS
+from txwatch.session import materialise
 
 # Layer widths between input and output.
 HIDDEN = (16, 8, 16)
@@ -139,7 +140,7 @@ def train_autoencoder(
 
     weights = state[: len(flat)]
     fitted = AutoencoderModel(weights, mean, deviation, float("nan"), history)
-    held = reconstruction_error(profile.where(part == 0), fitted)
+    held = materialise(reconstruction_error(profile.where(part == 0), fitted), "held-errors")
     rows = exact_quantiles(held, "erro", [0.99]).collect()
     threshold = rows[0]["quantil"] if rows else float("inf")
     return AutoencoderModel(weights, mean, deviation, float(threshold), history)

@@ -52,18 +52,19 @@ def train_calibrator(
     sorted. The regularisation is stated per row in MLlib, hence 1 / (C x rows). `labelled` is read
     several times and should be a stored table.
     """
-    lot = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    known = labelled.fillna(0.0, list(SCORE_COLUMNS)).withColumn("_lot", lot)
-    cuts = known.groupBy("confirmado").agg(
-        F.percentile_approx("_lot", 0.25, 10_000).alias("_cut"), F.count(F.lit(1)).alias("_n")
+    known = labelled.fillna(0.0, list(SCORE_COLUMNS)).withColumn(
+        "_lot", F.xxhash64(F.col(key).cast("string"), F.lit(seed))
     )
-    sizes = cuts.collect()
-    rows = sum(r["_n"] for r in sizes)
+    classes = known.groupBy("confirmado").agg(
+        F.percentile_approx("_lot", 0.25, 10_000).alias("cut"), F.count(F.lit(1)).alias("n")
+    )
+    cuts = {r["confirmado"]: (r["cut"], r["n"]) for r in classes.collect()}
+    rows = sum(n for _, n in cuts.values())
     if rows < MIN_LABELLED:
         raise ValueError(f"at least {MIN_LABELLED} labelled alerts are needed, got {rows}")
-    if len(sizes) < 2:
+    if len(cuts) < 2:
         raise ValueError("labelled alerts must hold both verdicts")
-    parted = known.join(F.broadcast(cuts), "confirmado")
+    cut = F.when(F.col("confirmado") == 1, F.lit(cuts[1][0])).otherwise(F.lit(cuts[0][0]))
 
     scaling = Pipeline(
         stages=[
@@ -71,9 +72,9 @@ def train_calibrator(
             StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
         ]
     ).fit(known)
-    scaled = scaling.transform(parted)
-    train = scaled.where(F.col("_lot") > F.col("_cut"))
-    held = scaled.where(F.col("_lot") <= F.col("_cut"))
+    scaled = scaling.transform(known)
+    train = scaled.where(F.col("_lot") > cut).select("_x", "confirmado")
+    held = scaled.where(F.col("_lot") <= cut)
     logistic = LogisticRegression(
         featuresCol="_x",
         labelCol="confirmado",

@@ -66,6 +66,13 @@ def cusum_by_branch(tx: DataFrame, params: Params) -> DataFrame:
     return cusum(branch_volume(tx), "agencia_id", "dt", "qtd_tx", params)
 
 
+def volume_findings(tx: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """Rules D1 and D3 off one pass: daily volumes are added up from the hourly ones."""
+    hourly = hourly_volume(tx)
+    daily = hourly.groupBy("agencia_id", "dt").agg(F.sum("qtd").alias("qtd_tx"))
+    return cusum(daily, "agencia_id", "dt", "qtd_tx", params), limits(hourly, params)
+
+
 def ewma_series(df: DataFrame, key: str, at: str, value: str, params: Params) -> DataFrame:
     """EWMA per key with its exact variance: i, z, superior, inferior, alerta.
 
@@ -150,6 +157,11 @@ def hourly_volume(tx: DataFrame) -> DataFrame:
 
 
 def hourly_limits(tx: DataFrame, params: Params) -> DataFrame:
+    """Rule D3 on raw transactions."""
+    return limits(hourly_volume(tx), params)
+
+
+def limits(hourly: DataFrame, params: Params) -> DataFrame:
     """Rule D3: branch hours outside mean ± width deviations of the branch's observed hours.
 
     A branch with a single observed hour has no deviation: no alert and a null score.
@@ -165,8 +177,7 @@ def hourly_limits(tx: DataFrame, params: Params) -> DataFrame:
     )
     text = F.lit("Volume horário fora de 3 desvios padrão")
     return (
-        hourly_volume(tx)
-        .withColumn("_mu", F.avg("qtd").over(whole))
+        hourly.withColumn("_mu", F.avg("qtd").over(whole))
         .withColumn("_sd", _zero_as_one(F.stddev_samp("qtd").over(whole)))
         .withColumn("alerta", outside)
         .select(

@@ -125,28 +125,28 @@ class _Forest:
         shift = nodes["arvore"].map(offset).to_numpy()
         inner = nodes["coluna"].to_numpy() >= 0
         here = np.arange(len(nodes))
-        # A leaf leads to itself, so every walk can take the same number of steps.
-        self.left = np.where(inner, nodes["esquerda"].to_numpy() + shift, here)
-        self.right = np.where(inner, nodes["direita"].to_numpy() + shift, here)
-        self.column = np.where(inner, nodes["coluna"].to_numpy(), 0)
-        self.cut = nodes["corte"].to_numpy()
-        self.steps = int(nodes["profundidade"].max())
+        # Children sit side by side, left then right. A leaf leads to itself, so every walk can take
+        # the same number of steps.
+        left = np.where(inner, nodes["esquerda"].to_numpy() + shift, here)
+        right = np.where(inner, nodes["direita"].to_numpy() + shift, here)
+        self.children = np.stack([left, right], axis=1).ravel().astype(np.int32)
+        self.column = np.where(inner, nodes["coluna"].to_numpy(), 0).astype(np.int32)
+        self.cut = nodes["corte"].to_numpy(dtype=float)
+        self.depths = nodes.groupby("arvore")["profundidade"].max().to_numpy()
         self.roots = offset.to_numpy()
-        self.length = nodes["profundidade"].to_numpy() + np.array(
-            [average_path(n) for n in nodes["tamanho"]]
-        )
-        self.length = np.where(inner, 0.0, self.length)
-        self.scale = len(self.roots) * average_path(sample)
+        ends = nodes["profundidade"].to_numpy() + [average_path(n) for n in nodes["tamanho"]]
+        self.length = np.where(inner, 0.0, ends)
+        self.scale = max(len(self.roots) * average_path(sample), 1e-9)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(x))
+        flat, rows = np.ascontiguousarray(x).ravel(), np.arange(len(x), dtype=np.int32) * x.shape[1]
         total = np.zeros(len(x))
-        for root in self.roots:
-            at = np.full(len(x), root)
-            for _ in range(self.steps):
-                goes_left = x[rows, self.column[at]] <= self.cut[at]
-                at = np.where(goes_left, self.left[at], self.right[at])
-            total += self.length[at]
+        for root, depth in zip(self.roots, self.depths):
+            at = np.full(len(x), root, dtype=np.int32)
+            for _ in range(depth):
+                goes_right = flat.take(rows + self.column.take(at)) > self.cut.take(at)
+                at = self.children.take(2 * at + goes_right)
+            total += self.length.take(at)
         return np.power(2.0, -total / self.scale)
 
 

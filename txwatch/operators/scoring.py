@@ -40,19 +40,16 @@ def combine_scores(
 ) -> DataFrame:
     """One row per entity at or above the lowest severity band.
 
-    The score is the weighted mean over all findings of the entity, alerting or not. Findings are
-    first summed per entity, rule and text, so that an entity with very many findings reaches the
-    second step as a handful of rows.
+    The score is the weighted mean over all findings of the entity, alerting or not. Sums and sets of
+    distinct texts combine before the shuffle, so an entity with very many findings leaves each map
+    task as one row.
     """
     weights = params.weights or DEFAULT_WEIGHTS
     # NaN and null scores count as 0 and keep their weight.
     score = F.coalesce(F.nanvl(F.col("score").cast("double"), F.lit(0.0)), F.lit(0.0))
     weighed = union_findings(spark, detected).where(F.col("entidade").isNotNull())
     weighed = weighed.withColumn("_w", _weight(weights)).withColumn("_s", score * F.col("_w"))
-    per_text = weighed.groupBy("entidade", "regra_id", "familia", "motivo").agg(
-        F.sum("_s").alias("_s"), F.sum("_w").alias("_w")
-    )
-    per_entity = per_text.groupBy("entidade").agg(
+    per_entity = weighed.groupBy("entidade").agg(
         F.sum("_s").alias("_s"),
         F.sum("_w").alias("peso_total"),
         sorted_distinct(F.col("familia"), "|").alias("familias"),

@@ -480,6 +480,15 @@ def star_branch_day(spark, folder):
     return cockpit.star_branch_day(facts.branch_day(_flagged(spark, folder)), dims.branches, dims.days)
 
 
+@_query
+def star_operator_day(spark, folder):
+    return cockpit.star_operator_day(
+        facts.operator_day(_flagged(spark, folder)),
+        sample_map.dim_operator(spark, folder),
+        sample_map.dim_calendar(spark, folder),
+    )
+
+
 @_query
 def score_histogram(spark, folder):
     return cockpit.score_histogram(sample_map.labelled_alerts(spark, folder))

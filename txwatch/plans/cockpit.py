@@ -89,6 +89,17 @@ def star_branch_day(fact: DataFrame, branches: DataFrame, days: DataFrame) -> Da
     )
 
 
+def star_operator_day(fact: DataFrame, operators: DataFrame, days: DataFrame) -> DataFrame:
+    """Operator-day fact rolled up by role, working day and whether the branch is the operator's own."""
+    star = fact.join(operators, "operador_id", "left").join(F.broadcast(days), "dt", "left")
+    home = (F.col("agencia_id") == F.col("agencia_lotacao")).alias("na_lotacao")
+    return star.groupBy("funcao", "dia_util", home).agg(
+        F.sum("qtd_tx").alias("qtd_tx"),
+        F.sum("valor_total").alias("valor_total"),
+        F.sum("qtd_fora_horario").alias("qtd_fora_horario"),
+    )
+
+
 def score_histogram(scores: DataFrame, bins: int = 20) -> DataFrame:
     """Equal-width bins of score over 0..1, each with the 99th percentile of all scores."""
     slot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1))

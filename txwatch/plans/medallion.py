@@ -44,10 +44,11 @@ def gold_plans(silver_table: DataFrame) -> dict[str, DataFrame]:
 
 def statistical_findings(tx: DataFrame, params: Params) -> list[DataFrame]:
     """Rules D1 to D5 over silver transactions."""
+    branch_days, branch_hours = control_charts.volume_findings(tx, params)
     return [
-        control_charts.cusum_by_branch(tx, params),
+        branch_days,
         control_charts.ewma_by_member(tx, params),
-        control_charts.hourly_limits(tx, params),
+        branch_hours,
         benford.benford_by_segment(tx, params),
         structuring.structuring(tx, params),
     ]

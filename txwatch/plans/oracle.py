@@ -618,6 +618,15 @@ def oracle() -> dict[str, str]:
         "star_branch_day": f"WITH {_SILVER} SELECT municipio, ano, mes, dia_util, "
         "count(*) AS qtd_tx, round(sum(valor), 6) AS valor_total, "
         "count(*) FILTER (WHERE flag_valor_alto) AS qtd_valor_alto FROM silver GROUP BY ALL",
+        "star_operator_day": f"WITH {_SILVER}, op AS (SELECT DISTINCT operador_id, "
+        "list_value('CAIXA', 'GERENTE', 'AUDITOR', 'SUPORTE')"
+        "[1 + CAST(substr(operador_id, 3) AS INTEGER) % 4] AS funcao, "
+        "'AG' || lpad(CAST(CAST(substr(operador_id, 3) AS INTEGER) % 25 AS VARCHAR), 4, '0') "
+        "AS lotacao FROM tx WHERE operador_id IS NOT NULL) SELECT funcao, dia_util, "
+        "agencia_id = lotacao AS na_lotacao, count(*) AS qtd_tx, "
+        "round(sum(valor), 6) AS valor_total, "
+        "count(*) FILTER (WHERE flag_fora_horario) AS qtd_fora_horario "
+        "FROM silver JOIN op USING (operador_id) GROUP BY ALL",
         "score_histogram": f"WITH {_LABELLED}, top AS (SELECT quantile_cont(score, 0.99e0) AS p99 "
         "FROM alerts) SELECT CAST(least(floor(score * 20), 19) AS BIGINT) AS faixa, "
         "count(*) AS qtd, round(any_value(p99), 6) AS p99 FROM alerts CROSS JOIN top GROUP BY faixa",
