@@ -35,15 +35,11 @@ def split_hot(df: DataFrame, key: str, params: Params) -> tuple[DataFrame, DataF
     return df.where(~is_hot), df.where(is_hot)
 
 
-def running_sums(df: DataFrame, key: str, at: str, measures: list[str]) -> DataFrame:
-    """Replace each measure by its sum over the key's rows up to `at`, simultaneous rows included."""
-    return _sums_over(df, measures, key, at)
-
-
 def sliced_running_sums(
     df: DataFrame, key: str, at: str, measures: list[str], slice_width: int
 ) -> DataFrame:
-    """`running_sums` for hot keys: one task per slice of `slice_width` units of `at`.
+    """Replace each measure by its sum over the key's rows up to `at`, simultaneous rows included,
+    with one task per slice of `slice_width` units of `at`.
 
     Slice totals are combined before the shuffle and accumulated per key (at most one row per slice
     there). Each total re-enters its slice as a carry row placed on the slice's left edge.
@@ -60,17 +56,15 @@ def sliced_running_sums(
         *[f"cast(sum({m}) over {before} as {kinds[m]}) as {m}" for m in measures],
     )
     rows = sliced.unionByName(carry, allowMissingColumns=True)
-    summed = _sums_over(rows, measures, f"{key}, _slice", at)
-    return summed.where("not _carry").drop("_carry", "_slice")
-
-
-def _sums_over(df: DataFrame, measures: list[str], keys: str, at: str) -> DataFrame:
     past = (
-        f"(partition by {keys} order by {at} range between unbounded preceding and current row)"
+        f"(partition by {key}, _slice order by {at} "
+        "range between unbounded preceding and current row)"
     )
-    return df.selectExpr(
+    summed = rows.selectExpr(
+        "_carry",
         *[
-            f"cast(sum({c}) over {past} as {kind}) as {c}" if c in measures else c
-            for c, kind in df.dtypes
-        ]
+            f"cast(sum({c}) over {past} as {kinds[c]}) as {c}" if c in measures else c
+            for c in df.columns
+        ],
     )
+    return summed.where("not _carry").drop("_carry")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import DAY_MICROS, MICROS, wall_micros
-from txwatch.functions.hotkeys import running_sums, sliced_running_sums, split_hot
+from txwatch.functions.hotkeys import sliced_running_sums, split_hot
 from txwatch.functions.quantiles import exact_quantiles
 from txwatch.params import Params
 
@@ -33,9 +33,9 @@ _STATS = ["ticket", "lat_mediana", "lon_mediana"]
 def member_features(silver: DataFrame, params: Params) -> DataFrame:
     """transacao_id and the eleven features.
 
-    Counts over the last 7 and 30 days, and payees seen so far, are running sums over marks placed on
-    the member's time line: +1 when a transaction happens, -1 when it leaves the window, +1 for a
-    payee's first use. That is linear in the member's history whatever its length.
+    A count over the last 7 or 30 days is the member's count so far less the count up to the window's
+    start. Both only ever grow along the time line, so the cost is linear in the history whatever its
+    length; a sliding frame would be re-added for every row.
 
     `silver` is read more than once and should be a stored table.
     """
@@ -66,22 +66,23 @@ def _prepare(silver: DataFrame) -> DataFrame:
     )
 
 
-def _marks(rows: DataFrame, new_payee: str) -> DataFrame:
-    """Three marks per transaction; only the first one keeps the transaction's own columns."""
+def _marks(rows: DataFrame) -> DataFrame:
+    """Three marks per transaction: +1 when it happens, -1 when it leaves either window. Only the first
+    one keeps the transaction's own columns."""
     week, month = 7 * DAY_MICROS, 30 * DAY_MICROS
     marks = (
-        f"explode(array(struct(_t as t, true as now, 1L as week, 1L as month, {new_payee} as payee), "
-        f"struct(_t + {week} as t, false as now, -1L as week, 0L as month, 0L as payee), "
-        f"struct(_t + {month} as t, false as now, 0L as week, -1L as month, 0L as payee))) as _m"
+        "explode(array(struct(_t as t, true as now, 1L as week, 1L as month), "
+        f"struct(_t + {week} as t, false as now, -1L as week, 0L as month), "
+        f"struct(_t + {month} as t, false as now, 0L as week, -1L as month))) as _m"
     )
-    return rows.selectExpr(_KEY, *_PAYLOAD, *_STATS, marks).selectExpr(
+    return rows.selectExpr(_KEY, *_PAYLOAD, marks).selectExpr(
         _KEY,
         "_m.t as _t",
         "_m.now as _now",
-        *[f"if(_m.now, {c}, null) as {c}" for c in (*_PAYLOAD, *_STATS)],
+        *[f"if(_m.now, {c}, null) as {c}" for c in _PAYLOAD],
         "_m.week as freq_7d",
         "_m.month as freq_30d",
-        "_m.payee as destinos_unicos_30d",
+        "0L as destinos_unicos_30d",
     )
 
 
@@ -103,21 +104,26 @@ def _cold(rows: DataFrame) -> DataFrame:
         f"as {a}_mediana"
         for a in ("lat", "lon")
     ]
-    marks = _marks(
-        ranked.selectExpr("*", *medians),
-        "cast(conta_destino is not null and _use = 1 as bigint)",
+    line = f"over ({member} order by _t range between unbounded preceding and"
+    sofar = f"count(*) {line} current row)"
+    return ranked.selectExpr("*", *medians).selectExpr(
+        _KEY,
+        *_PAYLOAD,
+        *_STATS,
+        f"{sofar} - count(*) {line} {7 * DAY_MICROS} preceding) as freq_7d",
+        f"{sofar} - count(*) {line} {30 * DAY_MICROS} preceding) as freq_30d",
+        f"count(if(_use = 1, conta_destino, null)) {line} current row) as destinos_unicos_30d",
     )
-    return running_sums(marks, _KEY, "_t", _COUNTS).where("_now").drop("_t", "_now")
 
 
 def _hot(rows: DataFrame, params: Params) -> DataFrame:
     """Hot members: statistics by combinable aggregates, time line cut into slices."""
-    stats = rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket"))
-    for axis in ("lat", "lon"):
-        median = exact_quantiles(rows, axis, [0.5], (_KEY,))
-        stats = stats.join(median.selectExpr(_KEY, f"quantil as {axis}_mediana"), _KEY, "left")
-    # One row per hot member, hence fewer than hot_max_keys rows.
-    known = rows.join(F.broadcast(stats), _KEY)
+    axes = rows.selectExpr(_KEY, "stack(2, 'lat', lat, 'lon', lon) as (_axis, _value)")
+    medians = exact_quantiles(axes, "_value", [0.5], (_KEY, "_axis")).groupBy(_KEY)
+    medians = medians.agg(
+        *[F.expr(f"max(if(_axis = '{a}', quantil, null)) as {a}_mediana") for a in ("lat", "lon")]
+    )
+    stats = rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket")).join(medians, _KEY, "left")
     first = rows.where("conta_destino is not null").groupBy(_KEY, "conta_destino")
     first = first.agg(F.expr("min(_t) as _t")).selectExpr(
         _KEY,
@@ -127,10 +133,11 @@ def _hot(rows: DataFrame, params: Params) -> DataFrame:
         "0L as freq_30d",
         "1L as destinos_unicos_30d",
     )
-    marks = _marks(known, "0L").unionByName(first, allowMissingColumns=True)
+    marks = _marks(rows).unionByName(first, allowMissingColumns=True)
     width = params.hot_slice_seconds * MICROS
     summed = sliced_running_sums(marks, _KEY, "_t", _COUNTS, width)
-    return summed.where("_now").drop("_t", "_now")
+    # One row per hot member, hence fewer than hot_max_keys rows.
+    return summed.where("_now").drop("_t", "_now").join(F.broadcast(stats), _KEY)
 
 
 def _orphans(rows: DataFrame) -> DataFrame:

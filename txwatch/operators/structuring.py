@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import MICROS, wall_micros
-from txwatch.functions.hotkeys import running_sums, sliced_running_sums, split_hot
+from txwatch.functions.hotkeys import sliced_running_sums, split_hot
 from txwatch.params import Params
 
 # Money is added as exact decimals: a rolling total then does not depend on the order of additions,
 # and what left the window can be subtracted without residue.
-_MONEY = "decimal(28,10)"
-_SUM = "decimal(38,10)"
+_MONEY = "decimal(26,10)"
+_SUM = "decimal(36,10)"
 
 
 def structuring_windows(tx: DataFrame, params: Params) -> DataFrame:
     """Per member and instant: qtd and soma at that instant, qtd_janela and soma_janela over the
     window (t - hours, t], and whether that window is suspicious.
 
-    Every instant enters the running total at t and leaves it at t + hours, so one running sum gives
-    all windows in linear time. Transactions of the same instant share one row.
+    A window total is the total so far less the total up to the window's start; both only grow along
+    the time line, so all windows take linear time. Transactions of the same instant share one row.
+
+    `tx` is read more than once and should be a stored table.
     """
     small = tx.where(
         F.col("tipo").isin(*params.structuring_types)
@@ -28,40 +30,50 @@ def structuring_windows(tx: DataFrame, params: Params) -> DataFrame:
         & F.col("associado_id").isNotNull()
     ).select("associado_id", "dt_transacao", "valor")
     cold, hot = split_hot(small, "associado_id", params)
-
-    sums = ["qtd_janela", "soma_janela"]
-    # Cold members are shuffled once, by member; the steps after it keep that layout.
-    by_member = cold.repartition("associado_id")
-    rolled = running_sums(_marks(by_member, params), "associado_id", "_t", sums)
+    rolled = _cold(cold, params)
     if hot is not None:
-        width = params.hot_slice_seconds * MICROS
-        sliced = sliced_running_sums(_marks(hot, params), "associado_id", "_t", sums, width)
-        rolled = rolled.unionByName(sliced)
-    return rolled.where("dt_transacao is not null").selectExpr(
-        "associado_id",
-        "dt_transacao",
-        "qtd",
-        "soma",
-        "qtd_janela",
-        "soma_janela",
+        rolled = rolled.unionByName(_hot(hot, params))
+    return rolled.selectExpr(
+        "*",
         f"soma_janela > cast({params.structuring_limit!r}D as {_SUM}) "
         f"and qtd_janela >= {params.structuring_min_tx} as suspeita",
     )
 
 
-def _marks(small: DataFrame, params: Params) -> DataFrame:
-    """Entry and exit of every instant; only entries keep dt_transacao."""
-    instants = small.groupBy("associado_id", "dt_transacao").agg(
+def _instants(small: DataFrame) -> DataFrame:
+    totals = small.groupBy("associado_id", "dt_transacao").agg(
         F.expr("count(*) as qtd"),
         F.expr(f"cast(sum(cast(valor as {_MONEY})) as {_SUM}) as soma"),
     )
+    return totals.select("*", wall_micros("dt_transacao").alias("_t"))
+
+
+def _cold(small: DataFrame, params: Params) -> DataFrame:
+    """One shuffle, by member; the steps after it keep that layout."""
+    stay = params.structuring_hours * 3600 * MICROS
+    line = "over (partition by associado_id order by _t range between unbounded preceding and"
+    return _instants(small.repartition("associado_id")).selectExpr(
+        "associado_id",
+        "dt_transacao",
+        "qtd",
+        "soma",
+        f"sum(qtd) {line} current row) - coalesce(sum(qtd) {line} {stay} preceding), 0L) "
+        "as qtd_janela",
+        f"cast(cast(sum(soma) {line} current row) as {_SUM}) "
+        f"- coalesce(cast(sum(soma) {line} {stay} preceding) as {_SUM}), 0) as {_SUM}) "
+        "as soma_janela",
+    )
+
+
+def _hot(small: DataFrame, params: Params) -> DataFrame:
+    """Members with very many rows: every instant is marked where it enters and where it leaves the
+    window, and the running total over marks is taken slice by slice."""
     stay = params.structuring_hours * 3600 * MICROS
     both = F.expr(
         "explode(array(struct(_t as t, true as enters), "
         f"struct(_t + {stay} as t, false as enters))) as _mark"
     )
-    timed = instants.select("*", wall_micros("dt_transacao").alias("_t"))
-    return timed.select("associado_id", "dt_transacao", "qtd", "soma", both).selectExpr(
+    marks = _instants(small).select("associado_id", "dt_transacao", "qtd", "soma", both).selectExpr(
         "associado_id",
         "_mark.t as _t",
         "if(_mark.enters, dt_transacao, null) as dt_transacao",
@@ -70,6 +82,9 @@ def _marks(small: DataFrame, params: Params) -> DataFrame:
         "if(_mark.enters, qtd, -qtd) as qtd_janela",
         f"cast(if(_mark.enters, soma, -soma) as {_SUM}) as soma_janela",
     )
+    width = params.hot_slice_seconds * MICROS
+    rolled = sliced_running_sums(marks, "associado_id", "_t", ["qtd_janela", "soma_janela"], width)
+    return rolled.where("dt_transacao is not null").drop("_t")
 
 
 def structuring(tx: DataFrame, params: Params) -> DataFrame:
