@@ -452,7 +452,7 @@ def alerts_by_family_month(spark, folder):
 
 @_query
 def top_branches(spark, folder):
-    tx = _dated(spark, folder)
+    tx = _stored(spark, folder)
     volume = control_charts.branch_volume(tx)
     return cockpit.top_branches(sample_map.labelled_alerts(spark, folder), tx, volume)
 
