@@ -1,8 +1,8 @@
 """Times every catalogue query on the sample tables and prints one JSON line.
 
 BENCH_SF_DIR picks the tables, BENCH_CPUS the local cores, BENCH_QUERIES an optional comma list.
-Each query runs once untimed at first use of the session's code paths (a small scan), then is timed
-over a full materialisation of its result.
+A small scan warms the session up; then each query runs once and is timed from building its plan to the
+last row of its result.
 """
 
 from __future__ import annotations

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     BooleanType,
-    DateType,
     DoubleType,
-    IntegerType,
     StringType,
     StructField,
     StructType,
@@ -73,14 +71,3 @@ FINDINGS = StructType(
         StructField("motivo", StringType()),
     ]
 )
-
-CALENDAR = StructType(
-    [
-        StructField("dt", DateType()),
-        StructField("ano", IntegerType()),
-        StructField("mes", IntegerType()),
-        StructField("dia_semana", IntegerType()),
-        StructField("dia_util", BooleanType()),
-        StructField("feriado", BooleanType()),
-    ]
-)
