@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +146,18 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scratch_without_the_setting():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: default),
+            sparkContext=SimpleNamespace(master=master, applicationId="local-test"),
+        )
+
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]"))
+    with pytest.raises(ValueError):
+        scratch_root(session("spark://host:7077"))
+
+
 def test_batch_run_with_models(spark, bronze, tmp_path):
     dims = sample_map.dimensions(spark, SAMPLE)
     root = str(tmp_path / "lake")
