@@ -7,7 +7,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from txwatch.plans.catalogue import catalogue as queries
+from txwatch.plans.oracle import oracle as oracle_sql
 
 from conftest import SAMPLE
 
