@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import archive, bpe, decontaminate, slots
+from txwatch.llm import archive, bpe, decontaminate, layout, near, rule_ensemble, secrets, slots, weak_rules
 from txwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -75,13 +90,31 @@ def op7_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op9_ownership_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [secrets.n_of(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(secrets.listed(secrets.base_only(spans)).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
 def op10_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_virtual_slots, op6_content_archive, op7_prefix_join, op10_stream_bpe)}
+    return {f.__name__: f for f in (
+        op1_rule_ensemble, op2_minhash_join, op4_weak_rules, op5_virtual_slots, op6_content_archive,
+        op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_content_archive": OP6_SQL}
