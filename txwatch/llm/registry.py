@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import archive, bpe, decontaminate, layout, near, rule_ensemble, secrets, slots, weak_rules
+from txwatch.llm import archive, bpe, decontaminate, layout, near, rule_ensemble, secrets, slots, suffixes, weak_rules
 from txwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op2_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = weak_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -111,7 +115,7 @@ def op10_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_rule_ensemble, op2_minhash_join, op4_weak_rules, op5_virtual_slots, op6_content_archive,
+        op1_rule_ensemble, op2_minhash_join, op3_suffix_dedup, op4_weak_rules, op5_virtual_slots, op6_content_archive,
         op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe,
     )}
 

@@ -50,10 +50,10 @@ class FixedFilter:
             tokens.select(F.explode(probes).alias("bit"))
             .groupBy(F.shiftright("bit", 6).alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-            .toPandas()
+            .toArrow()
         )
         words = np.zeros(1 << (log2_bits - 6), dtype=U64)
-        words[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64).view(U64)
+        words[found["word"].to_numpy()] = found["bits"].to_numpy().view(U64)
         return cls(words, log2_bits)
 
     def has(self, tokens: np.ndarray) -> np.ndarray:

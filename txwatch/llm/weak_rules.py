@@ -104,8 +104,10 @@ def votes(s: Column) -> dict[str, Column]:
         "vocabulary": bad((per_word("n_distinct") < 0.25) & (n < 3000)),
         "lines": bad(per_word("n_dup_lines") > 0.02),
         "word_length": bad((length > 9.5) | (length < 2.5)),
-        "calm": F.when((share("n_symbols") < 0.01) & (per_word("n_shouts") < 0.05), 1).otherwise(0),
-        "varied": F.when((per_word("n_repeat_words") < 0.05) & (share("n_upper") < 0.15), 1).otherwise(0),
+        "calm": F.when(
+            (share("n_symbols") < 0.01) & (per_word("n_shouts") < 0.05) & (share("n_upper") < 0.15)
+            & (per_word("n_repeat_words") < 0.05), 1
+        ).otherwise(0),
         "prose": F.when((per_word("n_stops") > 0.03) & (per_word("n_stops") < 0.4) & (length > 3) & (length < 9), 1).otherwise(0),
     }
 
