@@ -61,24 +61,23 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         "page_id", F.col("n_bytes").alias("payload_bytes"), "payload_digest", "record_type",
         F.when(F.col("record_type") == "revisit", F.col("refers_to")).cast(id_type).alias("refers_to"),
-        F.octet_length("record").cast("long").alias("record_bytes"),
     )
 
 
-OP6_SQL = """
+#: Five hex digits of the SHA-1 are four characters of its base 32.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"(1 + (('0x' || substr(hex, {1 + 5 * k}, 5))::bigint >> {shift}) % 32)::int, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+OP6_SQL = f"""
 with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
 ), q as (
-  select page_id, html, min(page_id) over (partition by html) as first_id,
-    list_transform(range(8), k -> ('0x' || substr(hex, (1 + 5 * k)::int, 5))::bigint) as groups
-  from p
+  select page_id, html, hex, min(page_id) over (partition by html) as first_id from p
 )
-select page_id, octet_length(encode(html)) as payload_bytes,
-  list_aggregate(list_transform(groups, g ->
-    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + (g >> 15) % 32)::int, 1)
-    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + (g >> 10) % 32)::int, 1)
-    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + (g >> 5) % 32)::int, 1)
-    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + g % 32)::int, 1)), 'string_agg', '') as payload_digest,
+select page_id, octet_length(encode(html)) as payload_bytes, {_BASE32} as payload_digest,
   case when page_id = first_id then 'response' else 'revisit' end as record_type,
   case when page_id <> first_id then first_id end as refers_to
 from q
