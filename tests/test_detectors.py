@@ -223,9 +223,8 @@ def brute_windows(pdf: pd.DataFrame, params: Params) -> dict:
     return out
 
 
-@pytest.mark.parametrize("params", [PARAMS, Params(hot_min_rows=0, hot_max_keys=10**6),
-                                    Params(hot_min_rows=60, hot_max_keys=4)])
-def test_structuring_windows_equal_brute_force_hot_or_cold(spark, params):
+@pytest.mark.parametrize("params", [PARAMS, Params(slice_seconds=1), Params(slice_seconds=10**8)])
+def test_structuring_windows_equal_brute_force_at_any_slice(spark, params):
     rng = np.random.default_rng(9)
     n = 900
     members = rng.choice(["hot", "b", "c", "d"], n, p=[0.7, 0.1, 0.1, 0.1])

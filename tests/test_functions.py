@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import first_digit, severity, wall_micros
-from txwatch.functions.hotkeys import hot_keys, sliced_running_sums, split_hot
+from txwatch.functions.hotkeys import sliced_running_sums
 from txwatch.functions.quantiles import exact_quantiles
 from txwatch.params import Params
 
@@ -76,17 +76,6 @@ def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(df, "v", [0.5]).count() == 0
 
 
-def test_hot_key_list_is_bounded(spark):
-    rows = [("hot",)] * 400 + [(f"k{i}",) for i in range(600)] + [(None,)] * 500
-    df = spark.createDataFrame(rows, "k string")
-    assert hot_keys(df, "k", Params(hot_min_rows=10, hot_max_keys=8)) == ["hot"]
-    assert hot_keys(df, "k", Params(hot_min_rows=1_000, hot_max_keys=8)) == []
-    cold, hot = split_hot(df, "k", Params(hot_min_rows=10, hot_max_keys=8))
-    assert cold.count() == 600 and hot.count() == 400
-    cold, hot = split_hot(df, "k", Params())
-    assert cold.count() == 1000 and hot is None
-
-
 def test_sliced_sums_equal_plain_running_sums(spark):
     rng = np.random.default_rng(5)
     rows = [

@@ -45,7 +45,11 @@ def history(spark):
                 None if member == "c" else dt.date(2026, 4, 1),
             )
         )
-    rows[1] = (*rows[1][:4], rows[2][4], *rows[1][5:])  # two rows at one instant
+    for i in range(1, 60):  # many rows at one instant
+        rows[i] = (*rows[i][:4], rows[2][4], *rows[i][5:])
+    for i in range(100, 130):  # NaN stands for a missing value
+        rows[i] = (*rows[i][:7], float("nan"), float("nan"), float("nan"), rows[i][10])
+    rows[140] = (*rows[140][:3], float("nan"), *rows[140][4:])
     return materialise(spark.createDataFrame(rows, SCHEMA), "history")
 
 
@@ -65,18 +69,18 @@ def brute_features(pdf: pd.DataFrame) -> pd.DataFrame:
             away = float(np.hypot(row.geo_lat - lat, row.geo_lon - lon))
         out.append(
             (
-                row.transacao_id, row.valor, np.log1p(max(row.valor, 0.01)), row.dt_transacao.hour,
+                row.transacao_id, 0.0 if pd.isna(row.valor) else row.valor,
+                np.log1p(0.01 if pd.isna(row.valor) else max(row.valor, 0.01)), row.dt_transacao.hour,
                 row.dt_transacao.dayofweek, recent(7), recent(30), past["conta_destino"].nunique(),
                 max(age, 0), 0.3 if pd.isna(row.score_risco) else row.score_risco,
-                row.valor / mine["valor"].mean() if len(mine) else 1.0, away,
+                row.valor / mine["valor"].mean() if len(mine) and not pd.isna(row.valor) else 1.0, away,
             )
         )
     return pd.DataFrame(out, columns=["transacao_id", *FEATURE_COLUMNS])
 
 
-@pytest.mark.parametrize("params", [Params(), Params(hot_min_rows=0, hot_max_keys=10**6),
-                                    Params(hot_min_rows=100, hot_max_keys=4)])
-def test_features_equal_brute_force_hot_or_cold(history, params):
+@pytest.mark.parametrize("params", [Params(), Params(slice_seconds=1), Params(slice_seconds=10**8)])
+def test_features_equal_brute_force_at_any_slice(history, params):
     got = member_features(history, params).toPandas().set_index("transacao_id").sort_index()
     want = brute_features(history.toPandas()).set_index("transacao_id").sort_index()
     assert list(got.columns) == list(FEATURE_COLUMNS)
@@ -178,9 +182,8 @@ def test_autoencoder_learns_and_flags_a_planted_profile(spark, profiles):
     assert again.history[0][1] == pytest.approx(model.history[0][1], rel=1e-9)
 
 
-def test_autoencoder_averages_several_shards(profiles, monkeypatch):
-    monkeypatch.setattr(ae, "ROWS_PER_SHARD", 300)
-    model = ae.train_autoencoder(profiles[0], epochs=30, epochs_per_round=5, batch_size=64)
+def test_autoencoder_averages_several_shards(profiles):
+    model = ae.train_autoencoder(profiles[0], epochs=30, epochs_per_round=5, batch_size=64, rows_per_shard=300)
     assert model.history[-1][1] < model.history[0][1] and np.isfinite(model.weights).all()
 
 

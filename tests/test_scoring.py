@@ -106,6 +106,11 @@ def test_cockpit_measures(spark):
     volume = spark.createDataFrame([("AG1", 500), ("AG1", 500), ("AG9", 100)], "agencia_id string, qtd_tx bigint")
     top = cockpit.top_branches(table, tx, volume, k=1).collect()
     assert [(r["agencia_id"], r["alertas_por_mil"]) for r in top] == [("AG9", 10.0)]
+    member = table.where("transacao_id = 't3'").withColumn("transacao_id", F.lit("AS1"))
+    top = cockpit.top_branches(table.unionByName(member), tx, volume, k=1).collect()
+    assert [(r["agencia_id"], r["alertas_abertos"]) for r in top] == [("AG9", 1), (None, 1)]
+    plan = cockpit.alert_branch(table, tx, volume)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftOuter") < plan.index("Inner")
     cells = {(r["status"], r["acima"]): r["qtd"] for r in cockpit.confusion_matrix(table).collect()}
     assert cells[("ABERTO", True)] == 2 and cells[("FALSO_POSITIVO", False)] == 1
     empty = cockpit.kpi_summary(table.limit(0), "2026-01-11").first()

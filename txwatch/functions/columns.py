@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.params import Params
@@ -50,3 +50,9 @@ def severity(score: Column, params: Params) -> Column:
 
 def sorted_distinct(text: Column, separator: str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(text)), separator)
+
+
+def no_nan(df: DataFrame) -> DataFrame:
+    """NaN becomes null in all floating-point columns."""
+    floating = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    return df.select(*[F.nanvl(F.col(c), F.lit(None)).alias(c) if c in floating else F.col(c) for c in df.columns])

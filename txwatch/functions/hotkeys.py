@@ -1,9 +1,8 @@
-"""Keeping a key that owns a large share of the rows out of a single task.
+"""Running totals that keep no key's whole history in one task.
 
 Shuffles with map-side combination (groupBy) and joins (adaptive execution) cope with skew by
-themselves. Windows do not: all rows of a key reach one task. Operators with raw-row windows
-therefore part their input into cold keys, which take the plain window, and hot keys, whose history
-is cut into time slices.
+themselves. Windows do not: all rows of a key reach one task. Running totals are therefore taken over
+slices, for every key alike, so the answer does not depend on a key's size.
 """
 
 from __future__ import annotations
@@ -11,29 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txwatch.params import Params
-
-
-def hot_keys(df: DataFrame, key: str, params: Params) -> list:
-    """Keys with more than 1/hot_max_keys of the rows: fewer than hot_max_keys, by counting.
-
-    One combinable aggregate over the key column, run when the plan is built.
-    """
-    sizes = df.where(f"{key} is not null").groupBy(key).agg(F.expr("count(*) as _size"))
-    everything = sizes.agg(F.expr("sum(_size) as _all"))
-    limit = f"greatest({params.hot_min_rows}, _all / {float(params.hot_max_keys)})"
-    large = sizes.where(F.col("_size") > params.hot_min_rows).crossJoin(F.broadcast(everything))
-    return [row[0] for row in large.where(f"_size > {limit}").select(key).collect()]
-
-
-def split_hot(df: DataFrame, key: str, params: Params) -> tuple[DataFrame, DataFrame | None]:
-    """(cold rows, hot rows or None). Rows without a key are in neither."""
-    hot = hot_keys(df, key, params)
-    if not hot:
-        return df.where(f"{key} is not null"), None
-    is_hot = F.col(key).isin(hot)
-    return df.where(~is_hot), df.where(is_hot)
-
 
 def sliced_running_sums(
     df: DataFrame, key: str, at: str, measures: list[str], slice_width: int

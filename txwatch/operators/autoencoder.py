@@ -23,7 +23,6 @@ from txwatch.session import materialise
 
 # Layer widths between input and output.
 HIDDEN = (16, 8, 16)
-ROWS_PER_SHARD = 50_000
 _KEYS = ["associado_id", "ano_mes"]
 _BETA1, _BETA2, _TINY = 0.9, 0.999, 1e-8
 
@@ -99,9 +98,14 @@ def train_autoencoder(
     batch_size: int = 256,
     rate: float = 1e-3,
     seed: int = 42,
+    rows_per_shard: int = 50_000,
 ) -> AutoencoderModel:
     """Fit on four fifths of the profiles (chosen by key hash); the threshold is the 99th percentile
-    of the reconstruction error on the rest. `profile` is read twice and should be a stored table."""
+    of the reconstruction error on the rest. `profile` is read twice and should be a stored table.
+
+    The update is the same at every size: `epochs_per_round` epochs on every shard, then the average of
+    the shards' states; a single shard is its own average.
+    """
     columns = list(PROFILE_COLUMNS)
     moments = profile.agg(
         F.count(F.lit(1)).alias("n"),
@@ -114,7 +118,7 @@ def train_autoencoder(
     deviation = np.array([moments[f"s_{c}"] or 1.0 for c in columns])
 
     part = F.pmod(F.xxhash64(*_KEYS, F.lit(seed)), F.lit(5))
-    shards = max(1, -(-int(moments["n"]) // ROWS_PER_SHARD))
+    shards = max(1, -(-int(moments["n"]) // rows_per_shard))
     train = (
         profile.where(part != 0)
         .select(*_KEYS, *[F.col(c).cast("double").alias(c) for c in columns])

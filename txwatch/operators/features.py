@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import DAY_MICROS, MICROS, wall_micros
-from txwatch.functions.hotkeys import sliced_running_sums, split_hot
-from txwatch.functions.quantiles import exact_quantiles
+from txwatch.functions.hotkeys import sliced_running_sums
 from txwatch.params import Params
 
+# Names and order of the features.
 FEATURE_COLUMNS = (
     "valor",
     "log_valor",
@@ -28,23 +28,25 @@ _KEY = "associado_id"
 _COUNTS = ["freq_7d", "freq_30d", "destinos_unicos_30d"]
 _PAYLOAD = ["transacao_id", "valor", "hora", "dia_semana", "idade", "risco", "lat", "lon"]
 _STATS = ["ticket", "lat_mediana", "lon_mediana"]
+#: Width of a slice of coordinates, in degrees; a power of two, so slice edges are exact.
+_DEGREES = 2.0**-4
 
 
 def member_features(silver: DataFrame, params: Params) -> DataFrame:
-    """transacao_id and the eleven features.
+    """transacao_id and the eleven features; NaN counts as missing.
 
-    A count over the last 7 or 30 days is the member's count so far less the count up to the window's
-    start. Both only ever grow along the time line, so the cost is linear in the history whatever its
-    length; a sliding frame would be re-added for every row.
+    A count over the last 7 or 30 days is the member's count so far less the count of what has left.
+    Both only ever grow along the time line, so the cost is linear in the history whatever its length.
+    One algorithm serves members of every size: what happens at one instant is combined first, running
+    totals are taken over slices of the time line, and rows get them back by (member, instant).
 
     `silver` is read more than once and should be a stored table.
     """
     rows = _prepare(silver)
-    cold, hot = split_hot(rows, _KEY, params)
-    measured = _cold(cold)
-    if hot is not None:
-        measured = measured.unionByName(_hot(hot, params))
-    return _finish(measured.unionByName(_orphans(rows.where(f"{_KEY} is null"))))
+    known = rows.where(f"{_KEY} is not null")
+    measured = known.join(_counts(known, params), [_KEY, "_t"]).join(_stats(known), _KEY, "left")
+    columns = [_KEY, *_PAYLOAD, *_STATS, *_COUNTS]
+    return _finish(measured.select(*columns).unionByName(_orphans(rows.where(f"{_KEY} is null"))))
 
 
 def _prepare(silver: DataFrame) -> DataFrame:
@@ -56,88 +58,57 @@ def _prepare(silver: DataFrame) -> DataFrame:
         "transacao_id",
         "conta_destino",
         wall_micros("dt_transacao").alias("_t"),
-        F.expr("cast(valor as double) as valor"),
+        F.expr("nanvl(cast(valor as double), null) as valor"),
         F.expr("hour(dt_transacao) as hora"),
         F.expr("weekday(dt_transacao) as dia_semana"),
         F.expr(f"greatest(coalesce(datediff(to_date(dt_transacao), {since}), 0), 0) as idade"),
-        F.expr(f"coalesce({risk}, 0.3D) as risco"),
-        F.expr("geo_lat as lat"),
-        F.expr("geo_lon as lon"),
+        F.expr(f"coalesce(nanvl({risk}, null), 0.3D) as risco"),
+        F.expr("nanvl(geo_lat, null) as lat"),
+        F.expr("nanvl(geo_lon, null) as lon"),
     )
 
 
-def _marks(rows: DataFrame) -> DataFrame:
-    """Three marks per transaction: +1 when it happens, -1 when it leaves either window. Only the first
-    one keeps the transaction's own columns."""
+def _counts(rows: DataFrame, params: Params) -> DataFrame:
+    """Per member and instant the three counts, rows of that instant included."""
     week, month = 7 * DAY_MICROS, 30 * DAY_MICROS
     marks = (
-        "explode(array(struct(_t as t, true as now, 1L as week, 1L as month), "
-        f"struct(_t + {week} as t, false as now, -1L as week, 0L as month), "
-        f"struct(_t + {month} as t, false as now, 0L as week, -1L as month))) as _m"
+        "explode(array(struct(_t as t, n as now, n as week, n as month), "
+        f"struct(_t + {week} as t, 0L as now, -n as week, 0L as month), "
+        f"struct(_t + {month} as t, 0L as now, 0L as week, -n as month))) as _m"
     )
-    return rows.selectExpr(_KEY, *_PAYLOAD, marks).selectExpr(
-        _KEY,
-        "_m.t as _t",
-        "_m.now as _now",
-        *[f"if(_m.now, {c}, null) as {c}" for c in _PAYLOAD],
-        "_m.week as freq_7d",
-        "_m.month as freq_30d",
-        "0L as destinos_unicos_30d",
-    )
-
-
-def _cold(rows: DataFrame) -> DataFrame:
-    """One shuffle by member; every window below reuses it. Medians are picked by rank, so that a
-    member's rows are sorted (and spilled if need be) rather than held in a buffer."""
-    member = f"partition by {_KEY}"
-    ranked = rows.repartition(_KEY).selectExpr(
-        "*",
-        f"avg(valor) over ({member}) as ticket",
-        f"row_number() over ({member}, conta_destino order by _t, transacao_id) as _use",
-        f"row_number() over ({member} order by lat asc nulls last) as _rank_lat",
-        f"row_number() over ({member} order by lon asc nulls last) as _rank_lon",
-        f"count(lat) over ({member}) as _n_lat",
-        f"count(lon) over ({member}) as _n_lon",
+    instants = rows.groupBy(_KEY, "_t").agg(F.expr("count(*) as n"))
+    times = instants.selectExpr(_KEY, marks).selectExpr(
+        _KEY, "_m.t as _t", "_m.now as _now", "_m.week as freq_7d", "_m.month as freq_30d", "0L as destinos_unicos_30d"
     )
-    medians = [
-        f"avg(if(2 * _rank_{a} between _n_{a} and _n_{a} + 2, {a}, null)) over ({member}) "
-        f"as {a}_mediana"
-        for a in ("lat", "lon")
-    ]
-    line = f"over ({member} order by _t range between unbounded preceding and"
-    sofar = f"count(*) {line} current row)"
-    return ranked.selectExpr("*", *medians).selectExpr(
-        _KEY,
-        *_PAYLOAD,
-        *_STATS,
-        f"{sofar} - count(*) {line} {7 * DAY_MICROS} preceding) as freq_7d",
-        f"{sofar} - count(*) {line} {30 * DAY_MICROS} preceding) as freq_30d",
-        f"count(if(_use = 1, conta_destino, null)) {line} current row) as destinos_unicos_30d",
+    first = rows.where("conta_destino is not null").groupBy(_KEY, "conta_destino")
+    first = first.agg(F.expr("min(_t) as _t")).selectExpr(
+        _KEY, "_t", "0L as _now", "0L as freq_7d", "0L as freq_30d", "1L as destinos_unicos_30d"
     )
+    line = times.unionByName(first).groupBy(_KEY, "_t")
+    line = line.agg(*[F.expr(f"sum({c}) as {c}") for c in ("_now", *_COUNTS)])
+    summed = sliced_running_sums(line, _KEY, "_t", _COUNTS, params.slice_seconds * MICROS)
+    return summed.where("_now > 0").drop("_now")
+
 
+def _stats(rows: DataFrame) -> DataFrame:
+    """Mean amount and median coordinates per member.
 
-def _hot(rows: DataFrame, params: Params) -> DataFrame:
-    """Hot members: statistics by combinable aggregates, time line cut into slices."""
-    axes = rows.selectExpr(_KEY, "stack(2, 'lat', lat, 'lon', lon) as (_axis, _value)")
-    medians = exact_quantiles(axes, "_value", [0.5], (_KEY, "_axis")).groupBy(_KEY)
-    medians = medians.agg(
-        *[F.expr(f"max(if(_axis = '{a}', quantil, null)) as {a}_mediana") for a in ("lat", "lon")]
+    A median is found by counting: equal coordinates are combined, running counts over slices of the
+    axis give every value its ranks, and the one or two middle ranks are averaged.
+    """
+    axes = rows.selectExpr(_KEY, "stack(2, 'lat', lat, 'lon', lon) as (_axis, _value)").where("_value is not null")
+    axes = axes.withColumn("_line", F.struct(_KEY, "_axis"))
+    times = axes.groupBy("_line", "_value").agg(F.expr("count(*) as _times"))
+    ends = sliced_running_sums(times.selectExpr("*", "_times as _end"), "_line", "_value", ["_end"], _DEGREES)
+    totals = axes.groupBy("_line").agg(F.expr("count(*) as _n"))
+    middle = ends.join(totals, "_line").where(
+        "_end - _times <= floor(_n / 2) and floor((_n - 1) / 2) < _end"
     )
-    stats = rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket")).join(medians, _KEY, "left")
-    first = rows.where("conta_destino is not null").groupBy(_KEY, "conta_destino")
-    first = first.agg(F.expr("min(_t) as _t")).selectExpr(
-        _KEY,
-        "_t",
-        "false as _now",
-        "0L as freq_7d",
-        "0L as freq_30d",
-        "1L as destinos_unicos_30d",
+    medians = middle.groupBy("_line").agg(F.expr("(min(_value) + max(_value)) / 2 as _median"))
+    by_member = medians.groupBy(F.col(f"_line.{_KEY}").alias(_KEY)).agg(
+        *[F.expr(f"max(if(_line._axis = '{a}', _median, null)) as {a}_mediana") for a in ("lat", "lon")]
     )
-    marks = _marks(rows).unionByName(first, allowMissingColumns=True)
-    width = params.hot_slice_seconds * MICROS
-    summed = sliced_running_sums(marks, _KEY, "_t", _COUNTS, width)
-    # One row per hot member, hence fewer than hot_max_keys rows.
-    return summed.where("_now").drop("_t", "_now").join(F.broadcast(stats), _KEY)
+    return rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket")).join(by_member, _KEY, "left")
 
 
 def _orphans(rows: DataFrame) -> DataFrame:

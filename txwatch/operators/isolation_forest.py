@@ -39,30 +39,24 @@ def average_path(n: float) -> float:
 def sample_rows(
     features: DataFrame, rows: int, trees: int = TREES, sample: int = SAMPLE, seed: int = 42
 ) -> DataFrame:
-    """About trees x sample candidate rows, then exactly min(sample, rows) per tree.
+    """min(sample, rows) rows per tree (but for a chance below 1e-20), by one scheme at every size.
 
-    A row draws `draws` lots; each lot survives a hash threshold and names a tree. The draw depends
-    on the id alone, so it does not change with the partitioning. 1.5 times the needed number of lots
-    is drawn, which leaves far more than `sample` rows for every tree after repeats are dropped.
+    Every (row, tree) pair is a candidate with probability p = min(1, 2 * sample / rows), by hashes of the
+    id, so the draw does not change with the partitioning. The trees are dealt into ceil(p * trees) blocks;
+    a row names one tree in each block and keeps it with probability p times the block's size. So a row
+    costs as many draws as it can have hits, and no pair is drawn twice.
     """
     key = F.xxhash64(F.col("transacao_id"), F.lit(seed))
-    if rows <= 4 * sample:
-        drawn = features.withColumn("arvore", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        wanted = 1.5 * trees * sample
-        draws = max(1, math.ceil(wanted / rows))
-        share = int(min(1.0, wanted / (rows * draws)) * 2**31)
-        lot = F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))
-        drawn = (
-            features.withColumn("_lot", lot)
-            .where(F.pmod(F.xxhash64(key, F.col("_lot")), F.lit(2**31)) < share)
-            .withColumn(
-                "arvore",
-                F.pmod(F.xxhash64(F.col("_lot"), key, F.lit(seed)), F.lit(trees)).cast("int"),
-            )
-            .drop("_lot")
-            .dropDuplicates(["arvore", "transacao_id"])
-        )
+    p = min(1.0, 2.0 * sample / max(1, rows))
+    blocks = max(1, math.ceil(p * trees))
+    first = F.floor(F.col("_block") * trees / blocks)
+    size = F.floor((F.col("_block") + 1) * trees / blocks) - first
+    drawn = (
+        features.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .where(F.pmod(F.xxhash64(key, F.col("_block")), F.lit(2**31)) < F.lit(p * 2**31) * size)
+        .withColumn("arvore", (first + F.pmod(F.xxhash64("_block", key, F.lit(seed)), size)).cast("int"))
+        .drop("_block")
+    )
     order = Window.partitionBy("arvore").orderBy(F.xxhash64(key, "arvore"), "transacao_id")
     numbered = drawn.withColumn("_place", F.row_number().over(order))
     return numbered.where(F.col("_place") <= sample).drop("_place")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txwatch.functions.columns import first_digit, off_hours
+from txwatch.functions.columns import first_digit, no_nan, off_hours
 from txwatch.params import HOLIDAYS, Params
 
 _ORDER_FIRST = "dt_ingestao"
@@ -17,7 +17,7 @@ def clean(raw: DataFrame) -> DataFrame:
     The row_number() = 1 filter becomes a group limit that already runs before the shuffle, so any
     number of copies of one id shrinks to one row per map task.
     """
-    usable = raw.where(
+    usable = no_nan(raw).where(
         F.col("transacao_id").isNotNull() & (F.col("valor") > 0) & F.col("dt_transacao").isNotNull()
     )
     others = [c for c in raw.columns if c not in ("transacao_id", _ORDER_FIRST)]
@@ -68,8 +68,8 @@ def join_dimensions(
     """
     one_per_day = days.drop("dia_semana").dropDuplicates(["dt"])
     return (
-        tx.join(members, "associado_id", "left")
-        .join(branches, "agencia_id", "left")
+        tx.join(no_nan(members), "associado_id", "left")
+        .join(no_nan(branches), "agencia_id", "left")
         .join(F.broadcast(one_per_day), "dt", "left")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import MICROS, wall_micros
-from txwatch.functions.hotkeys import sliced_running_sums, split_hot
+from txwatch.functions.hotkeys import sliced_running_sums
 from txwatch.params import Params
 
 # Money is added as exact decimals: a rolling total then does not depend on the order of additions,
@@ -19,20 +19,16 @@ def structuring_windows(tx: DataFrame, params: Params) -> DataFrame:
     """Per member and instant: qtd and soma at that instant, qtd_janela and soma_janela over the
     window (t - hours, t], and whether that window is suspicious.
 
-    A window total is the total so far less the total up to the window's start; both only grow along
-    the time line, so all windows take linear time. Transactions of the same instant share one row.
-
-    `tx` is read more than once and should be a stored table.
+    A window total is the total so far less the total of what has left the window: every instant is
+    marked where it enters and where it leaves, and running totals over the marks take linear time.
+    Transactions of the same instant share one row, and a member's time line is cut into slices.
     """
     small = tx.where(
         F.col("tipo").isin(*params.structuring_types)
         & (F.col("valor") < params.structuring_limit)
         & F.col("associado_id").isNotNull()
     ).select("associado_id", "dt_transacao", "valor")
-    cold, hot = split_hot(small, "associado_id", params)
-    rolled = _cold(cold, params)
-    if hot is not None:
-        rolled = rolled.unionByName(_hot(hot, params))
+    rolled = _rolled(small, params)
     return rolled.selectExpr(
         "*",
         f"soma_janela > cast({params.structuring_limit!r}D as {_SUM}) "
@@ -48,26 +44,7 @@ def _instants(small: DataFrame) -> DataFrame:
     return totals.select("*", wall_micros("dt_transacao").alias("_t"))
 
 
-def _cold(small: DataFrame, params: Params) -> DataFrame:
-    """One shuffle, by member; the steps after it keep that layout."""
-    stay = params.structuring_hours * 3600 * MICROS
-    line = "over (partition by associado_id order by _t range between unbounded preceding and"
-    return _instants(small.repartition("associado_id")).selectExpr(
-        "associado_id",
-        "dt_transacao",
-        "qtd",
-        "soma",
-        f"sum(qtd) {line} current row) - coalesce(sum(qtd) {line} {stay} preceding), 0L) "
-        "as qtd_janela",
-        f"cast(cast(sum(soma) {line} current row) as {_SUM}) "
-        f"- coalesce(cast(sum(soma) {line} {stay} preceding) as {_SUM}), 0) as {_SUM}) "
-        "as soma_janela",
-    )
-
-
-def _hot(small: DataFrame, params: Params) -> DataFrame:
-    """Members with very many rows: every instant is marked where it enters and where it leaves the
-    window, and the running total over marks is taken slice by slice."""
+def _rolled(small: DataFrame, params: Params) -> DataFrame:
     stay = params.structuring_hours * 3600 * MICROS
     both = F.expr(
         "explode(array(struct(_t as t, true as enters), "
@@ -82,7 +59,7 @@ def _hot(small: DataFrame, params: Params) -> DataFrame:
         "if(_mark.enters, qtd, -qtd) as qtd_janela",
         f"cast(if(_mark.enters, soma, -soma) as {_SUM}) as soma_janela",
     )
-    width = params.hot_slice_seconds * MICROS
+    width = params.slice_seconds * MICROS
     rolled = sliced_running_sums(marks, "associado_id", "_t", ["qtd_janela", "soma_janela"], width)
     return rolled.where("dt_transacao is not null").drop("_t")
 

@@ -57,9 +57,6 @@ class Params:
     severity_bands: tuple[tuple[float, str], ...] = SEVERITY_BANDS
     weights: dict[str, float] = field(default_factory=lambda: dict(DEFAULT_WEIGHTS))
 
-    # A key is hot when it owns more than 1/hot_max_keys of all rows (and more than
-    # hot_min_rows of them), so there are fewer than hot_max_keys hot keys at any volume.
-    hot_min_rows: int = 50_000
-    hot_max_keys: int = 4096
-    # Slice of time in which the history of a hot key is cut for running totals.
-    hot_slice_seconds: int = 60
+    # Slice of time in which every key's history is cut for running totals. Rows of one instant are
+    # combined before, so a task holds at most the instants of one key and slice.
+    slice_seconds: int = 3600

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -297,6 +298,11 @@ def structuring_windows(spark, folder):
     return pld.structuring_windows(_stored(spark, folder), PARAMS)
 
 
+@_query
+def structuring_sliced(spark, folder):
+    return pld.structuring_windows(_stored(spark, folder), replace(PARAMS, slice_seconds=60))
+
+
 @_query
 def d5_structuring(spark, folder):
     return pld.structuring(_stored(spark, folder), PARAMS)
@@ -323,6 +329,11 @@ def m1_features(spark, folder):
     return features.member_features(_with_members(spark, folder), PARAMS)
 
 
+@_query
+def m1_features_sliced(spark, folder):
+    return features.member_features(_with_members(spark, folder), replace(PARAMS, slice_seconds=60))
+
+
 @_query
 def m1_forest_train(spark, folder):
     return forest.grow_forest(_feature_table(spark, folder))
@@ -466,6 +477,23 @@ def alerts_by_city(spark, folder):
     )
 
 
+def _engine_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The engine's own alert table: alerts on branches, members and everything."""
+    return materialise(_CATALOGUE["full_scoring"](spark, folder), "engine-alerts")
+
+
+@_query
+def top_branches_engine(spark, folder):
+    tx = _stored(spark, folder)
+    return cockpit.top_branches(_engine_alerts(spark, folder), tx, control_charts.branch_volume(tx))
+
+
+@_query
+def alerts_by_city_engine(spark, folder):
+    branches = sample_map.dim_branch(spark, folder)
+    return cockpit.alerts_by_city(_engine_alerts(spark, folder), _clean(spark, folder), branches)
+
+
 @_query
 def alert_drillthrough(spark, folder):
     branches = sample_map.dim_branch(spark, folder)

@@ -28,26 +28,43 @@ def alerts_by_family_month(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("familia", month).agg(F.count(F.lit(1)).alias("qtd"))
 
 
-def alert_branch(alerts: DataFrame, tx: DataFrame) -> DataFrame:
-    """Alerts with the branch of their transaction. Alerts on a whole branch name it themselves."""
-    where = tx.select("transacao_id", F.col("agencia_id").alias("_agencia"))
-    known = alerts.join(where, "transacao_id", "left")
-    own = F.when(F.col("transacao_id").startswith("AG"), F.col("transacao_id"))
-    return known.withColumn("agencia_id", F.coalesce("_agencia", own)).drop("_agencia")
+def _with_transaction(alerts: DataFrame, tx: DataFrame, *columns: Column) -> DataFrame:
+    """Alerts next to columns of their transaction.
+
+    The fact is first cut down by an inner join with the alerts' ids. There the few alerts can be the
+    build side, so Catalyst broadcasts them by their size and does not exchange the fact; a left join
+    from the alerts could not.
+    """
+    ids = alerts.select("transacao_id").where(F.col("transacao_id").isNotNull()).distinct()
+    hit = tx.select("transacao_id", *columns).join(ids, "transacao_id")
+    return alerts.join(hit, "transacao_id", "left")
+
+
+def alert_branch(alerts: DataFrame, tx: DataFrame, branches: DataFrame) -> DataFrame:
+    """Alerts with the branch of their transaction; an alert on a whole branch, one of the agencia_id of
+    `branches`, has that. Alerts on members or on everything have none."""
+    known = _with_transaction(alerts, tx, F.col("agencia_id").alias("_agencia"))
+    own = branches.select(F.col("agencia_id").alias("_own")).where(F.col("_own").isNotNull()).distinct()
+    known = known.join(own, F.col("transacao_id") == F.col("_own"), "left")
+    return known.withColumn("agencia_id", F.coalesce("_agencia", "_own")).drop("_agencia", "_own")
 
 
 def top_branches(alerts: DataFrame, tx: DataFrame, branch_day: DataFrame, k: int = 10) -> DataFrame:
-    """The k branches with most open alerts per thousand transactions."""
-    opened = alert_branch(alerts.where(F.col("status") == "ABERTO"), tx)
+    """The k branches with most open alerts per thousand transactions, and one row without a branch for
+    the open alerts that belong to none, if there are any."""
+    opened = alert_branch(alerts.where(F.col("status") == "ABERTO"), tx, branch_day)
     opened = opened.groupBy("agencia_id").agg(F.count(F.lit(1)).alias("alertas_abertos"))
     volume = branch_day.groupBy("agencia_id").agg(F.sum("qtd_tx").alias("qtd_tx"))
     ratio = F.try_divide(F.col("alertas_abertos"), F.col("qtd_tx") / 1000)
     rated = volume.join(opened, "agencia_id").withColumn("alertas_por_mil", ratio)
-    return rated.orderBy(F.desc("alertas_por_mil"), "agencia_id").limit(k)
+    best = rated.orderBy(F.desc("alertas_por_mil"), "agencia_id").limit(k)
+    nowhere = opened.where(F.col("agencia_id").isNull())
+    return best.unionByName(nowhere, allowMissingColumns=True)
 
 
 def alerts_by_city(alerts: DataFrame, tx: DataFrame, branches: DataFrame) -> DataFrame:
-    placed = alert_branch(alerts, tx).join(branches, "agencia_id", "left")
+    """Alerts per city and family; those without a branch are counted under no city."""
+    placed = alert_branch(alerts, tx, branches).join(branches, "agencia_id", "left")
     return placed.groupBy("municipio", "familia").agg(F.count(F.lit(1)).alias("qtd"))
 
 
@@ -56,10 +73,8 @@ def alert_drillthrough(
 ) -> DataFrame:
     """Open alerts that meet `condition`, next to the transaction each one points to."""
     opened = alerts.where(F.col("status") == "ABERTO")
-    detail = silver.select(
-        "transacao_id", "agencia_id", "municipio", "valor", "canal", "geo_lat", "geo_lon"
-    )
-    listed = opened.join(detail, "transacao_id", "left")
+    names = ("agencia_id", "municipio", "valor", "canal", "geo_lat", "geo_lon")
+    listed = _with_transaction(opened, silver, *map(F.col, names))
     if condition is not None:
         listed = listed.where(condition)
     return listed.select(
@@ -81,7 +96,7 @@ def alert_drillthrough(
 
 def star_branch_day(fact: DataFrame, branches: DataFrame, days: DataFrame) -> DataFrame:
     """Branch-day fact rolled up over its dimensions."""
-    star = fact.join(branches, "agencia_id", "left").join(F.broadcast(days), "dt", "left")
+    star = fact.join(branches, "agencia_id", "left").join(F.broadcast(days.dropDuplicates(["dt"])), "dt", "left")
     return star.groupBy("municipio", "ano", "mes", "dia_util").agg(
         F.sum("qtd_tx").alias("qtd_tx"),
         F.sum("valor_total").alias("valor_total"),
@@ -91,7 +106,7 @@ def star_branch_day(fact: DataFrame, branches: DataFrame, days: DataFrame) -> Da
 
 def star_operator_day(fact: DataFrame, operators: DataFrame, days: DataFrame) -> DataFrame:
     """Operator-day fact rolled up by role, working day and whether the branch is the operator's own."""
-    star = fact.join(operators, "operador_id", "left").join(F.broadcast(days), "dt", "left")
+    star = fact.join(operators, "operador_id", "left").join(F.broadcast(days.dropDuplicates(["dt"])), "dt", "left")
     home = (F.col("agencia_id") == F.col("agencia_lotacao")).alias("na_lotacao")
     return star.groupBy("funcao", "dia_util", home).agg(
         F.sum("qtd_tx").alias("qtd_tx"),

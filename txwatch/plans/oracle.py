@@ -20,7 +20,7 @@ mapped AS (
     'CT' || lpad(CAST(user_id AS VARCHAR), 10, '0') AS conta_origem,
     CASE WHEN event_type IN ('click', 'purchase')
          THEN 'CT' || lpad(CAST((event_id * 7919) % 200 AS VARCHAR), 10, '0') END AS conta_destino,
-    'AS' || lpad(CAST(user_id AS VARCHAR), 7, '0') AS associado_id,
+    'AS' || lpad(CAST(user_id + CASE WHEN user_id % 17 = 0 THEN 9000000 ELSE 0 END AS VARCHAR), 7, '0') AS associado_id,
     'AG' || lpad(CAST(user_id % 27 AS VARCHAR), 4, '0') AS agencia_id,
     CASE WHEN slot IN (2, 3) THEN 'OP' || lpad(CAST(event_id % 40 AS VARCHAR), 5, '0') END
       AS operador_id,
@@ -93,7 +93,6 @@ member AS (
               THEN least(greatest((10000 - c_acctbal) / 11000, 0.0e0), 1.0e0) END AS score_risco,
          n_name AS uf_residencia
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_acctbal >= 0
 ), branch AS (
   SELECT 'AG' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS agencia_id, n_name AS municipio,
          r_name AS uf,
@@ -477,6 +476,11 @@ def oracle() -> dict[str, str]:
         "SELECT o_custkey AS cliente, CAST(o_orderdate AS DATE) AS dt, avg(o_totalprice) AS x "
         "FROM orders GROUP BY ALL"
     )
+    windows = (
+        f"WITH {_CLEAN}, {_STRUCTURING} SELECT associado_id, "
+        "strftime(dt_transacao, '%Y-%m-%d %H:%M:%S.%f') AS dt_transacao, qtd, "
+        "round(soma, 6) AS soma, qtd_janela, round(soma_janela, 6) AS soma_janela, suspeita FROM st_inst"
+    )
     detect = (
         f"WITH RECURSIVE {_DATED}, {_cusum(_BRANCH_SERIES, 'agencia_id', 5.0)}, "
         f"{_ewma(_PIX_SERIES, 'associado_id')}, {_HOURLY}, {_benford('clean', 'tipo', 'valor')}, "
@@ -491,6 +495,15 @@ def oracle() -> dict[str, str]:
         f"UNION ALL SELECT '-', {common} FROM ({_benford_findings('tipo', True)}) "
         f"UNION ALL SELECT associado_id, {common} FROM ({_structuring_findings(True)}))"
     )
+    engine = f"{detect} {findings}, {_combine('0.0e0')} {_ALERTS}"
+    located = (
+        "SELECT e.*, coalesce(c.agencia_id, CASE WHEN e.transacao_id IN (SELECT agencia_id FROM {known}) "
+        "THEN e.transacao_id END) AS agencia_id FROM engine e LEFT JOIN clean c USING (transacao_id)"
+    )
+    engine_branch = (
+        f"WITH {_CLEAN}, {_DIMS}, engine AS (SELECT * FROM ({engine})), "
+        f"placed AS ({located.format(known='clean')}), located AS ({located.format(known='branch')})"
+    )
     return {
         "bronze_scan": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM bronze",
         "bronze_roundtrip": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM bronze",
@@ -541,12 +554,11 @@ def oracle() -> dict[str, str]:
         "benford_lineitem_by_flag": "WITH "
         f"{_benford('lineitem', 'l_returnflag', 'l_extendedprice')} "
         f"{_benford_findings('l_returnflag')}",
-        "structuring_windows": f"WITH {_CLEAN}, {_STRUCTURING} SELECT associado_id, "
-        "strftime(dt_transacao, '%Y-%m-%d %H:%M:%S.%f') AS dt_transacao, qtd, "
-        "round(soma, 6) AS soma, qtd_janela, round(soma_janela, 6) AS soma_janela, suspeita "
-        "FROM st_inst",
+        "structuring_windows": windows,
+        "structuring_sliced": windows,
         "d5_structuring": f"WITH {_CLEAN}, {_STRUCTURING} {_structuring_findings()}",
         "m1_features": _FEATURES,
+        "m1_features_sliced": _FEATURES,
         "m1_normalise": "WITH raw AS (SELECT 'T' || event_id AS transacao_id, "
         "value / (value + 50.0e0) AS bruto FROM events), span AS (SELECT min(bruto) AS lo, "
         "max(bruto) AS hi, quantile_cont(bruto, 0.99e0) AS p99 FROM raw) "
@@ -588,7 +600,17 @@ def oracle() -> dict[str, str]:
         "round(score, 6) AS score, round(peso_total, 6) AS peso_total, familias, regras, motivos, "
         "severidade, familia FROM combined",
         "alerts_table": f"WITH {_SCORE_FINDINGS}, {_combine()} {_ALERTS}",
-        "full_scoring": f"{detect} {findings}, {_combine('0.0e0')} {_ALERTS}",
+        "full_scoring": engine,
+        "top_branches_engine": f"{engine_branch}, vol AS (SELECT agencia_id, count(*) AS qtd_tx FROM clean "
+        "GROUP BY agencia_id), opened AS (SELECT agencia_id, count(*) AS alertas_abertos FROM placed "
+        "WHERE status = 'ABERTO' GROUP BY agencia_id), best AS (SELECT agencia_id, qtd_tx, alertas_abertos, "
+        "round(alertas_abertos / (qtd_tx / 1000.0e0), 6) AS alertas_por_mil FROM vol JOIN opened "
+        "USING (agencia_id) ORDER BY alertas_abertos / (qtd_tx / 1000.0e0) DESC, agencia_id LIMIT 10) "
+        "SELECT * FROM best UNION ALL SELECT agencia_id, NULL, alertas_abertos, NULL FROM opened "
+        "WHERE agencia_id IS NULL",
+        "alerts_by_city_engine": f"{engine_branch}, named AS (SELECT p.*, b.municipio FROM located p "
+        "LEFT JOIN branch b USING (agencia_id)) SELECT municipio, familia, count(*) AS qtd FROM named "
+        "GROUP BY ALL",
         "severity_distribution": f"WITH {_SCORE_FINDINGS}, {_combine()} SELECT severidade, "
         "count(*) AS qtd FROM combined GROUP BY severidade",
         "alerts_roundtrip": f"WITH {_LABELLED} SELECT alerta_id, transacao_id, "

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from txwatch.functions.columns import no_nan
 from txwatch.sources.schemas import ALERTS
 
 
@@ -44,7 +45,8 @@ def read_bronze(
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
-    """Zoned instants become wall-clock time in the session zone; the rest is untouched."""
+    """Zoned instants become wall-clock time in the session zone, NaN becomes null."""
+    df = no_nan(df)
     zoned = {name for name, kind in df.dtypes if kind == "timestamp"}
     return df.select(
         *[F.col(c).cast("timestamp_ntz").alias(c) if c in zoned else F.col(c) for c in df.columns]
