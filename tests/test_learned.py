@@ -170,7 +170,7 @@ def profiles(spark):
 def test_autoencoder_learns_and_flags_a_planted_profile(spark, profiles):
     table, pdf = profiles
     model = ae.train_autoencoder(table, epochs=60, epochs_per_round=20, batch_size=64)
-    assert [step for step, _ in model.history] == [20, 40, 60]
+    assert [step for step, _, _ in model.history] == [20, 40, 60]
     assert model.history[-1][1] < 0.7 * model.history[0][1]
     assert 0 < model.threshold < 100
     odd = pdf.iloc[:1].copy()

@@ -176,7 +176,7 @@ def test_batch_run_with_models(spark, bronze, tmp_path):
     assert {r["severidade"] for r in rows} <= {"BAIXA", "MEDIA", "ALTA", "CRITICA"}
     assert any("M1_ISOLATION_FOREST" in r["regra_id"] for r in rows)
     assert all(0.5 <= r["score"] <= 1 for r in rows)
-    metrics = medallion.model_metrics(spark, models.autoencoder).collect()
+    metrics = medallion.model_metrics(spark, models).collect()
     assert json.dumps([r["metrica"] for r in metrics]).count("train_loss") == 8
     report = medallion.severity_report(alerts).collect()
     assert sum(r["qtd"] for r in report) == len(rows)

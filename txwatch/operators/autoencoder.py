@@ -33,7 +33,8 @@ class AutoencoderModel:
     mean: np.ndarray
     deviation: np.ndarray
     threshold: float
-    history: list[tuple[int, float]]
+    #: Per round: epochs done, mean training loss, mean loss on the held-out fifth.
+    history: list[tuple[int, float, float]]
     columns: tuple[str, ...] = PROFILE_COLUMNS
 
     def standardise(self, x: np.ndarray) -> np.ndarray:
@@ -127,6 +128,7 @@ def train_autoencoder(
         .select(*columns)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    held_rows = profile.where(part == 0).persist(StorageLevel.MEMORY_AND_DISK)
     inputs = len(columns)
     flat = initial_weights(inputs, seed)
     state = np.concatenate([flat, np.zeros(2 * len(flat))])
@@ -138,9 +140,10 @@ def train_autoencoder(
                 train, state, mean, deviation, done, run, batch_size, rate, seed
             )
             done += run
-            history.append((done, loss))
+            history.append((done, loss, _held_loss(held_rows, state[: len(flat)], mean, deviation)))
     finally:
         train.unpersist()
+        held_rows.unpersist()
 
     weights = state[: len(flat)]
     fitted = AutoencoderModel(weights, mean, deviation, float("nan"), history)
@@ -198,6 +201,13 @@ def _round(
     return out[:-1], float(out[-1])
 
 
+def _held_loss(held: DataFrame, weights: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> float:
+    """Mean reconstruction error, NaN without rows."""
+    now = AutoencoderModel(weights, mean, deviation, float("nan"), [])
+    loss = reconstruction_error(held, now).agg(F.avg("erro")).first()[0]
+    return float("nan") if loss is None else float(loss)
+
+
 def reconstruction_error(profile: DataFrame, model: AutoencoderModel) -> DataFrame:
     """associado_id, ano_mes, erro (mean squared error of the standardised profile)."""
     columns = list(model.columns)

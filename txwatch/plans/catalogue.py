@@ -18,6 +18,7 @@ from txwatch.params import SEVERITY_BANDS, Params
 from txwatch.plans import cockpit, evaluation, medallion
 from txwatch.session import materialise, scratch_path
 from txwatch.sources import sample_map, tables
+from txwatch.sources.model_store import load_models, save_models
 from txwatch.sources.schemas import TRANSACTION_COLUMNS
 from txwatch.streaming.ingest import start_ingestion
 
@@ -370,7 +371,32 @@ def m2_autoencoder_score(spark, folder):
 @_query
 def m2_training_metrics(spark, folder):
     profile = materialise(facts.member_profile(_clean(spark, folder), PARAMS), "profiles")
-    return medallion.model_metrics(spark, ae.train_autoencoder(profile))
+    return medallion.model_metrics(spark, medallion.Models(autoencoder=ae.train_autoencoder(profile)))
+
+
+@_query
+def model_tables_roundtrip(spark, folder):
+    """Rows scored, and rows whose score changes when the models come from their stored tables."""
+    tx = _with_members(spark, folder)
+    matrix = materialise(features.member_features(tx, PARAMS), "features")
+    profile = materialise(facts.member_profile(_clean(spark, folder), PARAMS), "profiles")
+    network = ae.train_autoencoder(profile, epochs=5)
+    fitted = medallion.Models(materialise(forest.grow_forest(matrix, trees=20), "forest"), network)
+    path = scratch_path(spark, "models")
+    save_models(spark, fitted, path)
+    loaded = load_models(spark, path)
+    differ = F.count_if(~F.col("antes").eqNullSafe(F.col("depois"))).alias("diferentes")
+
+    def compared(name: str, before: DataFrame, after: DataFrame, keys: list[str], score: str) -> DataFrame:
+        sides = [d.select(*keys, F.col(score).alias(c)) for d, c in ((before, "antes"), (after, "depois"))]
+        both = sides[0].join(sides[1], keys, "full")
+        return both.agg(F.count(F.lit(1)).alias("linhas"), differ).select(F.lit(name).alias("modelo"), "linhas", "diferentes")
+
+    trees = [forest.forest_scores(matrix, m.forest_nodes) for m in (fitted, loaded)]
+    nets = [ae.reconstruction_error(profile, m.autoencoder) for m in (fitted, loaded)]
+    return compared("isolation_forest", *trees, ["transacao_id"], "bruto").union(
+        compared("autoencoder", *nets, ["associado_id", "ano_mes"], "erro")
+    )
 
 
 @_query

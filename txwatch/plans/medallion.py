@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txwatch.functions.quantiles import exact_quantiles
 from txwatch.operators import autoencoder as ae
 from txwatch.operators import benford, control_charts, facts, features, scoring, silver, structuring
 from txwatch.operators import isolation_forest as forest
+from txwatch.operators.calibrator import Calibrator
 from txwatch.params import Params
 from txwatch.session import materialise
 from txwatch.sources.tables import read_table, write_alerts, write_silver, write_table
@@ -24,10 +26,13 @@ class Dimensions:
 
 @dataclass(frozen=True)
 class Models:
-    """Trained models; either may be missing, its rule is then skipped."""
+    """Trained models; any may be missing, its rule is then skipped."""
 
     forest_nodes: DataFrame | None = None
     autoencoder: ae.AutoencoderModel | None = None
+    calibrator: Calibrator | None = None
+    #: 99th percentile of the forest's raw scores on the training rows.
+    forest_p99: float | None = None
 
 
 def silver_plan(bronze: DataFrame, dims: Dimensions, params: Params) -> DataFrame:
@@ -80,14 +85,27 @@ def train_models(silver_table: DataFrame, params: Params, seed: int = 42) -> Mod
     """Features and profiles are written once and then read by every training step."""
     matrix = materialise(features.member_features(silver_table, params), "features")
     nodes = forest.grow_forest(matrix, seed=seed)
+    nodes = materialise(nodes, "forest")
+    raw = materialise(forest.forest_scores(matrix, nodes), "forest-scores")
+    top = exact_quantiles(raw, "bruto", [0.99]).first()
     profile = materialise(facts.member_profile(silver_table, params), "profiles")
-    return Models(materialise(nodes, "forest"), ae.train_autoencoder(profile, seed=seed))
+    network = ae.train_autoencoder(profile, seed=seed)
+    return Models(nodes, network, forest_p99=top["quantil"] if top else None)
 
 
-def model_metrics(spark: SparkSession, model: ae.AutoencoderModel) -> DataFrame:
-    """Training history and threshold as rows (modelo, metrica, passo, valor)."""
-    rows = [("autoencoder", "train_loss", step, float(loss)) for step, loss in model.history]
-    rows.append(("autoencoder", "threshold_p99", model.history[-1][0], model.threshold))
+def model_metrics(spark: SparkSession, models: Models) -> DataFrame:
+    """Losses per training round, thresholds and validation figures as rows (modelo, metrica, passo, valor)."""
+    rows: list[tuple[str, str, int, float]] = []
+    if models.autoencoder is not None:
+        for step, loss, held in models.autoencoder.history:
+            rows += [("autoencoder", "train_loss", step, float(loss)), ("autoencoder", "val_loss", step, float(held))]
+        last = models.autoencoder.history[-1][0] if models.autoencoder.history else 0
+        rows.append(("autoencoder", "threshold_p99", last, float(models.autoencoder.threshold)))
+    if models.forest_p99 is not None:
+        rows.append(("isolation_forest", "score_p99", 0, float(models.forest_p99)))
+    if models.calibrator is not None:
+        rows.append(("calibrator", "val_auc", 0, float(models.calibrator.auc)))
+        rows.append(("calibrator", "n_train", 0, float(models.calibrator.rows)))
     return spark.createDataFrame(rows, "modelo string, metrica string, passo int, valor double")
 
 

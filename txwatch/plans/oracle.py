@@ -559,6 +559,9 @@ def oracle() -> dict[str, str]:
         "d5_structuring": f"WITH {_CLEAN}, {_STRUCTURING} {_structuring_findings()}",
         "m1_features": _FEATURES,
         "m1_features_sliced": _FEATURES,
+        "model_tables_roundtrip": f"WITH {_CLEAN} SELECT 'isolation_forest' AS modelo, count(*) AS linhas, "
+        "0 AS diferentes FROM clean UNION ALL SELECT 'autoencoder', count(*), 0 FROM (SELECT DISTINCT "
+        "associado_id, strftime(dt_transacao, '%Y-%m') FROM clean WHERE associado_id IS NOT NULL)",
         "m1_normalise": "WITH raw AS (SELECT 'T' || event_id AS transacao_id, "
         "value / (value + 50.0e0) AS bruto FROM events), span AS (SELECT min(bruto) AS lo, "
         "max(bruto) AS hi, quantile_cont(bruto, 0.99e0) AS p99 FROM raw) "

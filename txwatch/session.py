@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,22 +30,10 @@ def build_session(app_name: str = "txwatch", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir.
-
-    Only a local[*] session without the setting falls back to a temporary folder; on a cluster the
-    executors could not see that folder, so the setting is then mandatory.
-    """
+    """The shared folder named by spark.checkpoint.dir; where that is unset, one inside the warehouse,
+    which driver and executors share under every master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_root(spark.sparkContext.applicationId)
-
-
-@cache
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"txwatch-{application}-")
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
