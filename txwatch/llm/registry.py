@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwatch.llm import archive, bpe, decontaminate, layout, near, rule_ensemble, secrets, slots, suffixes, weak_rules
+from txwatch.llm.oracle import SQL
 from txwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,26 +65,6 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Five hex digits of the SHA-1 are four characters of its base 32.
-_BASE32 = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
-    f"(1 + (('0x' || substr(hex, {1 + 5 * k}, 5))::bigint >> {shift}) % 32)::int, 1)"
-    for k in range(8)
-    for shift in (15, 10, 5, 0)
-)
-OP6_SQL = f"""
-with p as (
-  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
-), q as (
-  select page_id, html, hex, min(page_id) over (partition by html) as first_id from p
-)
-select page_id, octet_length(encode(html)) as payload_bytes, {_BASE32} as payload_digest,
-  case when page_id = first_id then 'response' else 'revisit' end as record_type,
-  case when page_id <> first_id then first_id end as refers_to
-from q
-"""
-
-
 def op7_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -120,4 +101,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_content_archive": OP6_SQL}
+    return dict(SQL)
