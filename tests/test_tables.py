@@ -146,16 +146,16 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_scratch_without_the_setting():
-    def session(master):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda name, default: default),
-            sparkContext=SimpleNamespace(master=master, applicationId="local-test"),
-        )
-
-    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]"))
-    with pytest.raises(ValueError):
-        scratch_root(session("spark://host:7077"))
+@pytest.mark.parametrize("master", ["local[2]", "spark://host:7077"])
+def test_scratch_without_the_setting(master):
+    known = {"spark.sql.warehouse.dir": "/shared/warehouse"}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default=None: known.get(name, default)),
+        sparkContext=SimpleNamespace(master=master, applicationId="local-test"),
+    )
+    assert scratch_root(session) == "/shared/warehouse/_scratch"
+    known["spark.checkpoint.dir"] = "/shared/checkpoints"
+    assert scratch_root(session) == "/shared/checkpoints"
 
 
 def test_batch_run_with_models(spark, bronze, tmp_path):

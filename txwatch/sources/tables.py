@@ -55,10 +55,12 @@ def wall_clock(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A stored table. Branch codes used as folder names stay text (0017 must not become 17)."""
-    found = spark.read.option("basePath", path).parquet(path).schema
+    stored = spark.read.option("basePath", path).parquet(path)
     kept = StructType(
-        [StructField(f.name, StringType()) if f.name == "agencia_id" else f for f in found]
+        [StructField(f.name, StringType()) if f.name == "agencia_id" else f for f in stored.schema]
     )
+    if kept == stored.schema:
+        return stored
     return spark.read.schema(kept).option("basePath", path).parquet(path)
 
 
@@ -68,21 +70,25 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERTS])
 
 
-def _write_partitioned(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
-    # Rebalancing puts each folder's rows together, so few files are written per folder, and lets
-    # adaptive execution cut an oversized folder into several tasks.
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(
-        path
-    )
+def _write_daily(df: DataFrame, path: str, day: str, by_branch: bool) -> None:
+    """One folder per day, rows sorted by branch inside, so that row-group statistics prune branches.
+
+    Days already stored and not in `df` stay; days in `df` are replaced. Branch folders below the days are
+    an option for few branches. Rebalancing puts each folder's rows together, so few files are written per
+    folder, and lets adaptive execution cut an oversized folder into several tasks.
+    """
+    by = (day, "agencia_id") if by_branch else (day,)
+    dealt = df.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(day, "agencia_id")
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
 
 
-def write_bronze(df: DataFrame, path: str) -> None:
-    daily = df.withColumn("dt_partition", F.to_date("dt_transacao"))
-    _write_partitioned(daily, path, ("dt_partition", "agencia_id"))
+def write_bronze(df: DataFrame, path: str, by_branch: bool = False) -> None:
+    _write_daily(df.withColumn("dt_partition", F.to_date("dt_transacao")), path, "dt_partition", by_branch)
 
 
-def write_silver(df: DataFrame, path: str) -> None:
-    _write_partitioned(df, path, ("dt", "agencia_id"))
+def write_silver(df: DataFrame, path: str, by_branch: bool = False) -> None:
+    _write_daily(df, path, "dt", by_branch)
 
 
 def write_table(df: DataFrame, path: str) -> None:
