@@ -7,8 +7,9 @@
    a chance below 1e-5 (binomial tail). So they share one of their K - MATCHES + 1 rarest posts: only these
    prefixes are merged. The long lists are skipped, and probed by comparing the two signatures.
 4. Inside a posting list, members are first compared with one pivot per size band, and what is confirmed
-   becomes one component. Then only members of different components are compared, in blocks, so a group of
-   thousands of near copies never makes all its pairs, and no link between components is lost.
+   becomes one component. Then only members of different components are compared, so copies linked to a pivot
+   make no pairs among each other, and no link between components is lost. Members without a link to a pivot
+   are compared one by one: that part grows with the square of their number in a list.
 5. Links are confirmed on the full shingle sets.
 """
 
