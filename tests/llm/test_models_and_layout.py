@@ -106,6 +106,24 @@ def test_layout(html):
     assert layout.layout_text(html) == PAGES[html]
 
 
+SHOWN = {
+    "<head><title>T</title><p>Hello": "Hello", "<head><meta charset=utf-8>\n <title>T</title>\nHello": "Hello",
+    "<html><head><link rel=x><script>s</script><style>y</style><noscript>n</noscript><template>t</template><div>a</div>b": "a\nb",
+    "<head><head><b>a</b>": "a", "<head><title>T</title></head> <body>a": "a", "<body>a<head><title>T</title>b": "ab",
+    "a <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></semantics></math> b": "a x=2 b",
+    "a<svg><title>t</title><desc>d</desc><style>s</style><script>j</script><text>one</text><text>two</text></svg>b": "a one two b",
+    "<p>a<textarea>x  y\n <b></textarea>c": "a\nx  y\n <b>\nc",
+    "<textarea>\na &amp; <i>b": "a & <i>b",
+    "<p>pick <select><option>one<option>two<optgroup><option>three</select> now": "pick\none\ntwo\nthree\nnow",
+    "<datalist><option>no</datalist><svg hidden><text>no</text></svg>a": "a",
+}
+
+
+@pytest.mark.parametrize("html", SHOWN)
+def test_layout_shows_what_browsers_show(html):
+    assert layout.layout_text(html) == SHOWN[html]
+
+
 def test_layout_of_deep_and_long_pages():
     assert layout.layout_text("<div>" * 5000 + "x") == "x"
     assert layout.layout_text("<b>" * 5000 + "x" + "</b>" * 5000) == "x"

@@ -10,6 +10,7 @@ common column widths; preformatted text keeps its spaces. All visible text is ke
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,17 +19,26 @@ from pyspark.sql import functions as F
 
 # Element classes of the HTML standard.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-UNSEEN = set("head title script style template noscript iframe object canvas svg math audio video datalist select textarea".split())
+UNSEEN = set("head title script style template noscript iframe object canvas audio video datalist".split())
+#: Not shown inside the element named.
+UNSEEN_IN = {"desc": "svg", "metadata": "svg", "annotation": "math", "annotation-xml": "math"}
+#: What may stand in a head; anything else, text too, ends it.
+HEAD_CONTENT = set("base basefont bgsound link meta noframes noscript script style template title".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 BLOCK = SPACED | set(
     "address article aside body dd details dialog div dt fieldset figcaption footer form header hgroup html legend li "
     "main menu nav section summary caption".split()
 )
+#: Inline elements that end no paragraph, and whose text has lines of its own.
+LINES = BLOCK | {"option", "optgroup", "textarea"}
+#: Inline elements whose text stands apart from what is beside it.
+APART = {"text", "mtd"}
 #: A start tag closes these open elements first, unless one of the barriers lies between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
@@ -150,6 +160,8 @@ def _number(text: str | None, default: int, most: int) -> int:
 class Layout(HTMLParser):
     """Feed a page, then `close` and read `text`."""
 
+    CDATA_CONTENT_ELEMENTS = (*HTMLParser.CDATA_CONTENT_ELEMENTS, "textarea")
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         root = _Element("#root", False, _Flow(), None, 0, False)
@@ -162,6 +174,8 @@ class Layout(HTMLParser):
         return super().parse_html_declaration(i)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in HEAD_CONTENT:
+            self._end_head()
         if tag in ("td", "th") and not self._inside("tr", "table"):
             self._imply("tr")
         if tag in CLOSES:
@@ -171,14 +185,14 @@ class Layout(HTMLParser):
             self._close_open({"p"}, SCOPES)
         top, flow = self.stack[-1], self.stack[-1].flow
         values = dict(attrs)
-        unseen = top.unseen or _hidden(tag, values)
+        unseen = top.unseen or _hidden(tag, values) or (tag in UNSEEN_IN and self._inside(UNSEEN_IN[tag], "#root"))
         if tag in VOID:
             if not unseen and tag == "br":
                 flow.forced()
             elif not unseen and tag == "hr":
                 flow.break_(2)
             return
-        table, number, pre = top.table, 0, top.pre or tag == "pre"
+        table, number, pre = top.table, 0, top.pre or tag in ("pre", "textarea")
         if tag == "table":
             table = _Table()
         elif tag == "tr" and table and not unseen:
@@ -189,7 +203,9 @@ class Layout(HTMLParser):
             number = _number(values.get("colspan"), 1, 1000)
         if tag in ("li", "td", "th", "caption"):
             flow = _Flow()
-        elif tag in BLOCK and not unseen:
+        elif tag in APART and not unseen:
+            flow.text(" ")
+        elif tag in LINES and not unseen:
             flow.break_(2 if tag in SPACED and not (tag in ("ul", "ol") and self._inside("li", "table")) else 1)
         self.stack.append(_Element(tag, unseen, flow, table, number, pre))
 
@@ -208,12 +224,22 @@ class Layout(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         top = self.stack[-1]
+        if top.tag == "textarea":  # raw up to its end tag, but for character references and a first line break
+            data = unescape(data).replace("\r\n", "\n").removeprefix("\n")
         if not top.unseen:
             top.flow.text(data, top.pre)
 
+    def _end_head(self) -> None:
+        while self.stack[-1].tag == "head":
+            self._leave()
+
     def close(self) -> None:
         super().close()
+        if self.cdata_elem == "textarea" and self.rawdata:
+            self.handle_data(self.rawdata)
         while len(self.stack) > 1:
             self._leave()
 
@@ -260,7 +286,9 @@ class Layout(HTMLParser):
             outer.flow.box([(mark + first).rstrip(), *[" " * len(mark) + line if line else "" for line in rest]], 1)
         elif element.tag in ("td", "th", "caption"):
             outer.flow.box(element.flow.done(), 1)
-        elif element.tag in BLOCK:
+        elif element.tag in APART:
+            outer.flow.text(" ")
+        elif element.tag in LINES:
             outer.flow.break_(2 if element.tag in SPACED and not (element.tag in ("ul", "ol") and self._inside("li", "table")) else 1)
 
 
