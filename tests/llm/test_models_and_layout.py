@@ -73,6 +73,22 @@ def test_shards(spark):
     assert slots.shard_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+@pytest.mark.parametrize("text", ["text {}", "same text"])
+def test_one_id_of_a_third_of_the_rows_spreads(spark, hot, text):
+    docs = [(hot, text.format(k).ljust(50)) for k in range(3000)] + [(k + 10, "other text".ljust(50)) for k in range(6000)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    found = [tuple(r) for r in slots.shard_documents(df).collect()]
+    total, most = [0] * 8, {}
+    for doc_id, size, _, _, shard, _, _, slot, _ in found:
+        total[shard] += size
+        most[slot] = most.get(slot, 0) + 1
+    assert len(found) == 9000 and sum(r[0] == hot for r in found) == 3000
+    assert max(total) < 1.05 * sum(total) / 8 and max(most.values()) < 30
+    again = slots.shard_documents(df.repartition(5)).collect()
+    assert sorted(map(repr, found)) == sorted(repr(tuple(r)) for r in again)
+
+
 def test_rebalancing_moves_few_slots(spark, tmp_path):
     loads = spark.createDataFrame([(s, 10, 1000 + s % 7) for s in range(64)], "vslot int, n_rows long, n_bytes long")
     path = str(tmp_path / "map")

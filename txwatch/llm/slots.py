@@ -1,6 +1,6 @@
 """Sharding over fixed virtual slots (DataFrame functions only).
 
-A record's key hashes into one of a fixed number of slots. Bytes are summed per slot, and a versioned table
+A record's key (all that tells it apart) hashes into one of a fixed number of slots. Bytes are summed per slot, and a versioned table
 maps slots to shards. Placing a record needs only its slot and the table; rebalancing writes a new version in
 which as few slots as possible have moved. The table has `slots` rows at every size of the corpus, so it may
 be collected and broadcast.
@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from txwatch.session import materialise, scratch_path
 
 SLOTS = 4096
+RUN = 1024
 MAP_SCHEMA = "version int, slot int, shard int, n_rows long, n_bytes long"
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """The slot of a key: the first 32 bits of the MD5 of its text. A null key counts as an empty text."""
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+def slot_of(*key: Column, slots: int = SLOTS) -> Column:
+    """The slot of a key: the first 32 bits of the MD5 of its parts' text. A null part counts as an empty text."""
+    digest = F.md5(F.concat_ws("\n", *[F.coalesce(k.cast("string"), F.lit("")) for k in key]).cast("binary"))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(slots)).cast("int")
 
 
@@ -123,11 +124,26 @@ def assign(records: DataFrame, slot_map: DataFrame) -> DataFrame:
     )
 
 
+def copies_numbered(rows: DataFrame) -> DataFrame:
+    """All of `rows` with `copy`, the row's place (0, 1, ...) among rows equal to it.
+
+    Equal rows are counted, combined before the shuffle, and spelled out again in runs of at most RUN rows that
+    are dealt out evenly, so that no task makes all copies of one row.
+    """
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+    last_run = F.floor((F.col("copies") - 1) / RUN)
+    runs = counted.select(*names, "copies", F.explode(F.sequence(F.lit(0).cast("long"), last_run)).alias("run"))
+    last = F.least(F.col("copies"), (F.col("run") + 1) * RUN) - 1
+    return runs.repartition(*names, "run").select(*names, F.explode(F.sequence(F.col("run") * RUN, last)).alias("copy"))
+
+
 def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """Every row of `docs` (doc_id, text) with its size, shard and place; byte totals per shard are near equal.
 
     The map is stored as version 1 at `map_path` (a scratch folder if none is given) and read back. A null
-    text has size 1 and checksum 0. Rows with equal doc_id share a slot.
+    text has size 1 and checksum 0. The law is bytes, so a row's slot follows from its doc_id, size, checksum and
+    place among equal rows: a null or repeated doc_id spreads over the slots, and the same rows get the same slots.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -135,8 +151,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS, map_pa
         F.col("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        slot_of(F.col("doc_id"), slots).alias("vslot"),
     )
+    key = [F.col(c) for c in ("doc_id", "size", "text_crc32", "copy")]
+    records = copies_numbered(records).withColumn("vslot", slot_of(*key, slots=slots)).drop("copy")
     records = materialise(records, "shard-records")
     path = map_path or scratch_path(spark, "slot-map")
     save_map(first_map(spark, slot_loads(records), shards, slots), path)
