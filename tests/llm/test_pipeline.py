@@ -112,6 +112,25 @@ def test_pipeline_equals_brute_force(spark, tmp_path, kind):
     assert sorted((r["doc_id"], r["ids"]) for r in found) == expected([dict(zip(COLUMNS, d)) for d in docs], items)
 
 
+def test_ownership_decides_for_all_base_values(spark, tmp_path):
+    alone = ["hunter2hunter2", "abcdefgh", "horsestaple", "918273645546372819", "kR7000012345tQzLmN8", "s3cr3t"]
+    texts = [(f"password={v} end", "s1") for v in alone] + [("é key zR7kP0000wQ9sLmN4tVx end", "s1"), ("deadbeef" * 3 + " end", None)]
+    copied = [(f"token: {v} end", f"s{k}") for v in ("hunter3hunter3", "zzzzzzzz") for k in range(3)]
+    stock = [("secret=changeme end", "s1"), ("secret=xxxxxxxx end", "s1"), ("api_key=your-example end", "s1"), ("token=12345678 end", "s1")]
+    docs = [(k, t, "en", s, len(t)) for k, (t, s) in enumerate(texts + copied + stock)]
+    found = corpus_pipeline.secret_scan(spark, spark.createDataFrame(docs, TABLE), "").orderBy("doc_id").collect()
+    want = ["password=[SECRET] end"] * len(alone) + ["é key [SECRET] end", "[SECRET] end"] + [t for t, _ in copied + stock]
+    assert [r["text"] for r in found] == want
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
+    write(spark, str(tmp_path), docs, [])
+    listed = {r["doc_id"]: r["spans"] for r in registry.queries()["op9_ownership_scan"](spark, str(tmp_path)).collect()}
+    sql = duckdb.connect()
+    sql.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    answer = sql.execute(registry.oracle_sql()["op9_ownership_scan"])
+    place = [d[0] for d in answer.description].index("spans")
+    assert listed == {r[0]: r[place] for r in answer.fetchall()}
+
+
 def test_stages_keep_columns_and_stand_empty_tables(spark, tmp_path):
     write(spark, str(tmp_path), [], [])
     docs = spark.createDataFrame([], TABLE)

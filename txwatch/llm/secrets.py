@@ -2,7 +2,8 @@
 
 Candidates come from regular expressions. Their values are hashed, and for every hash the distinct
 repositories and owners that hold it are counted over the whole corpus. A value that many owners hold is a
-copied example; a value that stays with few owners and looks random is a live credential.
+copied example; a value that stays with few owners is a live credential. Matches of the added kind must look
+random too.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ KINDS: dict[str, tuple[str, int, int, str]] = {
 }
 BASE = ("assign", "access", "hex")
 MAX_OWNERS = 2
+#: Fragments of copied examples, and values made of nothing else.
+STOCK = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345|abcdef"
+ALL_STOCK = r"(?i)^(?:example|sample|dummy|changeme|placeholder|your|x{4,}|0{4,}|123456?7?8?9?0?|abcdef|[_.-])+$"
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -54,20 +58,18 @@ def _passes() -> Column:
     )
 
 
-def looks_live(value: Column) -> Column:
-    """Random-looking: 16 characters or more, letters and digits, eight different characters, no stock phrase."""
+def looks_random(value: Column) -> Column:
+    """16 characters or more, letters and digits, eight different characters."""
     chars = F.size(F.array_distinct(F.split(value, "")))
-    stock = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345|abcdef"
-    return (
-        (F.char_length(value) >= 16) & value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (chars >= 8) & ~value.rlike(stock)
-    )
+    return (F.char_length(value) >= 16) & value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (chars >= 8)
 
 
 def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """All rows of `docs` with all their columns and `spans`: sorted (start, rank, kind, end, value_start, live).
+    """All rows of `docs` with all their columns and `spans`: sorted (start, rank, kind, end, value_start, live, stock).
 
-    Offsets are code points, the end exclusive. Base kinds always stay; a match of the added kind `mixed` and
-    a `live` mark need a live-looking value that at most `max_owners` owners hold. `owner` names the column of
+    Offsets are code points, the end exclusive. A value that at most `max_owners` owners hold is `live` unless it
+    is made of stock phrases alone; of the added kind `mixed` it must look random. Base kinds stay, live or not;
+    a match of `mixed` stays if it is live. `stock` tells that a stock phrase is anywhere inside. `owner` names the column of
     the owner; a repository is an owner's value of `repository`. Null owners count as one owner. A null text
     has no spans. Columns named row_, found_ or spans are replaced.
     """
@@ -88,24 +90,25 @@ def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang
         .select(
             "row_", "owner", "repository", "kind", "end", (F.col("end") - F.col("len")).alias("start"),
             (F.col("end") - F.char_length("value")).alias("value_start"),
-            F.sha2(F.col("value").cast("binary"), 256).alias("hash"), looks_live(F.col("value")).alias("looks_live"),
+            F.sha2(F.col("value").cast("binary"), 256).alias("hash"), F.col("value").rlike(STOCK).alias("stock"),
+            (~F.col("value").rlike(ALL_STOCK) & (F.col("kind").isin(*BASE) | looks_random(F.col("value")))).alias("candidate"),
         )
     )
     placed = materialise(placed, "secret-places")
     # Distinct owners first, each step combined before its shuffle: a value held a million times is a few rows.
-    holders = placed.where("looks_live").groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+    holders = placed.where("candidate").groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     by_owner = holders.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
     frequency = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
     rank = F.lit(len(KINDS))
     for k, kind in enumerate(KINDS):
         rank = F.when(F.col("kind") == kind, k).otherwise(rank)
     judged = placed.join(frequency, "hash", "left").withColumn(
-        "live", F.col("looks_live") & (F.coalesce("owners", F.lit(0)) <= max_owners)
+        "live", F.col("candidate") & (F.coalesce("owners", F.lit(0)) <= max_owners)
     ).where(F.col("kind").isin(*BASE) | F.col("live"))
     per_row = judged.groupBy("row_").agg(
-        F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "value_start", "live"))).alias("spans")
+        F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "value_start", "live", "stock"))).alias("spans")
     )
-    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value_start:bigint,live:boolean>>")
+    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value_start:bigint,live:boolean,stock:boolean>>")
     return (
         base.drop("found_", "spans").join(per_row, "row_", "left").withColumn("spans", F.coalesce("spans", none)).drop("row_")
     )
@@ -120,6 +123,11 @@ def base_only(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*BASE))
 
 
+def without_stock(spans: Column) -> Column:
+    """The spans less those of the added kind with a stock phrase inside, as the SQL counterpart lists them."""
+    return F.filter(spans, lambda s: s["kind"].isin(*BASE) | ~s["stock"])
+
+
 def n_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
