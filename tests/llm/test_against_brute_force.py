@@ -122,6 +122,24 @@ def test_archive(spark, tmp_path):
     assert spark.read.format("binaryFile").load(str(tmp_path / "w")).count() >= 1
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_archive_with_null_ids(spark, tmp_path, kind):
+    pages = [(None, None, ""), (4, "u", ""), (3, "u", None), (None, "n", "alone"), (None, "m", "alone"), (5, "u", "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("page_id", F.col("page_id").cast(kind))
+    df = df.union(df.where("page_id = 5").select(F.lit("null" if kind == "string" else "6").cast(kind), "url", "html"))
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+    found = {(str(r[0]), r[1], r[3], r[4] and str(r[4])) for r in registry.queries()["op6_content_archive"](spark, str(tmp_path)).collect()}
+    other = "null" if kind == "string" else "6"
+    assert found == {
+        ("None", 0, "revisit", None), ("3", 0, "response", None), ("4", 0, "revisit", "3"), ("None", 5, "response", None),
+        ("5", 1, "response", None), (other, 1, "revisit", "5"),
+    }
+    archive.write_archive(df, str(tmp_path / "a"))
+    records = archive.read_archive(spark, str(tmp_path / "a"), kind)
+    assert {r[0] for r in records.where("page_id is null and n_bytes = 0").select("refers_to").collect()} == {"3"}
+    assert records.where("page_id is null and header not like '%<urn:no-page>%'").isEmpty()
+
+
 def test_damaged_archive_is_refused(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "good")], "page_id long, url string, html string")
     archive.write_archive(pages, str(tmp_path / "a"))

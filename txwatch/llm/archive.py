@@ -14,6 +14,8 @@ from txwatch.session import materialise
 
 EOL = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: The record id of a null page_id, which no page's id can equal.
+NO_PAGE = "<urn:no-page>"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -36,7 +38,8 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
     Of the records with equal payloads of at least `min_bytes` bytes, the one with the smallest page_id is a
     response and the others revisit it; smaller payloads are responses throughout. A null html is an empty
-    payload. Rows that repeat a response's page_id and payload are responses too. Null page_ids come first.
+    payload. Rows that repeat a response's page_id and payload are responses too. A null page_id is a response
+    only where its payload has no other, and its record's own id is NO_PAGE.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     records = pages.select(
@@ -47,7 +50,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     narrow = records.drop("payload")
     # Smallest page_id per payload: a combinable aggregate without the payload bytes.
     first = materialise(
-        narrow.groupBy("digest").agg(F.min(F.struct("page_id")).alias("first")).select("digest", "first.page_id"),
+        narrow.groupBy("digest").agg(F.min("page_id").alias("page_id")),
         "warc-first",
     )
     (
@@ -59,7 +62,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     )
     joined = narrow.join(first.withColumnRenamed("page_id", "first_id"), "digest")
     revisit = (F.col("n_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
+    urn = lambda c: F.coalesce(F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">")), F.lit(NO_PAGE))
     header = _header(
         F.col("url"),
         [
@@ -78,6 +81,8 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 def read_archive(spark: SparkSession, path: str, page_id_type: str = "bigint") -> DataFrame:
     """Reconstruct every record: page_id, header, payload (the full one, for revisits too) and record bytes.
 
+    `refers_to` is null where the header refers to no page.
+
     A payload whose SHA-256, SHA-1 or length disagrees with its key or header stops the query.
     """
     headers = spark.read.schema(f"page_id {page_id_type}, payload_key string, header binary").parquet(f"{path}/headers")
@@ -90,11 +95,12 @@ def read_archive(spark: SparkSession, path: str, page_id_type: str = "bigint") -
     )
     text = F.col("header").cast("string")
     field = lambda name: F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)", 1)
+    referred, page = field("WARC-Refers-To"), "^<urn:page:(.*)>$"
     records = headers.join(verified, headers["payload_key"] == verified["digest"], "left").select(
         "page_id", "header", "payload", "n_bytes", "sha1",
         field("WARC-Type").alias("record_type"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
-        F.regexp_extract(field("WARC-Refers-To"), "^<urn:page:(.*)>$", 1).alias("refers_to"),
+        F.when(referred.rlike(page), F.regexp_extract(referred, page, 1)).alias("refers_to"),
         field("Content-Length").cast("long").alias("content_length"),
     )
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))

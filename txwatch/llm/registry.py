@@ -61,7 +61,8 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archive.read_archive(spark, path, id_type)
     return records.select(
         "page_id", F.col("n_bytes").alias("payload_bytes"), "payload_digest", "record_type",
-        F.when(F.col("record_type") == "revisit", F.col("refers_to")).cast(id_type).alias("refers_to"),
+        # As the SQL counterpart: a row without page_id refers to none; its record's header does.
+        F.when(F.col("page_id").isNotNull(), F.col("refers_to")).cast(id_type).alias("refers_to"),
     )
 
 
