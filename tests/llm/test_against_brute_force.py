@@ -140,6 +140,14 @@ def test_archive_with_null_ids(spark, tmp_path, kind):
     assert records.where("page_id is null and header not like '%<urn:no-page>%'").isEmpty()
 
 
+def test_archive_query_rebuilds_records(spark, tmp_path):
+    """What the query selects cannot be had without the bytes of the rebuilt records."""
+    spark.createDataFrame(fixtures.pages(), "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = registry.queries()["op6_content_archive"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(header" in plan and found.count() == len(fixtures.pages())
+
+
 def test_damaged_archive_is_refused(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "good")], "page_id long, url string, html string")
     archive.write_archive(pages, str(tmp_path / "a"))

@@ -83,21 +83,23 @@ def read_archive(spark: SparkSession, path: str, page_id_type: str = "bigint") -
 
     `refers_to` is null where the header refers to no page.
 
-    A payload whose SHA-256, SHA-1 or length disagrees with its key or header stops the query.
+    A payload whose SHA-256, SHA-1 or length disagrees with its key or header stops the query, and so does a
+    rebuilt record that does not hold its header, its payload and the closing line breaks at their places.
+    `payload_digest` is given only after that, so whoever reads it has had the records rebuilt.
     """
     headers = spark.read.schema(f"page_id {page_id_type}, payload_key string, header binary").parquet(f"{path}/headers")
     payloads = spark.read.schema("digest string, n_bytes bigint, payload binary").parquet(f"{path}/payloads")
     # Digests and lengths are verified once per stored payload, before copies fan out.
     sound = (F.sha2("payload", 256) == F.col("digest")) & (F.octet_length("payload") == F.col("n_bytes"))
     verified = payloads.select(
-        "digest", "n_bytes", base32_sha1(F.col("payload")).alias("sha1"),
+        "digest", "n_bytes", base32_sha1(F.col("payload")).alias("sha1"), F.sha1("payload").alias("sha1_hex"),
         F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest")).cast("binary")).alias("payload"),
     )
     text = F.col("header").cast("string")
     field = lambda name: F.regexp_extract(text, rf"\r\n{name}: ([^\r\n]*)", 1)
     referred, page = field("WARC-Refers-To"), "^<urn:page:(.*)>$"
     records = headers.join(verified, headers["payload_key"] == verified["digest"], "left").select(
-        "page_id", "header", "payload", "n_bytes", "sha1",
+        "page_id", "header", "payload", "n_bytes", "sha1", "sha1_hex",
         field("WARC-Type").alias("record_type"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
         F.when(referred.rlike(page), F.regexp_extract(referred, page, 1)).alias("refers_to"),
@@ -105,12 +107,21 @@ def read_archive(spark: SparkSession, path: str, page_id_type: str = "bigint") -
     )
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     agrees = (F.col("sha1") == F.col("payload_digest")) & (F.octet_length(body) == F.col("content_length"))
+    closing = F.lit((EOL * 2).encode())
+    record = F.concat(F.col("header"), body, closing)
+    at, size = F.octet_length("header"), F.col("content_length").cast("int")
+    whole = (
+        (F.octet_length(record) == at + size + len(EOL * 2))
+        & (F.substring(record, F.lit(1), at) == F.col("header"))
+        & ((F.col("record_type") != "response") | (F.sha1(F.substring(record, at + 1, size)) == F.col("sha1_hex")))
+        & (F.substring(record, at + size + 1, F.lit(len(EOL * 2))) == closing)
+    )
     return records.select(
         "page_id", "header", "payload", "n_bytes", "record_type", "refers_to",
-        F.when(agrees, F.col("payload_digest"))
+        F.when(agrees & whole, F.col("payload_digest"))
         .otherwise(F.raise_error(F.lit("record header does not match its payload")).cast("string"))
         .alias("payload_digest"),
-        F.concat(F.col("header"), body, F.lit((EOL * 2).encode())).alias("record"),
+        record.alias("record"),
     )
 
 
