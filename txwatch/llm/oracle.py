@@ -204,6 +204,42 @@ select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(
 from d left join g using (row)
 """
 
+OP13_SQL = """
+with recursive v as (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x
+  from embeddings where len(embedding) = 64
+    and len(list_filter(embedding, lambda e: coalesce(isfinite(e::double), false))) = 64
+), first as (
+  select list(x order by h, x) as cs from (
+    select sha256('3:' || vec_id) as h, x from v order by h nulls last, x limit 8
+  )
+), rounds(round, cs) as (
+  select 0, cs from first
+  union all
+  select any_value(round) + 1, list(coalesce(moved, old) order by c) from (
+    select o.round, o.c, o.old, m.moved from (
+      select round, unnest(range(1, len(cs) + 1)) as c, unnest(cs) as old from rounds where round < 10
+    ) o left join (
+      select c, list((s - ((s % n) + n) % n) // n order by p) as moved from (
+        select c, p, sum(xp)::hugeint as s, count(*) as n from (
+          select list_position(ds, list_min(ds)) as c, unnest(range(1, 65)) as p, unnest(x) as xp from (
+            select x, list_transform(cs, lambda k: list_sum(list_transform(list_zip(x, k), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint) as ds
+            from v, rounds where round < 10
+          )
+        ) group by c, p
+      ) group by c
+    ) m using (c)
+  ) group by round
+), last as (
+  select vec_id, cs, list_transform(cs, lambda k: list_sum(list_transform(list_zip(x, k), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint) as ds
+  from v, rounds where round = 10
+), placed as (
+  select vec_id, list_position(ds, list_min(ds)) as c, list_min(ds) as distance, cs from last
+)
+select vec_id, (c - 1)::int as cluster, distance, (sum(distance) over (partition by c))::bigint as cluster_inertia,
+  (sum(distance) over ())::bigint as inertia, sha256(array_to_string(cs[c], ',')) as centroid_sha256 from placed
+"""
+
 SQL = {
     "op2_minhash_join": OP2_SQL,
     "op3_suffix_dedup": OP3_SQL,
@@ -211,4 +247,5 @@ SQL = {
     "op6_content_archive": OP6_SQL,
     "op7_prefix_join": OP7_SQL,
     "op9_ownership_scan": OP9_SQL,
+    "op13_bisector_clusters": OP13_SQL,
 }

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.llm import archive, bpe, decontaminate, layout, near, rule_ensemble, secrets, slots, suffixes, weak_rules
+from txwatch.llm import (
+    archive, bpe, centroids, decontaminate, layout, near, rule_ensemble, secrets, slots, suffixes, weak_rules,
+)
 from txwatch.llm.oracle import SQL
 from txwatch.session import scratch_path
 
@@ -94,10 +96,14 @@ def op10_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_rule_ensemble, op2_minhash_join, op3_suffix_dedup, op4_weak_rules, op5_virtual_slots, op6_content_archive,
-        op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe,
+        op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe, op13_bisector_clusters,
     )}
 
 
