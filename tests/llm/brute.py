@@ -133,3 +133,64 @@ def base_secrets(docs):
 
 def crc(text: str | None) -> int:
     return zlib.crc32((text or "").encode())
+
+
+def repaired_conversations(table):
+    """Damage and cheapest repair of (conv_id, turn, role, text) rows by a search over whole audits."""
+    white = " \t\n\x0b\x0c\r"
+    known = lambda v: " " if v is None else str(v)
+    rows = defaultdict(list)
+    for conv, turn, role, text in table:
+        kind = zlib.crc32(f"{known(conv)}:{known(turn)}".encode()) % 20
+        role, text = known(role), known(text)
+        own = rows[conv]
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    out = []
+    for conv, own in rows.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest()))
+        faults, seen = [], set()
+        for _, role, text in own:
+            last = text.rstrip(white)[-1:]
+            faults.append("blank" if not last else "duplicate" if (role, text) in seen else "" if last in ".!?" else "truncated")
+            seen.add((role, text))
+        turns = [t for t, _, _ in own if t is not None]
+        initials = [r[1][:1] for r in own]
+        best = {"": (0, "", ())}  # by the initials' state: cost, audit, lines; least audit of all cheapest ones
+
+        def after(state, letter):
+            allowed = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+            return letter if letter and letter in allowed else None
+
+        def put(table, state, entry):
+            if state is not None and (state not in table or entry[:2] < table[state][:2]):
+                table[state] = entry
+
+        def inserted(table):
+            for _ in range(3):
+                for state, (cost, audit, lines) in list(table.items()):
+                    for role in ("user", "assistant"):
+                        put(table, after(state, role[0]), (cost + 2, audit + "I", (*lines, f"{role}:")))
+            return table
+
+        for (_, role, text), fault in zip(own, faults):
+            fresh = {}
+            for state, (cost, audit, lines) in inserted(best).items():
+                put(fresh, state, (cost + 3, audit + "D", lines))
+                if fault in ("blank", "duplicate"):
+                    continue
+                more = fault == "truncated"
+                put(fresh, after(state, role[:1]), (cost + more, audit + "K", (*lines, f"{role}:{text}")))
+                for other in ("user", "assistant"):
+                    put(fresh, after(state, other[0]), (cost + 2 + more, audit + "R", (*lines, f"{other}:{text}")))
+            best = fresh
+        best = inserted(best)
+        cost, audit, lines = min(best[s] for s in ("", "a") if s in best)
+        out.append((
+            conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            *[faults.count(f) for f in ("blank", "duplicate", "truncated")],
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit, sha("\n".join(lines)),
+        ))
+    return out

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txwatch.llm import (
-    archive, bpe, centroids, decontaminate, layout, near, rule_ensemble, secrets, simhash, slots, suffixes,
-    weak_rules,
+    archive, bpe, centroids, conversations, decontaminate, layout, near, rule_ensemble, secrets, simhash, slots,
+    suffixes, weak_rules,
 )
 from txwatch.llm.oracle import SQL
 from txwatch.session import scratch_path
@@ -97,6 +97,10 @@ def op10_stream_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+def op11_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -108,7 +112,8 @@ def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_rule_ensemble, op2_minhash_join, op3_suffix_dedup, op4_weak_rules, op5_virtual_slots, op6_content_archive,
-        op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe, op12_covering_simhash, op13_bisector_clusters,
+        op7_prefix_join, op8_layout_text, op9_ownership_scan, op10_stream_bpe, op11_path_ranking, op12_covering_simhash,
+        op13_bisector_clusters,
     )}
 
 
