@@ -194,3 +194,53 @@ def repaired_conversations(table):
             sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit, sha("\n".join(lines)),
         ))
     return out
+
+
+def fingerprint64(text, size=3):
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    size = min(size, len(words))
+    codes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + size]), seed=42) for i in range(len(words) - size + 1)]
+    return sum(1 << bit for bit in range(64) if 2 * sum(c >> bit & 1 for c in codes) > len(codes))
+
+
+def closest_groups(codes, radius=3):
+    """The smallest index reachable over pairs of codes that differ in at most `radius` bits."""
+    parent = list(range(len(codes)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(codes):
+        for j in range(i):
+            if (a ^ codes[j]).bit_count() <= radius:
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return [find(i) for i in range(len(codes))]
+
+
+def clusters(vectors, k=8, rounds=10, width=64):
+    """Lloyd rounds over (vec_id, embedding) in Python integers."""
+    import math
+
+    kept = [(i, [math.floor(1024 * float(v)) for v in e]) for i, e in vectors
+            if e is not None and len(e) == width and all(v is not None and math.isfinite(v) for v in e)]
+    first = sorted(kept, key=lambda r: (r[0] is None, sha(f"3:{r[0]}"), r[1]))[:k]
+    centroids = [x for _, x in first]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, x in kept:
+            members[nearest(x)[1]].append(x)
+        centroids = [[sum(v) // len(members[n]) for v in zip(*members[n])] if members[n] else c for n, c in enumerate(centroids)]
+    placed = [(i, *nearest(x)) for i, x in kept]
+    return [(i, n, d, sum(e for _, e, m in placed if m == n), sum(e for _, e, _ in placed), sha(",".join(map(str, centroids[n]))))
+            for i, d, n in placed]

@@ -160,7 +160,7 @@ def test_damaged_archive_is_refused(spark, tmp_path):
 
 def test_sql_counterparts(spark):
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         connection.execute(f"create view {name} as select * from '{SAMPLE}/{name}.parquet'")
     for name, sql in registry.oracle_sql().items():
         got = registry.queries()[name](spark, SAMPLE)

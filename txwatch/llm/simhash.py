@@ -7,8 +7,8 @@ them: the mask of that table leaves out every differing bit, and the pair collid
 
 Each table fixes about half of the bits. A bucket of many fingerprints is not compared pair by pair: its members
 are posted again, under the covering masks of the bits that the bucket does not fix. The guarantee holds again
-for these. With radius 3 a bucket leaves 30, then 14, then at most 7 bits open, and as fingerprints are distinct,
-a bucket of the last level has at most 2^7 members: a bound that does not grow with the corpus. Inside a bucket
+for these. With radius 3 a bucket leaves at most 32, then 16, then 8 bits open, and as fingerprints are distinct,
+a bucket of the last level has at most 2^8 members: a bound that does not grow with the corpus. Inside a bucket
 only a spanning forest of the links is kept, so a dense group yields one edge per member and bucket.
 """
 
@@ -30,7 +30,7 @@ BITS = 64
 #: Buckets up to this size are compared at once; larger ones are dealt out by further masks.
 LIGHT = 32
 #: Open bits with which a bucket is compared whatever its size: at most 2**LEAF fingerprints.
-LEAF = 7
+LEAF = 8
 _CHUNK = 1 << 14
 
 
