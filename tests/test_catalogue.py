@@ -27,9 +27,8 @@ def duck():
 
 def test_every_sql_text_belongs_to_a_query():
     assert set(SQL) <= set(queries())
-    assert set(queries()) - set(SQL) == {
-        "m1_forest_train", "m1_forest_score", "m2_autoencoder_score", "m2_training_metrics", "m3_calibrated"
-    }
+    # Mini-batch training of the network has no SQL form; test_learned.py checks what it learns.
+    assert set(queries()) - set(SQL) == {"m2_autoencoder_score", "m2_training_metrics"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pandas as pd
@@ -108,7 +109,7 @@ def test_forest_ranks_planted_outliers_first(spark, cloud):
     nodes = materialise(forest.grow_forest(cloud), "nodes")
     table = nodes.toPandas()
     assert table["arvore"].nunique() == forest.TREES
-    roots = table[table["no"] == 0]
+    roots = table[table["no"] == 1]
     assert (roots["tamanho"] == forest.SAMPLE).all() and table["profundidade"].max() <= 8
     leaves = table[table["coluna"] < 0].groupby("arvore")["tamanho"].sum()
     assert (leaves == forest.SAMPLE).all()
@@ -134,12 +135,82 @@ def test_forest_does_not_depend_on_partitions(cloud):
     )
 
 
+def brute_score(table: pd.DataFrame, row: np.ndarray) -> float:
+    """Score of one row by walking node by node."""
+    total, trees = 0.0, table["arvore"].unique()
+    for tree in trees:
+        nodes, at = table[table["arvore"] == tree].set_index("no"), 1
+        while nodes.at[at, "coluna"] >= 0:
+            right = row[nodes.at[at, "coluna"]] > nodes.at[at, "corte"]
+            at = nodes.at[at, "direita"] if right else nodes.at[at, "esquerda"]
+        total += nodes.at[at, "profundidade"] + forest.average_path(nodes.at[at, "tamanho"])
+    return 2 ** (-total / len(trees) / forest.average_path(table[table["no"] == 1]["tamanho"].max()))
+
+
+def test_walk_equals_brute_force(cloud):
+    few = cloud.orderBy("transacao_id").limit(40)
+    nodes = forest.grow_forest(cloud, trees=7)
+    table = nodes.toPandas()
+    got = {r["transacao_id"]: r["bruto"] for r in forest.forest_scores(few, nodes).collect()}
+    for row in few.toPandas().itertuples(index=False):
+        assert got[row[0]] == pytest.approx(brute_score(table, np.round(np.array(row[1:], dtype=float), 6)), abs=1e-9)
+
+
+def test_sample_is_the_lowest_draws(cloud):
+    rows = forest.with_group(cloud).select("grupo", "transacao_id")
+    picked = forest.sample_rows(rows, trees=3, sample=20).toPandas()
+
+    def draw(*parts):
+        return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+
+    ids = [r[0] for r in cloud.select("transacao_id").collect()]
+    for tree in range(3):
+        want = sorted(ids, key=lambda i: (draw(42, tree, i), i))[:20]
+        assert sorted(picked[picked["arvore"] == tree]["transacao_id"]) == sorted(want)
+
+
+def test_forest_per_group(spark, cloud):
+    name = "case when id % 10 < 6 then 'hot' when id % 10 < 9 then 'b' when id % 20 = 9 then 'few' end as canal"
+    grouped = cloud.selectExpr("*", "cast(substring(transacao_id, 2) as int) as id").selectExpr(*cloud.columns, name)
+    grouped = materialise(grouped, "grouped")
+    nodes = forest.grow_forest(grouped, trees=5, group="canal")
+    table = nodes.toPandas()
+    assert set(table["grupo"]) == {"hot", "b", forest.REST}
+    assert (table[table["no"] == 1]["tamanho"] == forest.SAMPLE).all()
+    alone = forest.grow_forest(grouped.where("canal = 'b'"), trees=5, group="canal").toPandas()
+    key = ["arvore", "no"]
+    pd.testing.assert_frame_equal(
+        alone.sort_values(key).reset_index(drop=True),
+        table[table["grupo"] == "b"].sort_values(key).reset_index(drop=True),
+    )
+    odd = grouped.withColumn("canal", F.when(F.col("canal") == "few", "new").otherwise(F.col("canal")))
+    raw = materialise(forest.forest_scores(odd, nodes, group="canal"), "raw")
+    assert raw.count() == 3000 and raw.where("bruto is null").isEmpty()
+    assert {r[0] for r in raw.select("grupo").distinct().collect()} == {"hot", "b", forest.REST}
+    found = forest.normalise(raw).groupBy("grupo").agg(F.min("score"), F.max("score"), F.count_if("alerta"))
+    assert {r[0]: tuple(r)[1:] for r in found.collect()} == {
+        "hot": (0.0, 1.0, 18), "b": (0.0, 1.0, 9), forest.REST: (0.0, 1.0, 3)}
+    none = forest.forest_scores(odd, nodes.where("grupo <> '*'"), group="canal")
+    assert none.where("bruto is null").count() == 300 and forest.normalise(materialise(none, "raw")).count() == 2700
+
+
+def test_forest_of_equal_rows_and_no_rows(spark, cloud):
+    same = spark.range(50).select(F.concat(F.lit("t"), "id").alias("transacao_id"), *[F.lit(0.5).alias(c) for c in FEATURE_COLUMNS])
+    nodes = forest.grow_forest(same, trees=4)
+    assert nodes.count() == 4 and nodes.where("coluna >= 0").isEmpty()
+    found = forest.normalise(materialise(forest.forest_scores(same, nodes), "raw"))
+    assert found.where("score = 0 and alerta").count() == 50
+    nothing = same.limit(0)
+    assert forest.grow_forest(nothing, trees=4).count() == 0
+    assert forest.forest_scores(nothing, nodes).count() == 0
+
+
 @pytest.mark.parametrize("rows", [1, 10, 300, 1500])
 def test_forest_on_small_batches(cloud, rows):
     few = cloud.orderBy("transacao_id").limit(rows)
     nodes = forest.grow_forest(few, trees=10).toPandas()
     assert nodes["arvore"].nunique() == 10
-    assert (nodes[nodes["no"] == 0]["tamanho"] == min(rows, forest.SAMPLE)).all()
+    assert (nodes[nodes["no"] == 1]["tamanho"] == min(rows, forest.SAMPLE)).all()
 
 
 def test_gradient_matches_finite_differences():
@@ -213,21 +284,41 @@ def test_calibrator_is_a_stationary_point_and_separates(judged):
     assert fitted.rows == 600 and fitted.auc > 0.75
     scored = calibrator.apply_calibrator(fitted, judged).toPandas()
     assert scored["prob_confirmacao"].between(0, 1).all()
-    logistic = fitted.model.stages[-1]
     # Gradient of |w|^2 / 2 + C * sum of log losses over the training part vanishes at the optimum.
-    lot = F.xxhash64(F.col("alerta_id"), F.lit(42))
-    cuts = judged.withColumn("_lot", lot).groupBy("confirmado").agg(
-        F.percentile_approx("_lot", 0.25, 10_000).alias("c")
-    )
-    train = judged.withColumn("_lot", lot).join(cuts, "confirmado").where("_lot > c").toPandas()
-    assert abs(len(train) - 450) <= 3
-    scaler = fitted.model.stages[1]
-    xs = (train[list(calibrator.SCORE_COLUMNS)].to_numpy() - scaler.mean.toArray()) / scaler.std.toArray()
-    w = logistic.coefficients.toArray()
-    p = 1 / (1 + np.exp(-(xs @ w + logistic.intercept)))
-    gradient = w + xs.T @ (p - train["confirmado"].to_numpy())
-    assert np.abs(gradient).max() < 1e-3
-    assert abs((p - train["confirmado"]).sum()) < 1e-3
+    pdf = judged.toPandas()
+    lot = np.array([int(hashlib.md5(f"42:{a}".encode()).hexdigest()[:13], 16) for a in pdf["alerta_id"]], dtype=float)
+    cut = {y: np.quantile(lot[pdf["confirmado"] == y], 0.25) for y in (0, 1)}
+    kept = lot > pdf["confirmado"].map(cut).to_numpy()
+    assert abs(kept.sum() - 450) <= 1
+    raw = pdf[list(calibrator.SCORE_COLUMNS)].to_numpy()
+    np.testing.assert_allclose(fitted.mean, raw.mean(axis=0), rtol=1e-12)
+    np.testing.assert_allclose(fitted.deviation, raw.std(axis=0), rtol=1e-9)
+    xs, y = ((raw - fitted.mean) / fitted.deviation)[kept], pdf["confirmado"].to_numpy()[kept]
+    p = 1 / (1 + np.exp(-(xs @ fitted.weights + fitted.intercept)))
+    assert np.abs(fitted.weights + xs.T @ (p - y)).max() < 1e-8 and abs((p - y).sum()) < 1e-8
+    again = calibrator.train_calibrator(judged.repartition(7))
+    np.testing.assert_allclose(again.weights, fitted.weights, atol=1e-10)
+
+
+@pytest.mark.parametrize("kind", ["separable", "constant", "nulls"])
+def test_calibrator_on_hard_tables(spark, kind):
+    rng = np.random.default_rng(1)
+    x = rng.random((200, len(calibrator.SCORE_COLUMNS)))
+    y = (x[:, 0] > 0.5).astype(int)
+    pdf = pd.DataFrame(x, columns=list(calibrator.SCORE_COLUMNS))
+    if kind == "constant":
+        pdf[list(calibrator.SCORE_COLUMNS[1:])] = 0.25
+    pdf["confirmado"], pdf["alerta_id"] = y, [f"a{i // 2}" for i in range(200)]
+    df = spark.createDataFrame(pdf).withColumn("p", F.lit("clash"))
+    if kind == "nulls":
+        df = df.withColumn("score_D2_EWMA", F.when(F.col("score_D2_EWMA") > 0.5, F.col("score_D2_EWMA")))
+        df = df.withColumn("score_D4_BENFORD", F.lit(None).cast("double"))
+    fitted = calibrator.train_calibrator(materialise(df, "hard"))
+    assert np.isfinite(fitted.weights).all() and fitted.auc > 0.95
+    if kind != "separable":
+        assert abs(fitted.weights[3]) < 1e-9 and fitted.deviation[3] == 1.0
+    scored = calibrator.apply_calibrator(fitted, df)
+    assert scored.columns == [*df.columns, "prob_confirmacao"] and scored.where("prob_confirmacao is null").isEmpty()
 
 
 def test_calibrator_refuses_thin_history(judged):

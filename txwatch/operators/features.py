@@ -32,8 +32,8 @@ _STATS = ["ticket", "lat_mediana", "lon_mediana"]
 _DEGREES = 2.0**-4
 
 
-def member_features(silver: DataFrame, params: Params) -> DataFrame:
-    """transacao_id and the eleven features; NaN counts as missing.
+def member_features(silver: DataFrame, params: Params, keep: tuple[str, ...] = ()) -> DataFrame:
+    """transacao_id, the eleven features and the columns `keep` of `silver`; NaN counts as missing.
 
     A count over the last 7 or 30 days is the member's count so far less the count of what has left.
     Both only ever grow along the time line, so the cost is linear in the history whatever its length.
@@ -42,14 +42,14 @@ def member_features(silver: DataFrame, params: Params) -> DataFrame:
 
     `silver` is read more than once and should be a stored table.
     """
-    rows = _prepare(silver)
+    rows = _prepare(silver, keep)
     known = rows.where(f"{_KEY} is not null")
     measured = known.join(_counts(known, params), [_KEY, "_t"]).join(_stats(known), _KEY, "left")
-    columns = [_KEY, *_PAYLOAD, *_STATS, *_COUNTS]
-    return _finish(measured.select(*columns).unionByName(_orphans(rows.where(f"{_KEY} is null"))))
+    columns = [_KEY, *_PAYLOAD, *keep, *_STATS, *_COUNTS]
+    return _finish(measured.select(*columns).unionByName(_orphans(rows.where(f"{_KEY} is null"), keep)), keep)
 
 
-def _prepare(silver: DataFrame) -> DataFrame:
+def _prepare(silver: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     has = set(silver.columns)
     since = "dt_adesao" if "dt_adesao" in has else "cast(null as date)"
     risk = "score_risco" if "score_risco" in has else "cast(null as double)"
@@ -65,6 +65,7 @@ def _prepare(silver: DataFrame) -> DataFrame:
         F.expr(f"coalesce(nanvl({risk}, null), 0.3D) as risco"),
         F.expr("nanvl(geo_lat, null) as lat"),
         F.expr("nanvl(geo_lon, null) as lon"),
+        *keep,
     )
 
 
@@ -111,17 +112,18 @@ def _stats(rows: DataFrame) -> DataFrame:
     return rows.groupBy(_KEY).agg(F.expr("avg(valor) as ticket")).join(by_member, _KEY, "left")
 
 
-def _orphans(rows: DataFrame) -> DataFrame:
+def _orphans(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """Rows without a member have no history; they need no shuffle."""
     return rows.selectExpr(
         _KEY,
         *_PAYLOAD,
+        *keep,
         *[f"cast(null as double) as {c}" for c in _STATS],
         *[f"0L as {c}" for c in _COUNTS],
     )
 
 
-def _finish(rows: DataFrame) -> DataFrame:
+def _finish(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     # A missing coordinate stands for the member's own median.
     north = "if(lat_mediana is null, null, coalesce(lat - lat_mediana, 0.0D))"
     east = "if(lon_mediana is null, null, coalesce(lon - lon_mediana, 0.0D))"
@@ -134,6 +136,7 @@ def _finish(rows: DataFrame) -> DataFrame:
     }
     return rows.selectExpr(
         "transacao_id",
+        *keep,
         *[
             f"coalesce(cast({features.get(name, name)} as double), 0.0D) as {name}"
             for name in FEATURE_COLUMNS

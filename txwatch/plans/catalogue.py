@@ -312,10 +312,10 @@ def d5_structuring(spark, folder):
 # --- learned detectors -------------------------------------------------------------------------
 
 
-def _with_members(spark: SparkSession, folder: str) -> DataFrame:
+def _with_members(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     members = sample_map.dim_member(spark, folder).select("associado_id", "dt_adesao", "score_risco")
     tx = _clean(spark, folder).select(
-        "transacao_id", "associado_id", "valor", "dt_transacao", "conta_destino", "geo_lat", "geo_lon"
+        "transacao_id", "associado_id", "valor", "dt_transacao", "conta_destino", "geo_lat", "geo_lon", *more
     )
     return materialise(tx.join(members, "associado_id", "left"), "silver")
 
@@ -348,6 +348,24 @@ def m1_forest_score(spark, folder):
     return forest.normalise(raw)
 
 
+@_query
+def m1_forest_score_stored(spark, folder):
+    """Scores from the stored node table alone."""
+    matrix = _feature_table(spark, folder)
+    path = scratch_path(spark, "models")
+    save_models(spark, medallion.Models(forest_nodes=forest.grow_forest(matrix)), path)
+    raw = forest.forest_scores(matrix, load_models(spark, path).forest_nodes)
+    return forest.normalise(materialise(raw, "forest-scores"))
+
+
+@_query
+def m1_by_channel(spark, folder):
+    matrix = features.member_features(_with_members(spark, folder, "canal"), PARAMS, ("canal",))
+    matrix = materialise(matrix, "features")
+    nodes = forest.grow_forest(matrix, trees=50, group="canal")
+    return forest.normalise(materialise(forest.forest_scores(matrix, nodes, group="canal"), "forest-scores"))
+
+
 @_query
 def m1_normalise(spark, folder):
     raw = sample_map.sample_table(spark, folder, "events").select(
@@ -368,6 +386,15 @@ def m2_autoencoder_score(spark, folder):
     return ae.autoencoder_findings(profile, ae.train_autoencoder(profile))
 
 
+@_query
+def m2_score_stored(spark, folder):
+    """Scores from a stored weight table; the weights are those training starts from."""
+    profile = materialise(facts.member_profile(_clean(spark, folder), PARAMS), "profiles")
+    path = scratch_path(spark, "models")
+    save_models(spark, medallion.Models(autoencoder=ae.train_autoencoder(profile, epochs=0)), path)
+    return ae.autoencoder_findings(profile, load_models(spark, path).autoencoder)
+
+
 @_query
 def m2_training_metrics(spark, folder):
     profile = materialise(facts.member_profile(_clean(spark, folder), PARAMS), "profiles")

@@ -33,6 +33,8 @@ class Models:
     calibrator: Calibrator | None = None
     #: 99th percentile of the forest's raw scores on the training rows.
     forest_p99: float | None = None
+    #: Column whose values have a forest each; None: one forest for all rows.
+    forest_group: str | None = None
 
 
 def silver_plan(bronze: DataFrame, dims: Dimensions, params: Params) -> DataFrame:
@@ -63,8 +65,9 @@ def model_findings(silver_table: DataFrame, models: Models, params: Params) -> l
     """Rules M1 and M2 for the models at hand."""
     found = []
     if models.forest_nodes is not None:
-        matrix = features.member_features(silver_table, params)
-        raw = materialise(forest.forest_scores(matrix, models.forest_nodes), "forest-scores")
+        by = models.forest_group
+        matrix = features.member_features(silver_table, params, (by,) if by else ())
+        raw = materialise(forest.forest_scores(matrix, models.forest_nodes, group=by), "forest-scores")
         found.append(forest.normalise(raw))
     if models.autoencoder is not None:
         profile = facts.member_profile(silver_table, params)
@@ -81,16 +84,19 @@ def alerts_plan(
     return scoring.build_alerts(combined, run_at)
 
 
-def train_models(silver_table: DataFrame, params: Params, seed: int = 42) -> Models:
+def train_models(
+    silver_table: DataFrame, params: Params, seed: int = 42, forest_group: str | None = None, epochs: int = 40
+) -> Models:
     """Features and profiles are written once and then read by every training step."""
-    matrix = materialise(features.member_features(silver_table, params), "features")
-    nodes = forest.grow_forest(matrix, seed=seed)
+    keep = (forest_group,) if forest_group else ()
+    matrix = materialise(features.member_features(silver_table, params, keep), "features")
+    nodes = forest.grow_forest(matrix, seed=seed, group=forest_group)
     nodes = materialise(nodes, "forest")
-    raw = materialise(forest.forest_scores(matrix, nodes), "forest-scores")
+    raw = materialise(forest.forest_scores(matrix, nodes, group=forest_group), "forest-scores")
     top = exact_quantiles(raw, "bruto", [0.99]).first()
     profile = materialise(facts.member_profile(silver_table, params), "profiles")
-    network = ae.train_autoencoder(profile, seed=seed)
-    return Models(nodes, network, forest_p99=top["quantil"] if top else None)
+    network = ae.train_autoencoder(profile, epochs=epochs, seed=seed)
+    return Models(nodes, network, forest_p99=top["quantil"] if top else None, forest_group=forest_group)
 
 
 def model_metrics(spark: SparkSession, models: Models) -> DataFrame:

@@ -5,6 +5,8 @@ The control charts are spelled as recursions here, which checks the closed forms
 
 from __future__ import annotations
 
+from txwatch.plans import oracle_learned as learned
+
 # --- shared table expressions ------------------------------------------------------------------
 
 _TX = """
@@ -384,6 +386,20 @@ alerts AS (
   FROM events
 )"""
 
+
+
+def _training_set(exact: bool = False) -> str:
+    columns = ", ".join(
+        _shown(f"coalesce(max(l.score) FILTER (WHERE l.regra_id = '{c.removeprefix('score_')}'), 0.0e0)", exact) + f" AS {c}"
+        for c in learned.SCORE_COLUMNS
+    )
+    return (
+        f"SELECT alerta_id, CAST(any_value(status) = 'CONFIRMADO' AS BIGINT) AS confirmado, {columns} "
+        "FROM alerts a JOIN long_scores l ON a.alerta_id = 'A' || l.event_id "
+        "WHERE status IN ('CONFIRMADO', 'FALSO_POSITIVO') GROUP BY alerta_id"
+    )
+
+
 _FEATURES = f"""
 WITH {_CLEAN}, {_DIMS}, base AS (
   SELECT c.*, m.dt_adesao, m.score_risco, epoch_us(dt_transacao) AS t
@@ -581,22 +597,15 @@ def oracle() -> dict[str, str]:
         "erro > t AS alerta, round(least(greatest(erro / greatest(2 * t, 1e-9), 0.0e0), 1.0e0), 6) "
         "AS score, CASE WHEN erro > t THEN 'Autoencoder: erro de reconstrução acima do p99' END "
         "AS motivo FROM err CROSS JOIN thr",
-        "m3_training_set": f"WITH {_LABELLED}, {_SCORES} SELECT alerta_id, "
-        "CAST(any_value(status) = 'CONFIRMADO' AS BIGINT) AS confirmado, "
-        + ", ".join(
-            f"round(coalesce(max(l.score) FILTER (WHERE l.regra_id = '{r}'), 0.0e0), 6) AS score_{r}"
-            for r in (
-                "D1_CUSUM",
-                "D2_EWMA",
-                "D3_3SIGMA_HORA",
-                "D4_BENFORD",
-                "D5_FRACIONAMENTO",
-                "M1_ISOLATION_FOREST",
-                "M2_AUTOENCODER",
-            )
-        )
-        + " FROM alerts a JOIN long_scores l ON a.alerta_id = 'A' || l.event_id "
-        "WHERE status IN ('CONFIRMADO', 'FALSO_POSITIVO') GROUP BY alerta_id",
+        "m1_forest_train": f"WITH RECURSIVE {_CLEAN}, {learned.forest(_FEATURES)} {learned.NODES}",
+        "m1_forest_score": f"WITH RECURSIVE {_CLEAN}, {learned.forest(_FEATURES)} {learned.M1_FINDINGS}",
+        "m1_forest_score_stored": f"WITH RECURSIVE {_CLEAN}, {learned.forest(_FEATURES)} {learned.M1_FINDINGS}",
+        "m1_by_channel": f"WITH RECURSIVE {_CLEAN}, {learned.forest(_FEATURES, 'canal', 50)} {learned.M1_FINDINGS}",
+        "m2_score_stored": f"{_PROFILE}, {learned.network()} {learned.M2_FINDINGS}",
+        "m3_calibrated": f"WITH RECURSIVE {_LABELLED}, {_SCORES}, {learned.calibration(_training_set(True))} "
+        "SELECT alerta_id, CAST(confirmado AS BIGINT) AS confirmado, "
+        "round(1 / (1 + exp(-list_inner_product(x, w))), 6) AS prob_confirmacao FROM cal_z CROSS JOIN model",
+        "m3_training_set": f"WITH {_LABELLED}, {_SCORES} {_training_set()}",
         "severity_bins": "SELECT event_id, round(least(1.0e0, value / 150.0e0), 6) AS score, "
         f"{_severity('least(1.0e0, value / 150.0e0)')} AS severidade FROM events",
         "combine_scores": f"WITH {_SCORE_FINDINGS}, {_combine()} SELECT entidade, "
