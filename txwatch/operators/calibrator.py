@@ -36,15 +36,20 @@ class Calibrator:
     rows: int
 
 
+def wide_scores(scores: DataFrame, key: str = "alerta_id") -> DataFrame:
+    """One row per key, one column per detector: its highest score."""
+    rules = [c.removeprefix("score_") for c in SCORE_COLUMNS]
+    return scores.groupBy(key).agg(
+        *[F.max(F.when(F.col("regra_id") == r, F.col("score"))).alias(f"score_{r}") for r in rules]
+    )
+
+
 def training_set(alerts: DataFrame, scores: DataFrame, key: str = "alerta_id") -> DataFrame:
     """Alerts with a verdict, one column per detector score (missing: 0) and the label.
 
     `alerts` holds key and status; `scores` holds key, regra_id and score, at most a few rows per key.
     """
-    rules = [c.removeprefix("score_") for c in SCORE_COLUMNS]
-    wide = scores.groupBy(key).agg(
-        *[F.max(F.when(F.col("regra_id") == r, F.col("score"))).alias(f"score_{r}") for r in rules]
-    )
+    wide = wide_scores(scores, key)
     judged = alerts.where(F.col("status").isin(*VERDICTS)).select(key, "status")
     return judged.join(wide, key, "left").select(
         key,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from txwatch.functions.columns import severity
 from txwatch.functions.quantiles import exact_quantiles
 from txwatch.operators import autoencoder as ae
-from txwatch.operators import benford, calibrator, control_charts, facts, features, scoring, silver
+from txwatch.operators import benford, calibrator, control_charts, evidence, facts, features, feedback, scoring, silver
 from txwatch.operators import isolation_forest as forest
 from txwatch.operators import structuring as pld
 from txwatch.params import SEVERITY_BANDS, Params
@@ -73,9 +73,9 @@ def _dated(spark: SparkSession, folder: str) -> DataFrame:
     return silver.derive(_clean(spark, folder))
 
 
-def _detector_input(spark: SparkSession, folder: str) -> DataFrame:
+def _detector_input(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     return _dated(spark, folder).select(
-        "transacao_id", "associado_id", "agencia_id", "tipo", "valor", "dt_transacao", "dt"
+        "transacao_id", "associado_id", "agencia_id", "tipo", "valor", "dt_transacao", "dt", *more
     )
 
 
@@ -314,7 +314,7 @@ def d5_structuring(spark, folder):
 
 def _with_members(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     members = sample_map.dim_member(spark, folder).select("associado_id", "dt_adesao", "score_risco")
-    tx = _clean(spark, folder).select(
+    tx = _dated(spark, folder).select(
         "transacao_id", "associado_id", "valor", "dt_transacao", "conta_destino", "geo_lat", "geo_lon", *more
     )
     return materialise(tx.join(members, "associado_id", "left"), "silver")
@@ -495,6 +495,42 @@ def full_scoring(spark, folder):
     return medallion.alerts_plan(_stored(spark, folder), RUN_AT, EVERY_ENTITY)
 
 
+def _stored_models(spark: SparkSession, tx: DataFrame) -> medallion.Models:
+    """Models fitted on `tx`, written and read again; the network keeps the weights that training starts from."""
+    path = scratch_path(spark, "models")
+    save_models(spark, medallion.train_models(tx, PARAMS, epochs=0), path)
+    return load_models(spark, path)
+
+
+@_query
+def full_scoring_models(spark, folder):
+    """The whole run, rules D1 to D5 and stored models M1 and M2, at the regular severity bands."""
+    tx = _with_members(spark, folder, "canal", "agencia_id", "tipo", "dt")
+    return medallion.alerts_plan(tx, RUN_AT, PARAMS, _stored_models(spark, tx))
+
+
+@_query
+def alert_transactions(spark, folder):
+    tx = materialise(_detector_input(spark, folder, "canal"), "silver")
+    found = medallion.statistical_findings(tx, PARAMS)
+    combined = scoring.combine_scores(spark, found, EVERY_ENTITY)
+    alerts = scoring.build_alerts(combined, RUN_AT)
+    return evidence.alert_transactions(alerts, evidence.evidence(found, PARAMS), tx, PARAMS)
+
+
+@_query
+def feedback_latest(spark, folder):
+    return feedback.latest_verdicts(sample_map.feedback(spark, folder))
+
+
+@_query
+def alert_queue_calibrated(spark, folder):
+    alerts = sample_map.labelled_alerts(spark, folder).withColumn("status", F.lit("ABERTO"))
+    scores, verdicts = sample_map.labelled_scores(spark, folder), sample_map.feedback(spark, folder)
+    fitted = calibrator.train_calibrator(feedback.labelled(alerts, scores, verdicts))
+    return feedback.calibrated_queue(alerts, scores, verdicts, _clean(spark, folder), fitted)
+
+
 @_query
 def severity_distribution(spark, folder):
     combined = scoring.combine_scores(spark, [_score_findings(spark, folder)], PARAMS)

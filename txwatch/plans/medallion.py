@@ -75,11 +75,14 @@ def model_findings(silver_table: DataFrame, models: Models, params: Params) -> l
     return found
 
 
+def all_findings(silver_table: DataFrame, params: Params, models: Models | None = None) -> list[DataFrame]:
+    return statistical_findings(silver_table, params) + model_findings(silver_table, models or Models(), params)
+
+
 def alerts_plan(
     silver_table: DataFrame, run_at: str, params: Params, models: Models | None = None
 ) -> DataFrame:
-    detected = statistical_findings(silver_table, params)
-    detected += model_findings(silver_table, models or Models(), params)
+    detected = all_findings(silver_table, params, models)
     combined = scoring.combine_scores(silver_table.sparkSession, detected, params)
     return scoring.build_alerts(combined, run_at)
 

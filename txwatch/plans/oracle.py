@@ -476,6 +476,21 @@ WITH {_CLEAN}, {_LABELLED}, truth AS (
   FROM clean c JOIN alerts USING (transacao_id)
 )"""
 
+_PROF = _PROFILE[_PROFILE.index("prof AS") :]
+
+_FEEDBACK = """
+feedback AS (
+  SELECT event_id AS feedback_id, 'A' || (event_id - event_id % 3) AS alerta_id, 'auditor' || (event_id % 7) AS auditor,
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 = 0 THEN 'EM_ANALISE'
+              WHEN value * (1 + event_id % 2) > 60 THEN 'CONFIRMADO' ELSE 'FALSO_POSITIVO' END AS veredito,
+         ts + INTERVAL 1 DAY AS dt_veredito
+  FROM events
+), verdicts AS (
+  SELECT alerta_id, veredito AS status, auditor, dt_veredito, vereditos FROM (
+    SELECT *, row_number() OVER (PARTITION BY alerta_id ORDER BY dt_veredito DESC, feedback_id DESC) AS nth,
+           count(*) OVER (PARTITION BY alerta_id) AS vereditos FROM feedback) WHERE nth = 1
+)"""
+
 _ALERT_BRANCH = f"""
 WITH {_CLEAN}, {_DIMS}, {_LABELLED}, placed AS (
   SELECT a.*, c.agencia_id, c.valor, c.canal, c.geo_lat, c.geo_lon, b.municipio
@@ -516,6 +531,44 @@ def oracle() -> dict[str, str]:
         "SELECT e.*, coalesce(c.agencia_id, CASE WHEN e.transacao_id IN (SELECT agencia_id FROM {known}) "
         "THEN e.transacao_id END) AS agencia_id FROM engine e LEFT JOIN clean c USING (transacao_id)"
     )
+    models = (
+        f"{detect} {learned.forest(_FEATURES)}, {_PROF}, {learned.network()}, {findings[:-1]} "
+        f"UNION ALL SELECT transacao_id, regra_id, 'FRAUDE', score, {learned.M1_TEXT} "
+        "FROM (SELECT *, 'M1_ISOLATION_FOREST' AS regra_id FROM m1_rows) "
+        f"UNION ALL SELECT associado_id, regra_id, 'FRAUDE', score, {learned.M2_TEXT} "
+        "FROM (SELECT *, 'M2_AUTOENCODER' AS regra_id FROM ae_rows))"
+    )
+    behind = (
+        f"{detect} {findings}, {_combine('0.0e0')}, proof AS ("
+        "SELECT agencia_id AS e, 'AGENCIA' AS kind, 'D1_CUSUM' AS r, alerta, CAST(dt AS TIMESTAMP) AS a, "
+        "CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY AS b FROM cusum_rows "
+        "UNION ALL SELECT associado_id, 'ASSOCIADO', 'D2_EWMA', alerta, CAST(dt AS TIMESTAMP), "
+        "CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY FROM ewma_rows "
+        "UNION ALL SELECT agencia_id, 'AGENCIA', 'D3_3SIGMA_HORA', alerta, dt + to_hours(hora), dt + to_hours(hora + 1) "
+        "FROM hourly_rows UNION ALL SELECT associado_id, 'ASSOCIADO', 'D5_FRACIONAMENTO', TRUE, "
+        "CAST(dt AS TIMESTAMP) - INTERVAL 24 HOUR, CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY FROM structuring_rows"
+        "), kept AS (SELECT * FROM proof WHERE alerta OR e NOT IN (SELECT e FROM proof WHERE alerta)) "
+        "SELECT sha256(entidade || '|' || regras) AS alerta_id, kind AS tipo_entidade, transacao_id, associado_id, agencia_id, "
+        "strftime(dt_transacao, '%Y-%m-%d %H:%M:%S.%f') AS dt_transacao, tipo, round(valor, 6) AS valor, canal, "
+        "array_to_string(list_sort(list_distinct(list(r))), '|') AS regras FROM combined "
+        "JOIN kept ON e = entidade JOIN clean c ON (kind = 'AGENCIA' AND c.agencia_id = e OR kind = 'ASSOCIADO' "
+        "AND c.associado_id = e) AND dt_transacao >= a AND dt_transacao < b AND (r <> 'D2_EWMA' OR tipo LIKE 'PIX%') "
+        "AND (r <> 'D5_FRACIONAMENTO' OR tipo IN ('PIX_OUT', 'TED') AND valor < 10000) "
+        "GROUP BY entidade, combined.regras, kind, transacao_id, associado_id, agencia_id, dt_transacao, tipo, valor, canal"
+    )
+    judged = _training_set(True).replace("FROM alerts a", "FROM verdicts a")
+    wide = judged.replace("JOIN long_scores", "RIGHT JOIN long_scores").split(" WHERE ")[0]
+    wide = wide.replace("SELECT alerta_id", "SELECT 'A' || l.event_id AS alerta_id") + " GROUP BY l.event_id"
+    queue = (
+        f"WITH RECURSIVE {_CLEAN}, {_LABELLED}, {_SCORES}, {_FEEDBACK}, {learned.calibration(judged)}, "
+        f"wide AS (SELECT alerta_id, [{', '.join(f'CAST({c} AS DOUBLE)' for c in learned.SCORE_COLUMNS)}] AS s FROM ({wide})), "
+        "prob AS (SELECT alerta_id, 1 / (1 + exp(-list_inner_product(list_append(list_transform(range(1, len(s) + 1), "
+        "lambda k: (s[k] - mean[k]) / dev[k]), 1.0e0), w))) AS p FROM wide CROSS JOIN cal_scale CROSS JOIN model) "
+        "SELECT a.alerta_id, a.transacao_id, strftime(dt_alerta, '%Y-%m') AS ano_mes, c.canal, a.regra_id, a.familia, "
+        "a.severidade, round(a.score, 6) AS score, round(p, 6) AS prob_confirmacao, coalesce(v.status, 'ABERTO') AS status "
+        "FROM alerts a LEFT JOIN verdicts v USING (alerta_id) LEFT JOIN clean c ON c.transacao_id = a.transacao_id "
+        "LEFT JOIN prob ON prob.alerta_id = a.alerta_id WHERE coalesce(v.status, 'ABERTO') IN ('ABERTO', 'EM_ANALISE')"
+    )
     engine_branch = (
         f"WITH {_CLEAN}, {_DIMS}, engine AS (SELECT * FROM ({engine})), "
         f"placed AS ({located.format(known='clean')}), located AS ({located.format(known='branch')})"
@@ -613,6 +666,11 @@ def oracle() -> dict[str, str]:
         "severidade, familia FROM combined",
         "alerts_table": f"WITH {_SCORE_FINDINGS}, {_combine()} {_ALERTS}",
         "full_scoring": engine,
+        "full_scoring_models": f"{models}, {_combine()} {_ALERTS}",
+        "alert_transactions": behind,
+        "feedback_latest": f"WITH {_FEEDBACK} SELECT alerta_id, status, auditor, "
+        "strftime(dt_veredito, '%Y-%m-%d %H:%M:%S.%f') AS dt_veredito, vereditos FROM verdicts",
+        "alert_queue_calibrated": queue,
         "top_branches_engine": f"{engine_branch}, vol AS (SELECT agencia_id, count(*) AS qtd_tx FROM clean "
         "GROUP BY agencia_id), opened AS (SELECT agencia_id, count(*) AS alertas_abertos FROM placed "
         "WHERE status = 'ABERTO' GROUP BY agencia_id), best AS (SELECT agencia_id, qtd_tx, alertas_abertos, "

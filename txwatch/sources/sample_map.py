@@ -192,3 +192,16 @@ def labelled_scores(spark: SparkSession, folder: str) -> DataFrame:
         "concat('A', event_id) as alerta_id",
         f"stack({len(cells)}, {', '.join(cells)}) as (regra_id, score)",
     )
+
+
+def feedback(spark: SparkSession, folder: str) -> DataFrame:
+    """Auditors' verdicts, one per event: up to three on every third alert, none on the others."""
+    seen = sample_table(spark, folder, "events").selectExpr("*", "cast(get_json_object(props, '$.k') as int) % 4 as slot")
+    return seen.selectExpr(
+        "event_id as feedback_id",
+        "concat('A', event_id - event_id % 3) as alerta_id",
+        "concat('auditor', event_id % 7) as auditor",
+        "case when slot = 0 then 'EM_ANALISE' when value * (1 + event_id % 2) > 60 then 'CONFIRMADO' "
+        "else 'FALSO_POSITIVO' end as veredito",
+        "ts + interval 1 day as dt_veredito",
+    )
