@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,3 +93,52 @@ def benford_by_segment(
         F.coalesce(clip01((F.col("mad") - 0.006) / 0.020), F.lit(0.0)).alias("score"),
         F.when(F.col("alerta"), text).alias("motivo"),
     )
+
+
+def benford_cube(
+    df: DataFrame, params: Params, keys: tuple[str, ...] = ("tipo", "ano_mes"),
+    levels: tuple[tuple[str, ...], ...] | None = None, value: str = "valor",
+) -> DataFrame:
+    """Rule D4 at several levels at once: one finding per level and cell with at least benford_min_rows rows.
+
+    `levels` names the key columns of each level; by default every set of `keys`, the whole table included. Digits
+    are counted once in the finest cells; the levels are grouping sets over these counts, nine numbers a cell. A
+    row whose key is null takes part only in levels without that key. `chave` joins the cell's values.
+    """
+    levels = levels or tuple(s for n in range(len(keys), -1, -1) for s in combinations(keys, n))
+    digit = F.coalesce(first_digit(F.abs(F.col(value))), F.lit(0))
+    counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("linhas"), *[F.count_if(digit == d).alias(f"_{d}") for d in range(1, 10)]
+    )
+    part = [F.grouping(k).alias(f"_out_{k}") for k in keys]
+    rolled = counted.groupingSets([[F.col(k) for k in level] for level in levels], *[F.col(k) for k in keys]).agg(
+        *part, F.sum("linhas").alias("linhas"), *[F.sum(f"_{d}").alias(f"_{d}") for d in range(1, 10)]
+    )
+    for k in keys:
+        rolled = rolled.where((F.col(f"_out_{k}") == 1) | F.col(k).isNotNull())
+    total = sum((F.col(f"_{d}") for d in range(1, 10)), F.lit(0))
+    rolled = rolled.where(F.col("linhas") >= params.benford_min_rows).withColumn("total", total)
+    n, chi2, gap = F.col("total"), F.lit(0.0), F.lit(0.0)
+    for d in range(1, 10):
+        share = math.log10(1 + 1 / d)
+        expected = n * F.lit(share)
+        chi2 = chi2 + F.try_divide((F.col(f"_{d}") - expected) * (F.col(f"_{d}") - expected), expected)
+        gap = gap + F.abs(F.try_divide(F.col(f"_{d}"), n) - F.lit(share))
+    enough, half = n >= params.benford_min_digits, F.col("chi2") / 2
+    tested = (
+        rolled.withColumn("chi2", F.when(enough, chi2)).withColumn("mad", F.when(enough, gap / 9))
+        .withColumn("p_value", F.exp(-half) * (1 + half + half * half / 2 + half * half * half / 6))
+    )
+    alert = F.coalesce((F.col("mad") > 0.015) | (F.col("p_value") < 0.01), F.lit(False))
+    level = F.concat_ws("+", *[F.when(F.col(f"_out_{k}") == 0, F.lit(k)) for k in keys])
+    cell = F.concat_ws("|", *[F.when(F.col(f"_out_{k}") == 0, F.col(k).cast("string")) for k in keys])
+    text = F.concat(
+        F.lit("Benford: MAD="), F.format_number("mad", 4), F.lit(", p="), F.format_number("p_value", 4),
+        F.lit(" ("), F.when(F.col("nivel") == "", F.lit("tudo")).otherwise(F.concat_ws("=", "nivel", "chave")), F.lit(")"),
+    )
+    tested = tested.withColumns({"alerta": alert, "nivel": level, "chave": cell})
+    return tested.select(
+        "nivel", "chave", F.lit("D4_BENFORD").alias("regra_id"), F.lit("FRAUDE").alias("familia"), "alerta", "linhas",
+        "total", "chi2", "p_value", "mad", F.coalesce(clip01((F.col("mad") - 0.006) / 0.020), F.lit(0.0)).alias("score"),
+        F.when(F.col("alerta"), text).alias("motivo"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from txwatch.functions.columns import first_digit, no_nan, off_hours
@@ -27,6 +27,57 @@ def clean(raw: DataFrame) -> DataFrame:
     return numbered.where("_copy = 1").drop("_copy")
 
 
+# Fixed order: the first reason that applies is a row's reason.
+REASONS = ("SEM_ID", "SEM_DATA", "VALOR_AUSENTE", "VALOR_NAO_POSITIVO", "DUPLICADA")
+
+
+class TooManyRejects(ValueError):
+    """More rows were rejected than a run may lose."""
+
+
+def judged(raw: DataFrame) -> DataFrame:
+    """All rows of `raw`, NaN as null, with `motivo_rejeicao`: null for those that `clean` keeps, else a reason.
+
+    The survivor of several copies is the one that `clean` chooses. Rows without an id are no copies of each other,
+    and unusable rows never compete with usable ones.
+    """
+    tidy = no_nan(raw)
+    reason = (
+        F.when(F.col("transacao_id").isNull(), REASONS[0]).when(F.col("dt_transacao").isNull(), REASONS[1])
+        .when(F.col("valor").isNull(), REASONS[2]).when(F.col("valor") <= 0, REASONS[3])
+    )
+    marked = tidy.withColumn("_reason", reason)
+    others = [c for c in raw.columns if c not in ("transacao_id", _ORDER_FIRST)]
+    order = [F.col(_ORDER_FIRST).asc_nulls_last()] if _ORDER_FIRST in raw.columns else []
+    copies = Window.partitionBy("transacao_id").orderBy(*order, F.xxhash64(*others))
+    usable = marked.where("_reason is null").withColumn("_copy", F.row_number().over(copies))
+    usable = usable.withColumn("_reason", F.when(F.col("_copy") > 1, REASONS[4])).drop("_copy")
+    # Unusable rows need no company: they skip the exchange, where many of one id would be a hot group.
+    return usable.unionByName(marked.where("_reason is not null")).withColumnRenamed("_reason", "motivo_rejeicao")
+
+
+def split_rejects(raw: DataFrame, path: str, max_share: float | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Clean and rejected rows from one pass, written below `path` in one folder per reason, and their counts.
+
+    Counts are observed while the rows are written. A run that rejects more than `max_share` of its rows stops with
+    TooManyRejects; what it wrote stays for inspection. The kept rows are those of `clean`.
+    """
+    seen = Observation("rejects")
+    kind = F.coalesce("motivo_rejeicao", F.lit("OK"))
+    rows = judged(raw)
+    counted = rows.observe(
+        seen, F.count(F.lit(1)).alias("linhas"), *[F.count_if(F.col("motivo_rejeicao") == r).alias(r) for r in REASONS]
+    )
+    counted.withColumn("situacao", kind).drop("motivo_rejeicao").write.mode("overwrite").partitionBy("situacao").parquet(path)
+    counts = {name: int(seen.get.get(name) or 0) for name in ("linhas", *REASONS)}
+    lost = sum(counts[r] for r in REASONS)
+    if max_share is not None and lost > max_share * counts["linhas"]:
+        raise TooManyRejects(f"{lost} of {counts['linhas']} rows rejected: {counts}")
+    stored = raw.sparkSession.read.schema(rows.drop("motivo_rejeicao").schema.add("situacao", "string")).parquet(path)
+    rejected = stored.where("situacao <> 'OK'").withColumnRenamed("situacao", "motivo_rejeicao")
+    return stored.where("situacao = 'OK'").drop("situacao"), rejected, counts
+
+
 def derive(tx: DataFrame) -> DataFrame:
     """dt, hora, dia_semana (0 = Monday) and primeiro_digito."""
     return tx.withColumns(

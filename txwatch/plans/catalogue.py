@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from txwatch.operators import benford, calibrator, control_charts, evidence, fac
 from txwatch.operators import isolation_forest as forest
 from txwatch.operators import structuring as pld
 from txwatch.params import SEVERITY_BANDS, Params
-from txwatch.plans import cockpit, evaluation, medallion
+from txwatch.plans import cockpit, evaluation, incremental, medallion
 from txwatch.session import materialise, scratch_path
 from txwatch.sources import sample_map, tables
 from txwatch.sources.model_store import load_models, save_models
@@ -97,7 +98,12 @@ def _flagged(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def bronze_scan(spark, folder):
-    return sample_map.bronze(spark, folder).select(*TRANSACTION_COLUMNS)
+    """Bronze over two drops, batch and stream, by the reader; its time range reaches the scans as a filter."""
+    rows, paths = sample_map.bronze(spark, folder), [scratch_path(spark, n) for n in ("bronze", "drop")]
+    old = F.col("dt_transacao") < F.lit("2024-01-20").cast("timestamp_ntz")
+    tables.write_bronze(rows.where(old), paths[0])
+    rows.where(~old).write.partitionBy("agencia_id").parquet(paths[1])
+    return tables.read_bronze(spark, paths, since="2024-01-03").select(*TRANSACTION_COLUMNS)
 
 
 @_query
@@ -116,9 +122,18 @@ def silver_roundtrip(spark, folder):
 
 @_query
 def gold_roundtrip(spark, folder):
-    path = scratch_path(spark, "gold")
-    tables.write_table(facts.branch_day(_flagged(spark, folder)), path)
-    return tables.read_table(spark, path)
+    """All three facts written and read again, one row each per key: table, key, day or month, rows, sum."""
+    root, tx = scratch_path(spark, "gold"), materialise(_flagged(spark, folder), "silver")
+    parts = []
+    for name, plan in medallion.gold_plans(tx).items():
+        tables.write_table(plan, f"{root}/{name}")
+        stored = tables.read_table(spark, f"{root}/{name}")
+        key = next(c for c in ("operador_id", "associado_id", "agencia_id") if c in stored.columns)
+        when = next(c for c in ("dt", "ano_mes") if c in stored.columns)
+        branch = F.col("agencia_id") if "agencia_id" in stored.columns else F.lit(None).cast("string")
+        parts.append(stored.select(F.lit(name).alias("tabela"), F.col(key).alias("chave"), branch.alias("agencia_id"),
+                                   F.col(when).cast("string").alias("quando"), "qtd_tx", "valor_total"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -173,6 +188,15 @@ def silver_clean(spark, folder):
     return _clean(spark, folder).select(*TRANSACTION_COLUMNS)
 
 
+@_query
+def silver_rejects(spark, folder):
+    """Rows per reason, and what a run would do with them."""
+    kept, rejected, counts = silver.split_rejects(sample_map.bronze(spark, folder), scratch_path(spark, "rejects"), 0.9)
+    found = rejected.groupBy("motivo_rejeicao").agg(F.count(F.lit(1)).alias("qtd"), F.count_distinct("transacao_id").alias("ids"))
+    clean = kept.agg(F.lit("OK").alias("motivo_rejeicao"), F.count(F.lit(1)).alias("qtd"), F.count_distinct("transacao_id").alias("ids"))
+    return found.union(clean).withColumn("parte", F.col("qtd") / F.lit(counts["linhas"]))
+
+
 @_query
 def silver_derive(spark, folder):
     return _dated(spark, folder).select("transacao_id", "dt", "hora", "dia_semana", "primeiro_digito")
@@ -224,6 +248,44 @@ def gold_member_month(spark, folder):
     return facts.member_month(_dated(spark, folder))
 
 
+def _late_lake(spark: SparkSession, folder: str) -> str:
+    """A lake filled in three runs: most days, then two late days with copies of what is there, then copies only."""
+    bronze, dims = sample_map.bronze(spark, folder), sample_map.dimensions(spark, folder)
+    root = scratch_path(spark, "lake")
+    late = F.dayofmonth("dt_transacao").isin(5, 17)
+    again = F.col("tipo") == "DEPOSITO"
+    for part in (bronze.where(~late), bronze.where(late | again), bronze.where(again)):
+        incremental.refresh(spark, part, dims, root, PARAMS)
+    return root
+
+
+@_query
+def gold_incremental(spark, folder):
+    """The monthly fact after late days; equal to a rebuild."""
+    return spark.read.parquet(f"{_late_lake(spark, folder)}/{incremental.MEMBER_MONTH}")
+
+
+@_query
+def gold_incremental_days(spark, folder):
+    return tables.read_table(spark, f"{_late_lake(spark, folder)}/{incremental.BRANCH_DAY}")
+
+
+@_query
+def stream_to_silver(spark, folder):
+    """Drops with copies and late files, taken in by several micro-batches; equal to the batch run."""
+    landing, root, checkpoint = (scratch_path(spark, n) for n in ("landing", "lake", "silver-checkpoint"))
+    rows = sample_map.bronze(spark, folder)
+    form = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    late = F.dayofmonth("dt_transacao") == 5
+    for part in (rows.where(~late), rows.where(late | (F.col("canal") == "ATM"))):
+        part.repartition(4).write.mode("append").option("timestampNTZFormat", form).json(landing)
+        dims = sample_map.dimensions(spark, folder)
+        incremental.start_silver_stream(
+            spark, landing, dims, root, checkpoint, PARAMS, drain=True, files_per_trigger=2
+        ).awaitTermination()
+    return tables.read_table(spark, f"{root}/{incremental.SILVER}").select(*_SILVER_SHOWN)
+
+
 # --- statistical detectors ---------------------------------------------------------------------
 
 
@@ -283,6 +345,12 @@ def d4_benford(spark, folder):
     return benford.benford_by_segment(_clean(spark, folder), PARAMS)
 
 
+@_query
+def d4_benford_cube(spark, folder):
+    tx = _clean(spark, folder).withColumn("ano_mes", F.date_format("dt_transacao", "yyyy-MM"))
+    return benford.benford_cube(tx, PARAMS)
+
+
 @_query
 def benford_lineitem_by_flag(spark, folder):
     lines = sample_map.sample_table(spark, folder, "lineitem")
@@ -630,6 +698,17 @@ def psi_by_week(spark, folder):
     )
 
 
+@_query
+def psi_features(spark, folder):
+    """Drift of all eleven features by week against a stored baseline of the first week."""
+    matrix = features.member_features(_with_members(spark, folder, "dt"), PARAMS, ("dt",))
+    matrix = materialise(matrix, "features")
+    first = matrix.where(F.col("dt") < F.lit("2024-01-08").cast("date"))
+    baseline = materialise(evaluation.feature_baseline(first, features.FEATURE_COLUMNS), "baseline")
+    week = F.date_trunc("week", "dt").cast("date")
+    return evaluation.feature_drift(matrix, baseline, week, features.FEATURE_COLUMNS)
+
+
 def _scored_truth(spark: SparkSession, folder: str) -> DataFrame:
     scores = sample_map.labelled_alerts(spark, folder).select("transacao_id", "score")
     truth = _clean(spark, folder).select("transacao_id", "fraude_label", "fraude_tipo")

@@ -48,6 +48,67 @@ def psi_by_period(
     return both.select("periodo", "qtd", psi.alias("psi"))
 
 
+BASELINE_SCHEMA = "variavel string, faixa int, borda double, parte double"
+
+
+def _long(df: DataFrame, columns: tuple[str, ...], *others: Column) -> DataFrame:
+    """One row per value: `others`, variavel, _v. Nulls and NaN are left out."""
+    cells = ", ".join(f"'{c}', cast({c} as double)" for c in columns)
+    rows = df.select(*others, F.expr(f"stack({len(columns)}, {cells}) as (variavel, _v)"))
+    return rows.where("_v is not null and not isnan(_v)")
+
+
+def feature_baseline(df: DataFrame, columns: tuple[str, ...], bins: int = 10) -> DataFrame:
+    """(variavel, faixa, borda, parte): per column the upper edges of its quantile bins and each bin's share.
+
+    At most bins rows a column, to be stored with the model and compared with later batches. The last bin has
+    no edge. A column without values has no rows. `df` is read several times and should be a stored table.
+    """
+    rows = _long(df, columns)
+    cuts = exact_quantiles(rows, "_v", [i / bins for i in range(1, bins)], ("variavel",))
+    edges = cuts.groupBy("variavel").agg(F.array_sort(F.collect_list("quantil")).alias("_edges"))
+    counts = rows.join(F.broadcast(edges), "variavel").groupBy("variavel", _slot().alias("faixa"))
+    counts = counts.agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.groupBy("variavel").agg(F.sum("_n").alias("_all"))
+    every = edges.join(totals, "variavel").withColumn("faixa", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(counts, ["variavel", "faixa"], "left").select(
+        "variavel", "faixa", F.get("_edges", F.col("faixa")).alias("borda"),
+        F.coalesce(F.col("_n") / F.col("_all"), F.lit(0.0)).alias("parte"),
+    )
+
+
+def _slot() -> Column:
+    """Number of edges below the value."""
+    return F.size(F.filter("_edges", lambda e: e < F.col("_v")))
+
+
+def feature_drift(df: DataFrame, baseline: DataFrame, period: Column, columns: tuple[str, ...]) -> DataFrame:
+    """(variavel, periodo, qtd, psi): stability index of every column and period against a stored baseline.
+
+    All columns are compared in one aggregate over (variavel, periodo, faixa); shares are floored at 1e-4.
+    """
+    kept = baseline.groupBy("variavel").agg(
+        F.array_sort(F.collect_list("borda")).alias("_edges"),
+        F.transform(F.array_sort(F.collect_list(F.struct("faixa", "parte"))), lambda s: s["parte"]).alias("_shares"),
+    )
+    rows = _long(df, columns, period.alias("periodo")).join(F.broadcast(kept.select("variavel", "_edges")), "variavel")
+    counts = rows.groupBy("variavel", "periodo", _slot().alias("_bin")).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.groupBy("variavel", "periodo").agg(
+        F.sum("_n").alias("qtd"), F.map_from_entries(F.collect_list(F.struct("_bin", "_n"))).alias("_counts")
+    )
+    share = F.transform(
+        "_shares",
+        lambda e, b: F.struct(
+            F.greatest(F.coalesce(F.element_at("_counts", b), F.lit(0)) / F.col("qtd"), F.lit(_FLOOR)).alias("a"),
+            F.greatest(e, F.lit(_FLOOR)).alias("e"),
+        ),
+    )
+    psi = F.aggregate(share, F.lit(0.0), lambda t, s: t + (s["a"] - s["e"]) * F.log(s["a"] / s["e"]))
+    return found.join(F.broadcast(kept.select("variavel", "_shares")), "variavel").select(
+        "variavel", "periodo", "qtd", psi.alias("psi")
+    )
+
+
 def precision_at_k(scored: DataFrame, k: int) -> DataFrame:
     """Share of labelled frauds among the k best scores. `scored` has transacao_id, score and
     fraude_label."""

@@ -13,6 +13,7 @@ from txwatch.operators import benford, control_charts, facts, features, scoring,
 from txwatch.operators import isolation_forest as forest
 from txwatch.operators.calibrator import Calibrator
 from txwatch.params import Params
+from txwatch.plans import evaluation
 from txwatch.session import materialise
 from txwatch.sources.tables import read_table, write_alerts, write_silver, write_table
 
@@ -35,6 +36,8 @@ class Models:
     forest_p99: float | None = None
     #: Column whose values have a forest each; None: one forest for all rows.
     forest_group: str | None = None
+    #: Quantile bins and shares of the features at training time, for drift.
+    baseline: DataFrame | None = None
 
 
 def silver_plan(bronze: DataFrame, dims: Dimensions, params: Params) -> DataFrame:
@@ -61,12 +64,22 @@ def statistical_findings(tx: DataFrame, params: Params) -> list[DataFrame]:
     ]
 
 
-def model_findings(silver_table: DataFrame, models: Models, params: Params) -> list[DataFrame]:
+def feature_matrix(silver_table: DataFrame, models: Models, params: Params) -> DataFrame | None:
+    """The stored features that the forest and the drift table need; None where neither is at hand."""
+    if models.forest_nodes is None and models.baseline is None:
+        return None
+    keep = dict.fromkeys(c for c in ("dt", models.forest_group) if c in silver_table.columns)
+    return materialise(features.member_features(silver_table, params, tuple(keep)), "features")
+
+
+def model_findings(
+    silver_table: DataFrame, models: Models, params: Params, matrix: DataFrame | None = None
+) -> list[DataFrame]:
     """Rules M1 and M2 for the models at hand."""
     found = []
     if models.forest_nodes is not None:
         by = models.forest_group
-        matrix = features.member_features(silver_table, params, (by,) if by else ())
+        matrix = feature_matrix(silver_table, models, params) if matrix is None else matrix
         raw = materialise(forest.forest_scores(matrix, models.forest_nodes, group=by), "forest-scores")
         found.append(forest.normalise(raw))
     if models.autoencoder is not None:
@@ -75,14 +88,11 @@ def model_findings(silver_table: DataFrame, models: Models, params: Params) -> l
     return found
 
 
-def all_findings(silver_table: DataFrame, params: Params, models: Models | None = None) -> list[DataFrame]:
-    return statistical_findings(silver_table, params) + model_findings(silver_table, models or Models(), params)
-
-
 def alerts_plan(
-    silver_table: DataFrame, run_at: str, params: Params, models: Models | None = None
+    silver_table: DataFrame, run_at: str, params: Params, models: Models | None = None, matrix: DataFrame | None = None
 ) -> DataFrame:
-    detected = all_findings(silver_table, params, models)
+    detected = statistical_findings(silver_table, params)
+    detected += model_findings(silver_table, models or Models(), params, matrix)
     combined = scoring.combine_scores(silver_table.sparkSession, detected, params)
     return scoring.build_alerts(combined, run_at)
 
@@ -99,7 +109,8 @@ def train_models(
     top = exact_quantiles(raw, "bruto", [0.99]).first()
     profile = materialise(facts.member_profile(silver_table, params), "profiles")
     network = ae.train_autoencoder(profile, epochs=epochs, seed=seed)
-    return Models(nodes, network, forest_p99=top["quantil"] if top else None, forest_group=forest_group)
+    baseline = materialise(evaluation.feature_baseline(matrix, features.FEATURE_COLUMNS), "baseline")
+    return Models(nodes, network, None, top["quantil"] if top else None, forest_group, baseline)
 
 
 def model_metrics(spark: SparkSession, models: Models) -> DataFrame:
@@ -129,7 +140,8 @@ def run_batch(
 ) -> dict[str, str]:
     """Write silver, the three gold facts and the alert table under `root`; returns their paths.
 
-    Later steps read the stored silver table, so cleaning and joins run once.
+    Later steps read the stored silver table, so cleaning and joins run once. With models their metrics are written
+    too, and with a baseline the drift of every feature by month.
     """
     params = params or Params()
     paths = {"silver": f"{root}/silver/transacoes_silver"}
@@ -139,7 +151,15 @@ def run_batch(
         paths[name] = f"{root}/gold/{name}"
         write_table(plan, paths[name])
     paths["alertas_auditoria"] = f"{root}/gold/alertas_auditoria"
-    write_alerts(alerts_plan(stored, run_at, params, models), paths["alertas_auditoria"])
+    matrix = feature_matrix(stored, models, params) if models else None
+    write_alerts(alerts_plan(stored, run_at, params, models, matrix), paths["alertas_auditoria"])
+    if models:
+        paths["model_metrics"] = f"{root}/gold/model_metrics"
+        write_table(model_metrics(spark, models), paths["model_metrics"])
+    if models and models.baseline is not None:
+        paths["deriva_variaveis"] = f"{root}/gold/deriva_variaveis"
+        month = F.date_format("dt", "yyyy-MM")
+        write_table(evaluation.feature_drift(matrix, models.baseline, month, features.FEATURE_COLUMNS), paths["deriva_variaveis"])
     return paths
 
 

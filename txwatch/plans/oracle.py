@@ -470,6 +470,60 @@ SELECT CAST(periodo AS VARCHAR) AS periodo, CAST(qtd AS BIGINT) AS qtd,
 FROM share GROUP BY periodo, qtd"""
 
 
+def _psi_features() -> str:
+    """Values are rounded before they are binned on neither side; edges are interpolated alike."""
+    names = learned.FEATURE_COLUMNS
+    exact = _FEATURES
+    for c in ("valor", "ln(1 + greatest(valor, 0.01e0))", "coalesce(score_risco, 0.3e0)",
+              "coalesce(valor / nullif(ticket, 0), 1.0e0)"):
+        exact = exact.replace(f"round({c}, 6)", f"({c})")
+    probs = ", ".join(f"{i}e-1" for i in range(1, 10))
+    return f"""
+WITH {_CLEAN}, feat AS ({exact}), timed AS (
+  SELECT f.*, CAST(c.dt_transacao AS DATE) AS d FROM feat f JOIN clean c USING (transacao_id)
+), cells AS (UNPIVOT (SELECT d, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in names)} FROM timed) ON {', '.join(names)} INTO NAME variavel VALUE v
+), edges AS (
+  SELECT variavel, quantile_cont(v, [{probs}]) AS q, count(*) AS base_n FROM cells WHERE d < DATE '2024-01-08' GROUP BY variavel
+), slots AS (
+  SELECT c.variavel, CAST(date_trunc('week', d) AS DATE) AS periodo, d < DATE '2024-01-08' AS base, base_n,
+    len(list_filter(q, lambda e: e < v)) AS bin FROM cells c JOIN edges USING (variavel)
+), act AS (SELECT variavel, periodo, bin, count(*) AS n FROM slots GROUP BY ALL),
+expd AS (SELECT variavel, bin, count(*) / any_value(base_n) AS e FROM slots WHERE base GROUP BY variavel, bin),
+tot AS (SELECT variavel, periodo, sum(n) AS qtd FROM act GROUP BY ALL)
+SELECT variavel, CAST(periodo AS VARCHAR) AS periodo, CAST(qtd AS BIGINT) AS qtd, round(sum((a - e) * ln(a / e)), 6) AS psi FROM (
+  SELECT t.variavel, t.periodo, qtd, greatest(coalesce(n, 0) / qtd, 1e-4) AS a, greatest(coalesce(x.e, 0), 1e-4) AS e
+  FROM tot t CROSS JOIN (SELECT unnest(range(0, 10)) AS bin) b LEFT JOIN act USING (variavel, periodo, bin)
+  LEFT JOIN expd x USING (variavel, bin)
+) GROUP BY variavel, periodo, qtd"""
+
+
+def _benford_cube() -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE digito = {d}) AS c{d}" for d in range(1, 10))
+    total = " + ".join(f"c{d}" for d in range(1, 10))
+    chi2 = " + ".join(f"pow(c{d} - total * log10(1 + 1.0e0 / {d}), 2) / (total * log10(1 + 1.0e0 / {d}))" for d in range(1, 10))
+    mad = " + ".join(f"abs(c{d} / total - log10(1 + 1.0e0 / {d}))" for d in range(1, 10))
+    return f"""
+WITH {_CLEAN}, bd AS (
+  SELECT tipo, strftime(dt_transacao, '%Y-%m') AS ano_mes, {_digit('valor')} AS digito FROM clean
+), cells AS (
+  SELECT grouping(tipo) AS gt, grouping(ano_mes) AS gm, tipo, ano_mes, count(*) AS linhas, {counts}
+  FROM bd GROUP BY GROUPING SETS ((tipo, ano_mes), (tipo), (ano_mes), ())
+), stat AS (
+  SELECT *, {chi2} AS chi2, ({mad}) / 9 AS mad FROM (SELECT *, {total} AS total FROM cells
+    WHERE linhas >= 100 AND (gt = 1 OR tipo IS NOT NULL) AND (gm = 1 OR ano_mes IS NOT NULL))
+), tested AS (
+  SELECT *, exp(-chi2 / 2) * (1 + chi2 / 2 + pow(chi2 / 2, 2) / 2 + pow(chi2 / 2, 3) / 6) AS p_value,
+    concat_ws('+', CASE WHEN gt = 0 THEN 'tipo' END, CASE WHEN gm = 0 THEN 'ano_mes' END) AS nivel,
+    concat_ws('|', CASE WHEN gt = 0 THEN tipo END, CASE WHEN gm = 0 THEN ano_mes END) AS chave FROM stat
+)
+SELECT nivel, chave, 'D4_BENFORD' AS regra_id, 'FRAUDE' AS familia, mad > 0.015e0 OR p_value < 0.01e0 AS alerta, linhas, total,
+  round(chi2, 6) AS chi2, round(p_value, 6) AS p_value, round(mad, 6) AS mad,
+  round(least(greatest((mad - 0.006e0) / 0.020e0, 0.0e0), 1.0e0), 6) AS score,
+  CASE WHEN mad > 0.015e0 OR p_value < 0.01e0 THEN 'Benford: MAD=' || printf('%.4f', mad) || ', p=' || printf('%.4f', p_value)
+    || ' (' || CASE WHEN nivel = '' THEN 'tudo' ELSE nivel || '=' || chave END || ')' END AS motivo
+FROM tested"""
+
+
 _TRUTH = f"""
 WITH {_CLEAN}, {_LABELLED}, truth AS (
   SELECT c.transacao_id, fraude_label, fraude_tipo, score
@@ -574,7 +628,7 @@ def oracle() -> dict[str, str]:
         f"placed AS ({located.format(known='clean')}), located AS ({located.format(known='branch')})"
     )
     return {
-        "bronze_scan": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM bronze",
+        "bronze_scan": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM bronze WHERE dt_transacao >= TIMESTAMP '2024-01-03'",
         "bronze_roundtrip": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM bronze",
         "stream_ingest": f"WITH {_TX} SELECT {_BRONZE_SHOWN} FROM labelled_tx",
         "silver_clean": f"WITH {_CLEAN} SELECT {_BRONZE_SHOWN} FROM clean",
@@ -589,7 +643,14 @@ def oracle() -> dict[str, str]:
         "dim_calendar": f"WITH {_calendar('cal', 'SELECT CAST(o_orderdate AS DATE) AS d FROM orders')}"
         " SELECT CAST(dt AS VARCHAR) AS dt, ano, mes, dia_semana, dia_util, feriado FROM cal",
         "gold_branch_day": f"WITH {_SILVER} {_BRANCH_DAY}",
-        "gold_roundtrip": f"WITH {_SILVER} {_BRANCH_DAY}",
+        "gold_roundtrip": f"WITH {_SILVER} SELECT 'fato_agencia_dia' AS tabela, agencia_id AS chave, agencia_id, "
+        "CAST(dt AS VARCHAR) AS quando, count(*) AS qtd_tx, round(sum(valor), 6) AS valor_total FROM silver GROUP BY agencia_id, dt "
+        "UNION ALL SELECT 'fato_operador_dia', operador_id, agencia_id, CAST(dt AS VARCHAR), count(*), round(sum(valor), 6) "
+        "FROM silver WHERE operador_id IS NOT NULL GROUP BY operador_id, agencia_id, dt "
+        "UNION ALL SELECT 'fato_associado_mes', associado_id, NULL, strftime(dt, '%Y-%m'), count(*), round(sum(valor), 6) "
+        "FROM silver GROUP BY associado_id, strftime(dt, '%Y-%m')",
+        "gold_incremental_days": f"WITH {_SILVER} {_BRANCH_DAY}",
+        "stream_to_silver": f"WITH {_SILVER} SELECT {_SILVER_SHOWN} FROM silver",
         "gold_operator_day": f"WITH {_SILVER} SELECT operador_id, agencia_id, "
         "CAST(dt AS VARCHAR) AS dt, count(*) AS qtd_tx, round(sum(valor), 6) AS valor_total, "
         "count(*) FILTER (WHERE flag_fora_horario) AS qtd_fora_horario FROM silver "
@@ -598,6 +659,10 @@ def oracle() -> dict[str, str]:
         "count(*) AS qtd_tx, round(sum(valor), 6) AS valor_total, "
         "round(avg(valor), 6) AS ticket_medio, count(DISTINCT conta_destino) AS destinos_unicos, "
         "count(DISTINCT canal) AS canais_distintos FROM dated GROUP BY ALL",
+        "gold_incremental": f"WITH {_DATED} SELECT associado_id, strftime(dt, '%Y-%m') AS ano_mes, "
+        "count(*) AS qtd_tx, round(sum(valor), 6) AS valor_total, "
+        "round(avg(valor), 6) AS ticket_medio, count(DISTINCT conta_destino) AS destinos_unicos, "
+        "count(DISTINCT canal) AS canais_distintos FROM dated GROUP BY ALL",
         "cusum_series": f"WITH RECURSIVE {_DATED}, {_cusum(_BRANCH_SERIES, 'agencia_id', 3.0)} "
         "SELECT agencia_id, CAST(dt AS VARCHAR) AS dt, x AS qtd_tx, round(mu0, 6) AS mu0, "
         "round(sigma, 6) AS sigma, round(s_h, 6) AS s_h, round(s_l, 6) AS s_l, alerta "
@@ -620,6 +685,14 @@ def oracle() -> dict[str, str]:
         "round(esperada, 6) AS esperada FROM bd_hist",
         "d4_benford": f"WITH {_CLEAN}, {_benford('clean', 'tipo', 'valor')} "
         f"{_benford_findings('tipo')}",
+        "d4_benford_cube": _benford_cube(),
+        "psi_features": _psi_features(),
+        "silver_rejects": f"WITH {_TX}, why AS (SELECT *, CASE WHEN transacao_id IS NULL THEN 'SEM_ID' "
+        "WHEN dt_transacao IS NULL THEN 'SEM_DATA' WHEN valor IS NULL THEN 'VALOR_AUSENTE' "
+        "WHEN valor <= 0 THEN 'VALOR_NAO_POSITIVO' END AS r FROM bronze), nth AS (SELECT *, CASE WHEN r IS NULL THEN "
+        "row_number() OVER (PARTITION BY transacao_id, r ORDER BY dt_ingestao) END AS k FROM why) "
+        "SELECT coalesce(r, CASE WHEN k > 1 THEN 'DUPLICADA' END, 'OK') AS motivo_rejeicao, count(*) AS qtd, "
+        "count(DISTINCT transacao_id) AS ids, round(count(*) / (SELECT count(*) FROM bronze), 6) AS parte FROM nth GROUP BY 1",
         "benford_lineitem_by_flag": "WITH "
         f"{_benford('lineitem', 'l_returnflag', 'l_extendedprice')} "
         f"{_benford_findings('l_returnflag')}",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txwatch.operators.autoencoder import AutoencoderModel
 from txwatch.operators.calibrator import Calibrator
+from txwatch.plans.evaluation import BASELINE_SCHEMA
 from txwatch.plans.medallion import Models, model_metrics
 
 _NUMBERS = "nome string, posicao int, valor double"
@@ -47,6 +48,9 @@ def save_models(spark: SparkSession, models: Models, path: str) -> str:
         facts = [("group", models.forest_group, None), ("p99", None, models.forest_p99)]
         spark.createDataFrame(facts, "nome string, texto string, valor double").coalesce(1).write.parquet(f"{folder}/forest_facts")
         present.append("isolation_forest")
+    if models.baseline is not None:
+        models.baseline.coalesce(1).write.parquet(f"{folder}/baseline")
+        present.append("baseline")
     for name, model, numbers in (
         ("autoencoder", models.autoencoder, _numbers), ("calibrator", models.calibrator, _calibrator_numbers)
     ):
@@ -96,7 +100,8 @@ def load_models(spark: SparkSession, path: str) -> Models:
         parts, _ = _read_numbers(spark, f"{folder}/calibrator")
         arrays = (np.array(parts[name]) for name in _CALIBRATOR_ARRAYS)
         fitted = Calibrator(*arrays, parts["intercept"][0], parts["auc"][0], int(parts["rows"][0]))
-    return Models(nodes, network, fitted, p99, group)
+    baseline = spark.read.schema(BASELINE_SCHEMA).parquet(f"{folder}/baseline") if "baseline" in present else None
+    return Models(nodes, network, fitted, p99, group, baseline)
 
 
 def load_metrics(spark: SparkSession, path: str) -> DataFrame:
