@@ -131,7 +131,7 @@ def test_archive_with_null_ids(spark, tmp_path, kind):
     found = {(str(r[0]), r[1], r[3], r[4] and str(r[4])) for r in registry.queries()["op6_content_archive"](spark, str(tmp_path)).collect()}
     other = "null" if kind == "string" else "6"
     assert found == {
-        ("None", 0, "revisit", None), ("3", 0, "response", None), ("4", 0, "revisit", "3"), ("None", 5, "response", None),
+        ("None", 0, "revisit", "3"), ("3", 0, "response", None), ("4", 0, "revisit", "3"), ("None", 5, "response", None),
         ("5", 1, "response", None), (other, 1, "revisit", "5"),
     }
     archive.write_archive(df, str(tmp_path / "a"))
@@ -189,3 +189,34 @@ def test_empty_tables_and_null_ids(spark, name):
     odd = spark.createDataFrame([(None, None), (None, long), (None, long), (7, long), (7, "other words in a text"), (7, None)], SCHEMA)
     if name != "keep":
         assert EMPTY[name](odd, items).count() == 6
+
+
+def test_null_page_ids_equal_sql(spark, tmp_path):
+    pages = [(None, None, ""), (4, "u", ""), (3, "u", None), (None, "n", "alone"), (None, "m", "alone"), (5, "u", "x")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    sql = duckdb.connect()
+    sql.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    answer = sql.execute(registry.oracle_sql()["op6_content_archive"])
+    names = [d[0] for d in answer.description]
+    assert rows(registry.queries()["op6_content_archive"](spark, str(tmp_path)), *names) == expected(answer.fetchall())
+
+
+@pytest.mark.parametrize("n", [40, 2999, 3000, 30_000])
+def test_small_vocabularies_are_bad_at_every_length(spark, n):
+    import random
+
+    rnd = random.Random(n)
+    poor = " ".join(rnd.choice([f"w{k}" for k in range(5)]) for _ in range(n))
+    rich = " ".join(f"w{rnd.randrange(n)}" for _ in range(n))
+    df = spark.createDataFrame([(1, poor), (2, rich)], SCHEMA)
+    stats = df.select("doc_id", weak_rules.statistics(F.coalesce("text", F.lit(""))).alias("s"))
+    cast = {r[0]: r[1] for r in stats.select("doc_id", weak_rules.votes(F.col("s"))["vocabulary"]).collect()}
+    assert cast == {1: -1, 2: 0}
+
+
+def test_texts_that_are_not_utf8(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    raw = [(1, b"x \xff\xfe one two three four five six seven eight nine ten \xc3"), (2, b"\xff")]
+    docs = spark.createDataFrame(raw, "doc_id long, b binary").selectExpr("doc_id", "cast(b as string) as text")
+    found = decontaminate.contamination(docs, items)
+    assert {r["doc_id"]: len(r["hits"]) > 0 for r in found.collect()} == {1: True, 2: False}

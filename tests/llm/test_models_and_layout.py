@@ -211,3 +211,14 @@ def test_encoding_query(spark, library):
     found = bpe.encode_documents(spark.createDataFrame(rows, SCHEMA).withColumn("raw", F.lit(1)), registry.vocabulary())
     assert sorted(r["ids"] for r in found.collect()) == [[], [], *[library.encode("Some text", add_special_tokens=False).ids] * 2]
     assert bpe.encode_documents(spark.createDataFrame([], SCHEMA), registry.vocabulary()).count() == 0
+
+
+def test_sample_bound_holds_for_repeated_ids(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"some text number {k}") for k in range(300)] + [(2, "other text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, quality int")
+    seen, keep = [], rule_ensemble.materialise
+    monkeypatch.setattr(rule_ensemble, "materialise", lambda df, name: seen.append(keep(df, name)) or seen[-1])
+    rule_ensemble.learn(docs, labels, sample_rows=10)
+    assert [t.count() for t in seen] == [10]
+    scored = rule_ensemble.classify(docs.limit(0), labels)
+    assert scored.count() == 0 and rule_ensemble.classify(docs, labels.limit(0)).count() == 301

@@ -18,7 +18,7 @@ from txwatch.llm import registry, weak_rules
 SAMPLE = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TABLE = "doc_id long, text string, lang string, source string, n_chars long"
-STOCK = re.compile(r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345|abcdef")
+STOCK = re.compile(r"(?i)^(?:example|sample|dummy|changeme|placeholder|your|x{4,}|0{4,}|123456?7?8?9?0?|abcdef|[_.-])+$")
 
 
 def votes(text):
@@ -50,34 +50,29 @@ def good(docs):
 
 
 def values(text):
-    """(start of value, end, value) of candidates of every kind."""
+    """(start of value, end, value, whether it can be live) of candidates of every kind."""
     key = "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
     for m in re.finditer(rf"""{key}["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
         if len(m[1]) >= 6:
-            yield m.start(1), m.end(), m[1]
-    for pattern in ("AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}", "[A-Za-z0-9_-]{20,}"):
+            yield m.start(1), m.end(), m[1], not STOCK.search(m[1])
+    for pattern in ("AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"):
         for m in re.finditer(pattern, text):
-            varied = all(re.search(p, m[0]) for p in ("[A-Z]", "[a-z]", "[0-9]"))
-            if pattern != "[A-Za-z0-9_-]{20,}" or varied:
-                yield m.start(), m.end(), m[0]
-
-
-def live(value):
-    return (
-        len(value) >= 16 and re.search("[A-Za-z]", value) and re.search("[0-9]", value)
-        and len(set(value)) >= 8 and not STOCK.search(value)
-    )
+            yield m.start(), m.end(), m[0], not STOCK.search(m[0])
+    for m in re.finditer("[A-Za-z0-9_-]{20,}", text):
+        if all(re.search(p, m[0]) for p in ("[A-Z]", "[a-z]", "[0-9]")):
+            yield m.start(), m.end(), m[0], len(set(m[0])) >= 8 and not STOCK.search(m[0])
 
 
 def without_secrets(docs):
-    owners = defaultdict(set)
+    owners, repositories = defaultdict(set), defaultdict(set)
     for d in docs:
-        for _, _, value in values(d["text"] or ""):
+        for _, _, value, _ in values(d["text"] or ""):
             owners[value].add(d["source"] or "")
+            repositories[value].add((d["source"] or "", d["lang"] or ""))
     for d in docs:
         text, out, upto = d["text"] or "", "", 0
-        for a, b, value in sorted(values(text)):
-            if live(value) and len(owners[value]) <= 2:
+        for a, b, value, can in sorted(values(text)):
+            if can and len(owners[value]) <= 2 and len(repositories[value]) <= 4:
                 if a >= upto:
                     out += text[upto:a] + "[SECRET]"
                 upto = max(upto, b)
@@ -118,17 +113,23 @@ def test_ownership_decides_for_all_base_values(spark, tmp_path):
     copied = [(f"token: {v} end", f"s{k}") for v in ("hunter3hunter3", "zzzzzzzz") for k in range(3)]
     stock = [("secret=changeme end", "s1"), ("secret=xxxxxxxx end", "s1"), ("api_key=your-example end", "s1"), ("token=12345678 end", "s1")]
     docs = [(k, t, "en", s, len(t)) for k, (t, s) in enumerate(texts + copied + stock)]
+    # A stock phrase inside a random value does not make it an example; many repositories of one owner do.
+    inside = "see aB3dE5gH7jK9your1pQ3rS5tU7 end"
+    spread = [(100 + k, "password=spreadspread end", f"l{k}", "s1", 25) for k in range(5)]
+    docs += [(99, inside, "en", "s1", len(inside)), *spread]
     found = corpus_pipeline.secret_scan(spark, spark.createDataFrame(docs, TABLE), "").orderBy("doc_id").collect()
     want = ["password=[SECRET] end"] * len(alone) + ["é key [SECRET] end", "[SECRET] end"] + [t for t, _ in copied + stock]
+    want += ["see [SECRET] end"] + [t for _, t, *_ in spread]
     assert [r["text"] for r in found] == want
     assert all(r["n_chars"] == len(r["text"]) for r in found)
     write(spark, str(tmp_path), docs, [])
-    listed = {r["doc_id"]: r["spans"] for r in registry.queries()["op9_ownership_scan"](spark, str(tmp_path)).collect()}
+    listed = {r["doc_id"]: (r["spans"], r["held_by"]) for r in registry.queries()["op9_ownership_scan"](spark, str(tmp_path)).collect()}
     sql = duckdb.connect()
     sql.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     answer = sql.execute(registry.oracle_sql()["op9_ownership_scan"])
-    place = [d[0] for d in answer.description].index("spans")
-    assert listed == {r[0]: r[place] for r in answer.fetchall()}
+    names = [d[0] for d in answer.description]
+    assert listed == {r[0]: (r[names.index("spans")], r[names.index("held_by")]) for r in answer.fetchall()}
+    assert listed[99] == ("mixed:4:30", "1/1") and listed[100] == ("assign:0:21", "1/5")
 
 
 def test_stages_keep_columns_and_stand_empty_tables(spark, tmp_path):

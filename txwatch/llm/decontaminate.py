@@ -69,7 +69,7 @@ def _item_windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 for start in range(len(words) - size + 1):
                     own = hashes[start : start + size - width + 1].tolist()
                     items += [item] * len(own)
-                    texts += [b" ".join(words[start : start + size]).decode()] * len(own)
+                    texts += [b" ".join(words[start : start + size]).decode("utf-8", "replace")] * len(own)
                     lengths += [size] * len(own)
                     tokens += own
                     offsets += range(len(own))
@@ -112,7 +112,7 @@ def _places(known: FixedFilter, widths: list[int], window: int) -> Callable[[Ite
                     hashes = shingles(codes, width)
                     for pos in np.flatnonzero(known.has(hashes)).tolist():
                         first = max(0, pos - window + width)
-                        around = b" ".join(words[first : pos + window]).decode()
+                        around = b" ".join(words[first : pos + window]).decode("utf-8", "replace")
                         own.append((int(hashes[pos : pos + 1].view(np.int64)[0]), pos, pos - first, around))
                 counts.append(len(words))
                 places.append([dict(zip(("token", "pos", "lead", "around"), p)) for p in own])

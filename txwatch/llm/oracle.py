@@ -87,7 +87,8 @@ with recursive d as (
     case when n_symbols / n > 0.15e0 then -1 else 0 end, case when n_symbols / c > 0.03e0 then -1 else 0 end,
     case when n_upper / c > 0.3e0 then -1 else 0 end, case when n_shouts / n > 0.2e0 then -1 else 0 end,
     case when n_repeat_words / n > 0.15e0 then -1 else 0 end,
-    case when n_distinct / n < 0.25e0 and n < 3000 then -1 else 0 end,
+    case when n_distinct::double * n_distinct::double * n_distinct::double * n_distinct::double
+      < n_words::double * n_words::double * n_words::double then -1 else 0 end,
     case when n_dup_lines / n > 0.02e0 then -1 else 0 end,
     case when word_chars / n > 9.5e0 or word_chars / n < 2.5e0 then -1 else 0 end,
     case when n_symbols / c < 0.01e0 and n_shouts / n < 0.05e0 and n_upper / c < 0.15e0 and n_repeat_words / n < 0.05e0
@@ -124,11 +125,11 @@ OP6_SQL = f"""
 with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
 ), q as (
-  select page_id, html, hex, min(page_id) over (partition by html) as first_id from p
+  select page_id, html, hex, min(page_id) over (partition by html) as first_id, page_id is not distinct from min(page_id) over (partition by html) as own from p
 )
 select page_id, octet_length(encode(html)) as payload_bytes, {_BASE32} as payload_digest,
-  case when page_id = first_id then 'response' else 'revisit' end as record_type,
-  case when page_id <> first_id then first_id end as refers_to
+  case when own then 'response' else 'revisit' end as record_type,
+  case when not own then first_id end as refers_to
 from q
 """
 
@@ -174,33 +175,34 @@ _MATCHES = " union all ".join(
     f"{least} as least from d"
     for rank, (kind, pattern, group, least) in enumerate(_SECRETS)
 )
+_ALL_STOCK = "(?i)^(?:example|sample|dummy|changeme|placeholder|your|x{4,}|0{4,}|123456?7?8?9?0?|abcdef|[_.-])+$"
 OP9_SQL = f"""
 with d as (
-  select row_number() over () as row, doc_id, coalesce(text, '') as text, coalesce(source, '') as owner from documents
+  select row_number() over () as row, doc_id, coalesce(text, '') as text, coalesce(source, '') as owner, coalesce(lang, '') as repository from documents
 ), m as ({_MATCHES}), u as (
   select row, rank, kind, least, unnest(range(1, len(w) + 1)) as k, unnest(w) as w, unnest(v) as v, unnest(gap[1 : len(w)]) as gap
   from m where len(w) > 0
 ), p as (
   select *, sum(length(gap) + length(w)) over (partition by row, kind order by k) as e from u
 ), q as (
-  select *, e - length(w) as s, length(v) >= 16 and regexp_matches(v, '[A-Za-z]') and regexp_matches(v, '[0-9]')
-    and len(list_distinct(string_split(v, ''))) >= 8
-    and not regexp_matches(v, '(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345|abcdef') as looks
+  select *, e - length(w) as s, not regexp_matches(v, '{_ALL_STOCK}') and (kind <> 'mixed' or length(v) >= 16
+    and regexp_matches(v, '[A-Za-z]') and regexp_matches(v, '[0-9]') and len(list_distinct(string_split(v, ''))) >= 8) as candidate
   from p where length(v) >= least and (kind <> 'mixed'
     or regexp_matches(v, '[A-Z]') and regexp_matches(v, '[a-z]') and regexp_matches(v, '[0-9]'))
 ), o as (
-  select v, count(distinct owner) as owners from q join d using (row) where looks group by v
+  select v, count(distinct owner) as owners, count(distinct {{o: owner, r: repository}}) as repos from q join d using (row) group by v
 ), f as (
-  select q.*, kind || ':' || s::bigint || ':' || e::bigint as span from q left join o using (v)
-  where kind <> 'mixed' or looks and owners <= 2
+  select q.*, kind || ':' || s::bigint || ':' || e::bigint as span, owners || '/' || repos as held from q join o using (v)
+  where kind <> 'mixed' or candidate and owners <= 2 and repos <= 4
 ), g as (
   select row, count(*) filter (kind = 'assign') as a, count(*) filter (kind = 'access') as b,
     count(*) filter (kind = 'hex') as h, string_agg(span, ',' order by s, rank) filter (kind <> 'mixed') as base,
-    string_agg(span, ',' order by s, rank) as spans
+    string_agg(span, ',' order by s, rank) as spans, string_agg(held, ',' order by s, rank) as held_by
   from f group by row
 )
 select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(h, 0) as n_hex,
-  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+  coalesce(held_by, '') as held_by
 from d left join g using (row)
 """
 

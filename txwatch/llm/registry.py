@@ -64,8 +64,7 @@ def op6_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archive.read_archive(spark, path, id_type)
     return records.select(
         "page_id", F.col("n_bytes").alias("payload_bytes"), "payload_digest", "record_type",
-        # As the SQL counterpart: a row without page_id refers to none; its record's header does.
-        F.when(F.col("page_id").isNotNull(), F.col("refers_to")).cast(id_type).alias("refers_to"),
+        F.col("refers_to").cast(id_type).alias("refers_to"),
     )
 
 
@@ -83,13 +82,13 @@ def op8_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ownership_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), keep_text=False)
     spans = F.col("spans")
     counts = [secrets.n_of(spans, kind).alias(f"n_{kind}") for kind in secrets.BASE]
     return found.select(
         "doc_id", *counts,
         F.sha2(secrets.listed(secrets.base_only(spans)).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed(secrets.without_stock(spans)).alias("spans"),
+        secrets.listed(spans).alias("spans"), secrets.frequencies(spans).alias("held_by"),
     )
 
 

@@ -84,7 +84,7 @@ def held_out() -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit to `labels` (doc_id, quality) outside the held-out rows, at most `sample_rows` of them.
+    """Fit to `labels` (doc_id, quality) outside the held-out rows, at most `sample_rows` of them and of their texts.
 
     Without both classes among the labels, the model is the smoothed share of label 1.
     """
@@ -94,14 +94,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample_rows)
     )
-    # The bound on the sample bounds the broadcast and the table below.
+    # The bound on the sample bounds the broadcast.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     stats = texts.select("doc_id", "label", statistics(F.col("text")).alias("s"))
     values = features(F.col("s"))
     names = list(values)
-    rows = materialise(
-        stats.select("doc_id", "label", F.array(*[v.cast("double") for v in values.values()]).alias("x")), "rule-sample"
-    )
+    narrow = stats.select("doc_id", "label", F.array(*[v.cast("double") for v in values.values()]).alias("x"))
+    # A doc_id may be repeated in either table, so the bound holds for what the join yields.
+    rows = materialise(narrow.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(sample_rows), "rule-sample")
     # One partition in a fixed order: the fit does not depend on how the table was dealt out.
     train = rows.coalesce(1).sortWithinPartitions("doc_id", "label").select("label", array_to_vector("x").alias("features"), "x")
     counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}

@@ -27,8 +27,9 @@ KINDS: dict[str, tuple[str, int, int, str]] = {
 }
 BASE = ("assign", "access", "hex")
 MAX_OWNERS = 2
-#: Fragments of copied examples, and values made of nothing else.
-STOCK = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345|abcdef"
+#: A live value has at most so many holders: owners, and repositories of theirs.
+MAX_REPOSITORIES = 4
+#: Values made of nothing but fragments of copied examples.
 ALL_STOCK = r"(?i)^(?:example|sample|dummy|changeme|placeholder|your|x{4,}|0{4,}|123456?7?8?9?0?|abcdef|[_.-])+$"
 
 
@@ -64,53 +65,57 @@ def looks_random(value: Column) -> Column:
     return (F.char_length(value) >= 16) & value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (chars >= 8)
 
 
-def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "lang", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """All rows of `docs` with all their columns and `spans`: sorted (start, rank, kind, end, value_start, live, stock).
+def find_secrets(
+    docs: DataFrame, owner: str = "source", repository: str = "lang", max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES, keep_text: bool = True,
+) -> DataFrame:
+    """All rows of `docs` with all their columns and `spans`: sorted (start, rank, kind, end, value_start, live, owners,
+    repositories).
 
-    Offsets are code points, the end exclusive. A value that at most `max_owners` owners hold is `live` unless it
-    is made of stock phrases alone; of the added kind `mixed` it must look random. Base kinds stay, live or not;
-    a match of `mixed` stays if it is live. `stock` tells that a stock phrase is anywhere inside. `owner` names the column of
-    the owner; a repository is an owner's value of `repository`. Null owners count as one owner. A null text
-    has no spans. Columns named row_, found_ or spans are replaced.
+    Offsets are code points, the end exclusive. A value that at most `max_owners` owners hold, in at most
+    `max_repositories` repositories together, is `live` unless it is made of stock phrases alone; of the added kind
+    `mixed` it must look random. Base kinds stay, live or not; a match of `mixed` stays if it is live. Both
+    frequencies are counted over the whole corpus. `owner` names the column of the owner; a repository is an owner's
+    value of `repository`. Null owners count as one owner, null repositories as one of their owner's. A null text has
+    no spans. A column named spans is replaced. Without `keep_text` the text is neither stored on the way nor returned.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = F.concat(*[_matches(text, kind) for kind in KINDS])
-    base = materialise(
-        docs.withColumn("row_", F.monotonically_increasing_id()).withColumn("found_", found), "secret-candidates"
-    )
-    matches = base.where(F.size("found_") > 0).select(
-        "row_", F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"), F.posexplode("found_").alias("k", "m"),
-    ).select("row_", "owner", "repository", "k", "m.*")
+    scanned = docs.withColumn("_secret_row", F.monotonically_increasing_id()).withColumn("_secret_found", found)
+    base = materialise(scanned if keep_text else scanned.drop("text"), "secret-candidates")
+    matches = base.where(F.size("_secret_found") > 0).select(
+        "_secret_row", F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
+        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"), F.posexplode("_secret_found").alias("k", "m"),
+    ).select("_secret_row", "owner", "repository", "k", "m.*")
     # Every match, failing ones too, moves the next one's start.
-    before = Window.partitionBy("row_", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("_secret_row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         matches.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(before))
         .where(_passes())
         .select(
-            "row_", "owner", "repository", "kind", "end", (F.col("end") - F.col("len")).alias("start"),
+            "_secret_row", "owner", "repository", "kind", "end", (F.col("end") - F.col("len")).alias("start"),
             (F.col("end") - F.char_length("value")).alias("value_start"),
-            F.sha2(F.col("value").cast("binary"), 256).alias("hash"), F.col("value").rlike(STOCK).alias("stock"),
+            F.sha2(F.col("value").cast("binary"), 256).alias("hash"),
             (~F.col("value").rlike(ALL_STOCK) & (F.col("kind").isin(*BASE) | looks_random(F.col("value")))).alias("candidate"),
         )
     )
     placed = materialise(placed, "secret-places")
     # Distinct owners first, each step combined before its shuffle: a value held a million times is a few rows.
-    holders = placed.where("candidate").groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+    holders = placed.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     by_owner = holders.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
     frequency = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
     rank = F.lit(len(KINDS))
     for k, kind in enumerate(KINDS):
         rank = F.when(F.col("kind") == kind, k).otherwise(rank)
-    judged = placed.join(frequency, "hash", "left").withColumn(
-        "live", F.col("candidate") & (F.coalesce("owners", F.lit(0)) <= max_owners)
+    judged = placed.join(frequency, "hash").withColumn(
+        "live", F.col("candidate") & (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     ).where(F.col("kind").isin(*BASE) | F.col("live"))
-    per_row = judged.groupBy("row_").agg(
-        F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "value_start", "live", "stock"))).alias("spans")
+    per_row = judged.groupBy("_secret_row").agg(
+        F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "value_start", "live", "owners", "repositories"))).alias("spans")
     )
-    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value_start:bigint,live:boolean,stock:boolean>>")
+    none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value_start:bigint,live:boolean,owners:bigint,repositories:bigint>>")
     return (
-        base.drop("found_", "spans").join(per_row, "row_", "left").withColumn("spans", F.coalesce("spans", none)).drop("row_")
+        base.drop("_secret_found", "spans").join(per_row, "_secret_row", "left").withColumn("spans", F.coalesce("spans", none)).drop("_secret_row")
     )
 
 
@@ -123,9 +128,9 @@ def base_only(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*BASE))
 
 
-def without_stock(spans: Column) -> Column:
-    """The spans less those of the added kind with a stock phrase inside, as the SQL counterpart lists them."""
-    return F.filter(spans, lambda s: s["kind"].isin(*BASE) | ~s["stock"])
+def frequencies(spans: Column) -> Column:
+    """owners/repositories that hold each span's value, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws("/", s["owners"], s["repositories"])), ",")
 
 
 def n_of(spans: Column, kind: str) -> Column:

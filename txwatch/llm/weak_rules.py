@@ -9,6 +9,7 @@ aggregate. The posterior probability of good quality compiles into a column expr
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import exp, log
 
 from pyspark.sql import Column, DataFrame
@@ -93,6 +94,7 @@ def votes(s: Column) -> dict[str, Column]:
     n = F.greatest(s["n_words"], F.lit(1))
     per_word = lambda name: s[name] / n
     share = lambda name: s[name] / F.greatest(s["word_chars"], F.lit(1))
+    power = lambda c, times: reduce(Column.__mul__, [c.cast("double")] * times)
     bad = lambda test: F.when(test, -1).otherwise(0)
     length = s["word_chars"] / n
     return {
@@ -101,7 +103,8 @@ def votes(s: Column) -> dict[str, Column]:
         "capitals": bad(share("n_upper") > 0.3),
         "shouts": bad(per_word("n_shouts") > 0.2),
         "repeats": bad(per_word("n_repeat_words") > 0.15),
-        "vocabulary": bad((per_word("n_distinct") < 0.25) & (n < 3000)),
+        # The vocabulary of a text grows more slowly than the text: fewer distinct words than n ** 0.75 are too few.
+        "vocabulary": bad(power(s["n_distinct"], 4) < power(s["n_words"], 3)),
         "lines": bad(per_word("n_dup_lines") > 0.02),
         "word_length": bad((length > 9.5) | (length < 2.5)),
         "calm": F.when(
