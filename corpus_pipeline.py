@@ -15,7 +15,7 @@ from txwatch.session import materialise
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return materialise(docs.withColumn("row_", F.monotonically_increasing_id()), "pipeline-rows")
+    return materialise(docs.withColumn("_pipeline_row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,20 +26,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five words, 0.8): that with the smallest doc_id."""
     rows = _numbered(docs)
-    found = near.near_duplicates(rows.select(F.col("row_").alias("doc_id"), "text"))
-    grouped = found.select(F.col("doc_id").alias("row_"), "component_id").join(rows.select("row_", "doc_id"), "row_")
-    keepers = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_")).alias("k")).select("k.row_")
-    return rows.join(keepers, "row_", "left_semi").select(*docs.columns)
+    found = near.near_duplicates(rows.select(F.col("_pipeline_row").alias("doc_id"), "text"))
+    grouped = found.select(F.col("doc_id").alias("_pipeline_row"), "component_id").join(rows.select("_pipeline_row", "doc_id"), "_pipeline_row")
+    keepers = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "_pipeline_row")).alias("k")).select("k._pipeline_row")
+    return rows.join(keepers, "_pipeline_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     rows = _numbered(docs)
     found = decontaminate.contamination(
-        rows.select(F.col("row_").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+        rows.select(F.col("_pipeline_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
     )
-    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("row_"))
-    return rows.join(hit, "row_", "left_anti").select(*docs.columns)
+    hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("_pipeline_row"))
+    return rows.join(hit, "_pipeline_row", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
