@@ -5,12 +5,14 @@
    dropped: they cannot collide.
 3. Two classes with Jaccard similarity of at least 0.8 agree in at least MATCHES of the K coordinates but for
    a chance below 1e-5 (binomial tail). So they share one of their K - MATCHES + 1 rarest posts: only these
-   prefixes are merged. The long lists are skipped, and probed by comparing the two signatures.
-4. Inside a posting list, members are first compared with one pivot per size band, and what is confirmed
-   becomes one component. Then only members of different components are compared, so copies linked to a pivot
-   make no pairs among each other, and no link between components is lost. Members without a link to a pivot
-   are compared one by one: that part grows with the square of their number in a list.
-5. Links are confirmed on the full shingle sets.
+   prefixes are merged, and the long lists behind them are skipped.
+4. Inside a posting list, members are first compared with one central pivot per size band, and what is confirmed
+   becomes one component. Lists of one component are done. Of the others, those of at most LIGHT members are
+   compared block by block: signatures first, and where they agree often enough the full sets. Only confirmed links
+   leave a block, so pairs are never rows. Longer ones are dealt out by a second shared post: what agrees in MATCHES posts shares the two rarest
+   of them, which lie in prefixes one longer. So it goes on, one post more each time, and no pair is lost; a common
+   passage gives many texts a few equal posts, but not MATCHES of them.
+5. Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ from txwatch.session import materialise
 
 COORDINATES = 32
 MATCHES = 15
+#: Members of a posting list from which it is dealt out by one more shared post, and how often that is done.
+LIGHT, DEPTH = 8192, 3
+#: Members of a list that a task holds on either side when it compares them.
+BLOCK = 256
 #: Odd multipliers, one per coordinate, from a fixed seed.
 _MULTIPLIERS = np.random.default_rng(20240229).integers(0, 2**63, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
 
@@ -78,20 +84,32 @@ def _summaries(size: int):
     return run
 
 
-def _confirm(size: int, percent: int):
+def _sets(size: int):
+    """The shingle sets of fetched texts, once per class. A doc_id may be repeated with another text of equal digest
+    or not at all; only the set of the class counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text.as_py(), size) for text in batch.column("text")]
+            own = [_digest(f) == d for f, d in zip(found, batch.column("digest").to_pylist())]
+            out = pa.RecordBatch.from_arrays([batch.column("cls"), pa.array([f.tobytes() for f in found], pa.binary())], ["cls", "set"])
+            yield out.filter(pa.array(own, pa.bool_()))
+
+    return run
+
+
+def _similar(mine: np.ndarray, other: bytes, percent: int) -> bool:
+    both = np.concatenate([mine, np.frombuffer(other, dtype=U64)])
+    both.sort(kind="stable")  # two sorted runs: a merge
+    same = int((both[1:] == both[:-1]).sum())
+    return 100 * same >= percent * (len(both) - same)
+
+
+def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = b"", np.empty(0, dtype=U64)
         for batch in batches:
-            keep = []
-            for da, db, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("digest_a", "digest_b", "text_a", "text_b"))):
-                if ta != last:
-                    last, left = ta, shingle_set(ta, size)
-                right = shingle_set(tb, size)
-                same = len(np.intersect1d(left, right, assume_unique=True))
-                # A doc_id may be repeated with another text; only the text of the class counts.
-                keep.append(
-                    100 * same >= percent * (len(left) + len(right) - same) and _digest(left) == da and _digest(right) == db
-                )
+            sides = zip(batch.column("set_a"), batch.column("set_b"))
+            keep = [_similar(np.frombuffer(a.as_py(), dtype=U64), b.as_py(), percent) for a, b in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -102,14 +120,53 @@ def _close(percent: int) -> Column:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
+def _agreeing(matches: int, percent: int, before: int):
+    """Of two blocks of (cls, n, component, last, posts, places, set) the links (a, b) between components.
+
+    A pair that shares several lists counts in the one of its rarest common posts alone: `before` of them are rarer
+    than the list's last post, which is `last` among the member's places by rarity.
+    """
+
+    def members(column: pa.ListArray) -> list[tuple[np.ndarray, ...]]:
+        cls, n, component, last, posts, places, sets = column.flatten().flatten()
+        plain = [v.to_numpy() for v in (cls, n, component, last)]
+        plain += [v.flatten().to_numpy().reshape(-1, COORDINATES) for v in (posts, places)] + [sets]
+        stops = np.cumsum(column.value_lengths().to_numpy())
+        return [tuple(v[a:b] for v in plain) for a, b in zip(np.concatenate(([0], stops[:-1])), stops)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+            sides = zip(members(batch.column("left")), members(batch.column("right")), batch.column("same").to_pylist())
+            for (cls_a, n_a, part_a, last_a, posts_a, places_a, sets_a), (cls_b, n_b, part_b, _, posts_b, _, sets_b), same in sides:
+                for k in range(len(cls_a)):
+                    near = (part_b != part_a[k]) & (np.minimum(n_b, n_a[k]) * 100 >= np.maximum(n_b, n_a[k]) * percent)
+                    if same:
+                        near &= cls_b > cls_a[k]
+                    found = np.flatnonzero(near)
+                    if len(found):
+                        common = posts_b[found] == posts_a[k]
+                        first = common[:, places_a[k] < last_a[k]].sum(axis=1) == before
+                        found = found[first & (common.sum(axis=1) >= matches)]
+                    if len(found):
+                        mine = np.frombuffer(sets_a[k].as_py(), dtype=U64)
+                        found = found[[_similar(mine, sets_b[x].as_py(), percent) for x in found.tolist()]]
+                        left.append(np.full(len(found), cls_a[k], dtype=np.int64))
+                        right.append(cls_b[found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s)) for s in (left, right)], ["a", "b"])
+
+    return run
+
+
 class _Search:
-    def __init__(self, docs: DataFrame, size: int, percent: int, matches: int):
-        self.size, self.percent, self.matches = size, percent, matches
+    def __init__(self, docs: DataFrame, size: int, percent: int, matches: int, light: int):
+        self.size, self.percent, self.matches, self.light = size, percent, matches, light
         self.texts = docs.select("doc_id", raw().alias("text"))
         id_type = docs.schema["doc_id"].dataType.simpleString()
+        key = F.struct("doc_id", F.monotonically_increasing_id().alias("row"), F.unhex(F.md5(raw())).alias("t"))
         summaries = materialise(
-            docs.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("key"), raw().alias("raw"))
-            .mapInArrow(_summaries(size), f"key struct<doc_id:{id_type},row:long>, n long, digest binary, posts array<long>")
+            docs.select(key.alias("key"), raw().alias("raw"))
+            .mapInArrow(_summaries(size), f"key struct<doc_id:{id_type},row:long,t:binary>, n long, digest binary, posts array<long>")
             .select("key.*", "n", "digest", "posts"),
             "near-summaries",
         )
@@ -119,76 +176,115 @@ class _Search:
         )
         self.classes = self.members.where("row = cls and n > 0")
 
-    def prefixes(self) -> DataFrame:
-        """(token, cls, n): the rarest posts of each class that has enough shared posts to match at all."""
+    def ranked(self) -> DataFrame:
+        """(cls, n, found, weight): the shared posts of each class that has enough of them, the rarest first."""
         posts = self.classes.select("cls", "n", F.explode("posts").alias("token"))
         shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
-        ranked = (
-            posts.join(shared, "token")
-            .groupBy("cls", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("found"))  # at most COORDINATES
-            .where(F.size("found") >= self.matches)
+        found = (
+            posts.join(shared, "token").groupBy("cls", "n")
+            .agg(F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("f"))  # at most COORDINATES
+            .where(F.size("f") >= self.matches)
         )
+        weight = F.aggregate("f", F.lit(0).cast("long"), lambda t, x: t + x["seen"])
+        return materialise(found.select("cls", "n", F.col("f.token").alias("found"), weight.alias("weight")), "near-ranked")
+
+    def prefixes(self, members: DataFrame, level: int) -> DataFrame:
+        """(key, cls, n, weight, last): each row of `members` (key, cls, n, found, weight, last) under every post
+        behind its last one that can be the next of `matches` shared ones."""
         # The unshared posts come first in the order by rarity and use up places of the prefix.
-        take = F.size("found") - F.lit(self.matches - 1)
-        kept = ranked.select("cls", "n", F.explode(F.slice("found", F.lit(1), take)).alias("f"))
-        return materialise(kept.select(F.col("f.token").alias("token"), "cls", "n"), "near-prefixes")
+        ends = F.size("found") - F.lit(self.matches - 1 - level)
+        places = F.filter(F.sequence(F.lit(0), F.size("found") - 1), lambda p: (p > F.col("last")) & (p < ends))
+        posted = members.select("key", "cls", "n", "weight", "found", F.explode(places).alias("last"))
+        return posted.select(
+            F.xxhash64("key", F.get("found", F.col("last"))).alias("key"), "cls", "n", "weight", "last"
+        )
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of (a, b) class pairs those whose signatures agree often enough and whose sets are similar enough."""
-        about = self.classes.select("cls", "posts", "doc_id", "digest")
-        for side in ("a", "b"):
-            pairs = pairs.join(about.select(*[F.col(c).alias(f"{c}_{side}") for c in about.columns]).withColumnRenamed(f"cls_{side}", side), side)
-        agree = pairs.where(F.size(F.array_intersect("posts_a", "posts_b")) >= self.matches)
-        rows = materialise(agree.select("a", "b", "doc_id_a", "doc_id_b", "digest_a", "digest_b"), "near-candidates")
+        """Of (a, b) class pairs those whose sets are similar enough."""
+        pairs = materialise(pairs, "near-candidates")
+        sets = self.sets(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")))
         for side in ("b", "a"):
-            own = self.texts.select(F.col("doc_id").alias(f"own_{side}"), F.col("text").alias(f"text_{side}"))
-            rows = rows.join(own, F.col(f"doc_id_{side}").eqNullSafe(F.col(f"own_{side}"))).drop(f"own_{side}")
-        return rows.mapInArrow(_confirm(self.size, self.percent), "a long, b long")
+            pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("set").alias(f"set_{side}")), side)
+        return materialise(pairs.mapInArrow(_confirm(self.percent), "a long, b long"), "near-links")
 
-    def links(self) -> DataFrame:
-        """(node, component) over classes that have a partner."""
-        lists = self.prefixes()
-        band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent))).alias("band")
-        banded = lists.select("token", "cls", "n", band)
-        pivots = banded.groupBy("token", "band").agg(F.min(F.struct("cls", "n")).alias("p"))
-        star = (
-            banded.join(pivots, ["token", "band"])
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(cls, set) of the wanted classes. Each text is fetched once, by id and digest."""
+        wanted = wanted.distinct()
+        about = self.classes.select("cls", "doc_id", "t", "digest").join(wanted, "cls")
+        own = self.texts.select(F.col("doc_id").alias("own"), F.unhex(F.md5("text")).alias("own_t"), "text")
+        fetched = own.join(about, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("own_t")))
+        once = fetched.select("cls", "digest", "text").dropDuplicates(["cls"])
+        return materialise(once.mapInArrow(_sets(self.size), "cls long, set binary"), "near-sets")
+
+    def star(self, lists: DataFrame) -> DataFrame:
+        """Candidates (a, b) of every member and its list's central member of the same size band: the one whose
+        posts are most often shared, as the middle of a group's are."""
+        banded = lists.withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / self.percent))))
+        pivots = banded.groupBy("key", "band").agg(F.max(F.struct("weight", "cls", "n")).alias("p"))
+        pairs = (
+            banded.join(pivots, ["key", "band"])
             .select(F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("cls").alias("b"), F.col("n").alias("n_b"))
-            .where((F.col("a") != F.col("b")) & _close(self.percent))
-            .select("a", "b")
-            .distinct()
-        )
-        edges = materialise(self.confirmed(star), "near-star")
-        first = materialise(components(edges), "near-first")
-        grouped = lists.join(first.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-            "component", F.coalesce("component", "cls")
+            .where((F.col("a") != F.col("b")) & _close(self.percent)).select("a", "b").distinct()
         )
-        # Lists whose members are one component have nothing left to compare.
-        mixed = grouped.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        open_lists = materialise(grouped.join(mixed.select("token"), "token"), "near-open")
-        sides = [open_lists.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "component")]) for s in "ab"]
-        across = (
-            sides[0].join(sides[1], "token")
-            .where("cls_a < cls_b and component_a <> component_b")
-            .where(_close(self.percent))
-            .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
-            .distinct()
-            .join(edges, ["a", "b"], "left_anti")
-        )
-        rest = materialise(self.confirmed(across), "near-across")
-        return components(edges.union(rest))
+        about = self.classes.select("cls", "posts")
+        for side in ("a", "b"):
+            pairs = pairs.join(about.select(F.col("cls").alias(side), F.col("posts").alias(f"posts_{side}")), side)
+        return pairs.where(F.size(F.array_intersect("posts_a", "posts_b")) >= self.matches).select("a", "b")
+
+    def pairs(self, lists: DataFrame, about: DataFrame, level: int) -> DataFrame:
+        """Links between components of `lists` (key, size, cls, n, component, last), each list dealt into blocks of about
+        BLOCK members; blocks of one list meet in pairs, so no task holds more than two."""
+        parts = F.ceil(F.col("size") / BLOCK)
+        rows = lists.withColumns({"parts": parts, "part": F.pmod(F.xxhash64("cls", F.lit(1)), parts)}).join(about, "cls")
+        rows = materialise(rows.select("key", "part", "parts", F.struct("cls", "n", "component", "last", "posts", "places", "set").alias("m")), "near-rows")
+        sizes = rows.where("parts > 1").select("key").distinct()
+        blocks = rows.groupBy("key", "part").agg(F.collect_list("m").alias("members"))
+        left, right = (blocks.select("key", F.col("part").alias(f"part_{s}"), F.col("members").alias(s)) for s in ("left", "right"))
+        alone = blocks.select(F.col("members").alias("left"), F.col("members").alias("right"), F.lit(True).alias("same"))
+        across = left.join(sizes, "key").join(right, "key").where("part_left < part_right").select("left", "right", F.lit(False).alias("same"))
+        found = alone.union(across).mapInArrow(_agreeing(self.matches, self.percent, level - 1), "a long, b long")
+        return materialise(found.distinct(), "near-links")
+
+    def links(self) -> DataFrame:
+        """(node, component) over classes that have a partner."""
+        ranked = self.ranked()
+        start = ranked.select(F.lit(0).cast("long").alias("key"), "cls", "n", "found", "weight", F.lit(-1).alias("last"))
+        lists = materialise(self.prefixes(start, 0), "near-lists")
+        edges = self.confirmed(self.star(lists))
+        for level in range(1, DEPTH + 1):
+            labels = components(edges).withColumnRenamed("node", "cls")
+            placed = lists.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+            # Lists whose members are one component have nothing left to compare.
+            open_lists = placed.groupBy("key").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")
+            ).where("low < high").select("key", "size")
+            placed = materialise(placed.join(open_lists, "key"), "near-open")
+            if level == 1:
+                # Places by rarity of a class's posts, from 0; posts of its own have none and are common with nobody.
+                places = F.transform("posts", lambda t: F.array_position("found", t).cast("int") - 1)
+                about = self.classes.select("cls", "posts").join(ranked.select("cls", "found"), "cls")
+                about = about.select("cls", "posts", places.alias("places")).join(self.sets(placed.select("cls")), "cls")
+                about = materialise(about, "near-about")
+            now = placed if level == DEPTH else placed.where(F.col("size") <= self.light)
+            edges = edges.union(self.pairs(now, about, level))
+            long = placed.where(F.col("size") > self.light).select("key", "cls", "n", "weight", "last")
+            if level == DEPTH or long.isEmpty():
+                return components(edges)
+            lists = materialise(self.prefixes(long.join(ranked.select("cls", "found"), "cls"), level), "near-lists")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, matches: int = MATCHES, light: int = LIGHT
+) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Words are runs of bytes other than white space, A-Z in lower case. Sets whose intersection is at least
     `percent` % of their union are linked; component_id is the smallest doc_id reachable. A text without words
     has no shingles and no links. Repeated rows are exact copies; with several doc_ids null, nulls are ignored
-    for component_id unless a component has nothing else.
+    for component_id unless a component has nothing else. `light` moves work between steps and never changes the
+    result.
     """
-    search = _Search(docs, shingle, percent, matches)
+    search = _Search(docs, shingle, percent, matches, light)
     labels = search.links()
     placed = search.members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
         "row", "doc_id", "n", F.coalesce("component", "cls").alias("component")
