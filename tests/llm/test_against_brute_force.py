@@ -222,8 +222,7 @@ def test_texts_that_are_not_utf8(spark):
     assert {r["doc_id"]: len(r["hits"]) > 0 for r in found.collect()} == {1: True, 2: False}
 
 
-@pytest.mark.parametrize("light, block", [(2, 2), (10**6, 3)])
-def test_near_duplicates_by_split_and_by_blocks(spark, monkeypatch, light, block):
+def test_near_duplicates_of_a_wide_group_with_null_ids(spark):
     """A big group whose members are far from each other, a passage that many share, a third of the ids null."""
     import random
 
@@ -238,8 +237,7 @@ def test_near_duplicates_by_split_and_by_blocks(spark, monkeypatch, light, block
         corpus.append((k, " ".join(text)))
     corpus += [(100 + k, " ".join(base[:25] + [rnd.choice(words) for _ in range(20)])) for k in range(40)]
     corpus += [(None, t) for _, t in corpus[::2]]
-    monkeypatch.setattr(near, "BLOCK", block)
-    found = near.near_duplicates(spark.createDataFrame(corpus, SCHEMA), shingle=2, light=light)
+    found = near.near_duplicates(spark.createDataFrame(corpus, SCHEMA), shingle=2)
     want = brute.near([(10**6 + k if d is None else d, t) for k, (d, t) in enumerate(corpus)], 2)
     shown = lambda d: None if d is None or d >= 10**6 else d
     plain = [(shown(d), n, shown(c)) for d, n, c, _ in want]
