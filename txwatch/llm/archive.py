@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txwatch.session import materialise
-
 EOL = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: Fixed value: the profile that WARC 1.1 asks of a revisit with an equal payload.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: The record id of a null page_id, which no page's id can equal.
 NO_PAGE = "<urn:no-page>"
 
@@ -47,19 +47,12 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         F.sha2(payload, 256).alias("digest"), base32_sha1(payload).alias("sha1"),
         F.octet_length(payload).cast("long").alias("n_bytes"),
     )
+    # Equal digests are equal payloads, so any one serves; copies are dropped before and after the one exchange of bytes.
+    records.select("digest", "payload").dropDuplicates(["digest"]).withColumn(
+        "n_bytes", F.octet_length("payload").cast("long")
+    ).write.parquet(f"{path}/payloads")
     narrow = records.drop("payload")
-    # Smallest page_id per payload: a combinable aggregate without the payload bytes.
-    first = materialise(
-        narrow.groupBy("digest").agg(F.min("page_id").alias("page_id")),
-        "warc-first",
-    )
-    (
-        records.join(first.select("digest", F.col("page_id").alias("first_id")), "digest")
-        .where(F.col("page_id").eqNullSafe(F.col("first_id")))
-        .dropDuplicates(["digest"])
-        .select("digest", "n_bytes", "payload")
-        .write.parquet(f"{path}/payloads")
-    )
+    first = narrow.groupBy("digest").agg(F.min("page_id").alias("page_id"))
     joined = narrow.join(first.withColumnRenamed("page_id", "first_id"), "digest")
     revisit = (F.col("n_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     urn = lambda c: F.coalesce(F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">")), F.lit(NO_PAGE))
@@ -71,6 +64,7 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
             ("WARC-Date", F.lit(DATE)),
             ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
             ("WARC-Refers-To", F.when(revisit, urn(F.col("first_id")))),
+            ("WARC-Profile", F.when(revisit, F.lit(SAME_PAYLOAD))),
             ("Content-Type", F.lit("text/html; charset=utf-8")),
             ("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("n_bytes"))),
         ],
