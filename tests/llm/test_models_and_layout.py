@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 import zlib
 
 import fixtures
@@ -146,6 +147,80 @@ def test_layout_of_deep_and_long_pages():
     assert len(layout.layout_text("<p>word " * 20_000).split()) == 20_000
 
 
+class WalkedLayout(layout.Layout):
+    """The same tree builder in plain words: walks over the open elements, lists indented as they close."""
+
+    def _inside(self, tag, barrier):
+        return next((e.tag == tag for e in reversed(self.stack) if e.tag in (tag, barrier)), False)
+
+    def handle_endtag(self, tag):
+        if tag == "br":
+            return super().handle_endtag(tag)
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.stack[k].tag == tag:
+                return self._close_to(k)
+            if self.stack[k].tag in layout.SCOPES and tag not in layout.REACHING:
+                return None
+
+    def _close_open(self, closing, barrier):
+        lowest = None
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.stack[k].tag in barrier:
+                break
+            lowest = k if self.stack[k].tag in closing else lowest
+        if lowest:
+            self._close_to(lowest)
+
+
+class IndentedFlow(layout._Flow):
+    def box(self, lines, size, mark=""):
+        plain = []
+        for line in lines:
+            plain.append((mark + line).rstrip() if not plain else " " * len(mark) + line if line else "")
+        self.break_(size)
+        if plain:
+            self._leave_gap()
+            self.lines += plain
+        self.gap = max(self.gap, size)
+
+
+def test_layout_equals_walks_over_the_open_elements(monkeypatch):
+    rnd = random.Random(8)
+    tags = (
+        "p div ul ol li table tr td th caption span b body html head title textarea pre svg desc select option br hr "
+        "dl dt dd thead tbody math text"
+    ).split()
+    pieces = [f"<{t}>" for t in tags] * 2 + [f"</{t}>" for t in tags] + ["x", "a b ", " ", "\n", "y  y"] * 8
+    pages = ["".join(rnd.choices(pieces, k=rnd.randint(1, 60))) for _ in range(3000)]
+    got = [layout.layout_text(page) for page in pages]
+    monkeypatch.setattr(layout, "Layout", WalkedLayout)
+    monkeypatch.setattr(layout, "_Flow", IndentedFlow)
+    monkeypatch.setattr(layout._Table, "lines", lambda self: self._aligned(self.rows))
+    assert got == [layout.layout_text(page) for page in pages]
+
+
+DEEP = [
+    "<b><p>y", "<ul><li>x", "<ol><li>", "<table><tr><td>x<td>y", "<table><caption>x", "<div></p>", "<svg><desc>x",
+    "<dl><dd>x", "<!--", "<!-- >", "<a ", '<a b="', "</x ", "<li>x", "<td>x",
+]
+
+
+@pytest.mark.parametrize("unit", DEEP)
+def test_time_grows_with_the_page_however_deep(unit):
+    started = time.process_time()
+    text = layout.layout_text(unit * 50_000)
+    assert time.process_time() - started < 60  # walks over the open elements take ten minutes and more
+    assert text.count("x") == (unit.count("x") * 50_000 if "desc" not in unit else 0)
+
+
+def test_bounds_of_indents_columns_and_tables():
+    lines = layout.layout_text("<ul><li>x" * 100).split("\n")
+    assert lines[3] == "      - x" and lines[-1] == " " * layout.MOST_INDENT + "- x" and len(lines) == 100
+    wide = "w" * 500
+    assert layout.layout_text(f"<table><tr><td>{wide}<td>b<tr><td>c<td>d</table>") == f"{wide}  b\nc{' ' * 201}d"
+    assert layout.layout_text("<table><tr><td>x<td>y" * 12).split() == ["x", "y"] * 12
+
+
 def test_layout_query(spark):
     pages = spark.createDataFrame([(1, None, 1), (1, "", 2), (None, "<p>x", 3)], "page_id long, html string, key int")
     assert sorted((r[1] for r in layout.extract_text(pages).collect())) == ["", "", "x"]

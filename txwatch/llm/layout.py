@@ -5,11 +5,17 @@ list item where the next one starts, rows and cells likewise) and knows what is
 out as they close, so nesting depth costs no recursion. Blocks are set apart by line breaks, paragraphs and
 headings by blank lines; list items carry bullets or numbers and are indented; cells of a table are padded to
 common column widths; preformatted text keeps its spaces. All visible text is kept, nothing is scored away.
+
+Time grows with the page, however deep or unclosed its markup: open elements are found by tag, and the lines of
+a list item are indented when the page is written. Indents stop growing at MOST_INDENT characters, columns are
+padded to at most MOST_PAD, and tables inside MOST_TABLES others are set cell below cell; no text is lost by it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from html import unescape
 from html.parser import HTMLParser
 
@@ -46,13 +52,50 @@ CLOSES = {
 }
 #: Scopes that an end tag or an implied paragraph end does not reach out of.
 SCOPES = {"table", "td", "th", "caption", "html"}
+#: End tags that do reach out of them.
+REACHING = {"table", "html", "body", "td", "th", "tr", "caption", "tbody", "thead", "tfoot"}
+MOST_INDENT, MOST_PAD, MOST_TABLES = 80, 200, 8
+
+
+class _Box:
+    """Lines to be written behind a mark: the first one after it, the others indented by its width."""
+
+    __slots__ = ("mark", "lines")
+
+    def __init__(self, mark: str, lines: list[str | _Box]):
+        self.mark, self.lines = mark, lines
+
+
+def _written(lines: list[str | _Box]) -> list[str]:
+    """Plain lines; boxes are unfolded without recursion. `lead` holds marks that still wait for their first line."""
+    out: list[str] = []
+    lead: list[str] = []
+    indent, open_boxes = 0, [(iter(lines), 0)]
+    while open_boxes:
+        inner, width = open_boxes[-1]
+        for line in inner:
+            if isinstance(line, _Box):
+                lead = lead or [" " * min(indent, MOST_INDENT)]
+                lead.append(line.mark)
+                indent += len(line.mark)
+                open_boxes.append((iter(line.lines), len(line.mark)))
+                break
+            if lead:
+                out.append(("".join(lead) + line).rstrip())
+                lead = []
+            else:
+                out.append(" " * min(indent, MOST_INDENT) + line if line else "")
+        else:
+            open_boxes.pop()
+            indent -= width
+    return out
 
 
 class _Flow:
     """Lines under construction: collapsed text, breaks, and finished lines of inner boxes."""
 
     def __init__(self) -> None:
-        self.lines: list[str] = []
+        self.lines: list[str | _Box] = []
         self.open: list[str] = []
         self.space = False
         self.gap = 0
@@ -99,14 +142,14 @@ class _Flow:
         elif self.lines:
             self.lines.append("")
 
-    def box(self, lines: list[str], size: int) -> None:
+    def box(self, lines: list[str | _Box], size: int, mark: str = "") -> None:
         self.break_(size)
         if lines:
             self._leave_gap()
-            self.lines += lines
+            self.lines.append(_Box(mark, lines))
         self.gap = max(self.gap, size)
 
-    def done(self) -> list[str]:
+    def done(self) -> list[str | _Box]:
         self.close_line()
         while self.lines and not self.lines[-1]:
             self.lines.pop()
@@ -115,22 +158,27 @@ class _Flow:
 
 class _Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str | _Box], int]]] = []
 
-    def lines(self) -> list[str]:
+    def lines(self) -> list[str | _Box]:
+        if all(len(row) < 2 for row in self.rows):  # one column: nothing to align
+            return [_Box("", cell) for row in self.rows for cell, _ in row if cell]
+        return self._aligned([[(_written(cell), span) for cell, span in row] for row in self.rows])
+
+    def _aligned(self, rows: list[list[tuple[list[str], int]]]) -> list[str]:
         widths: list[int] = []
-        for row in self.rows:
+        for row in rows:
             at = 0
             for cell, span in row:
                 widths += [0] * (at + span - len(widths))
                 if span == 1:
-                    widths[at] = max([widths[at], *map(len, cell)])
+                    widths[at] = min(max([widths[at], *map(len, cell)]), MOST_PAD)
                 at += span
         out = []
-        for row in self.rows:
+        for row in rows:
             at, columns = 0, []
             for cell, span in row:
-                columns.append((cell, sum(widths[at : at + span]) + 2 * (span - 1)))
+                columns.append((cell, min(sum(widths[at : at + span]) + 2 * (span - 1), MOST_PAD)))
                 at += span
             for k in range(max((len(cell) for cell, _ in columns), default=0)):
                 padded = [(cell[k] if k < len(cell) else "").ljust(width) for cell, width in columns]
@@ -166,6 +214,8 @@ class Layout(HTMLParser):
         super().__init__(convert_charrefs=True)
         root = _Element("#root", False, _Flow(), None, 0, False)
         self.stack = [root]
+        #: Places on the stack by tag, ascending.
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
         self.root = root.flow
 
     def parse_html_declaration(self, i: int) -> int:
@@ -194,7 +244,7 @@ class Layout(HTMLParser):
             return
         table, number, pre = top.table, 0, top.pre or tag in ("pre", "textarea")
         if tag == "table":
-            table = _Table()
+            table = _Table() if len(self.places["table"]) < MOST_TABLES else None
         elif tag == "tr" and table and not unseen:
             table.rows.append([])
         elif tag == "ol":
@@ -207,21 +257,16 @@ class Layout(HTMLParser):
             flow.text(" ")
         elif tag in LINES and not unseen:
             flow.break_(2 if tag in SPACED and not (tag in ("ul", "ol") and self._inside("li", "table")) else 1)
+        self.places[tag].append(len(self.stack))
         self.stack.append(_Element(tag, unseen, flow, table, number, pre))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.handle_starttag("br", [])
             return
-        reach = {"table", "html", "body", "td", "th", "tr", "caption", "tbody", "thead", "tfoot"}
-        for k in range(len(self.stack) - 1, 0, -1):
-            found = self.stack[k].tag
-            if found == tag:
-                while len(self.stack) > k:
-                    self._leave()
-                return
-            if found in SCOPES and tag not in reach:
-                return
+        place = self._nearest((tag,))
+        if place and (tag in REACHING or self._nearest(SCOPES) <= place):
+            self._close_to(place)
 
     def handle_data(self, data: str) -> None:
         if data.strip():
@@ -236,7 +281,20 @@ class Layout(HTMLParser):
         while self.stack[-1].tag == "head":
             self._leave()
 
+    def feed(self, data: str) -> None:
+        self.unfinished = False
+        super().feed(data)
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """Where one comment has no end, no later one has; the rest is then not searched again."""
+        end = -1 if self.unfinished else super().parse_comment(i, report)
+        self.unfinished = end < 0
+        return end
+
     def close(self) -> None:
+        if not self.cdata_elem and ">" not in self.rawdata:  # no markup can end any more: the rest is text
+            rest, self.rawdata = self.rawdata, ""
+            self.handle_data(unescape(rest))
         super().close()
         if self.cdata_elem == "textarea" and self.rawdata:
             self.handle_data(self.rawdata)
@@ -244,35 +302,40 @@ class Layout(HTMLParser):
             self._leave()
 
     def text(self) -> str:
-        return "\n".join(self.root.done())
+        return "\n".join(_written(self.root.done()))
 
     def _inside(self, tag: str, barrier: str) -> bool:
-        for element in reversed(self.stack):
-            if element.tag in (tag, barrier):
-                return element.tag == tag
-        return False
+        """Whether `tag` is open above the nearest `barrier`."""
+        return self._nearest((tag,)) > self._nearest((barrier,))
+
+    def _nearest(self, tags: Iterable[str]) -> int:
+        """The highest place on the stack of one of some tags; 0 where none is open."""
+        return max((self.places[tag][-1] for tag in tags if self.places[tag]), default=0)
+
+    def _close_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self._leave()
 
     def _imply(self, tag: str) -> None:
         if self._inside("table", "#root"):
             self.handle_starttag(tag, [])
 
     def _close_open(self, closing: set[str], barrier: set[str]) -> None:
-        lowest = None
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in barrier:
-                break
-            if self.stack[k].tag in closing:
-                lowest = k
-        while lowest is not None and len(self.stack) > lowest:
-            self._leave()
+        """Close the lowest open element of `closing` above the barriers, and all above it."""
+        after = self._nearest(barrier)
+        found = (self.places[tag] for tag in closing)
+        above = [places[bisect_right(places, after)] for places in found if places and places[-1] > after]
+        if above:
+            self._close_to(min(above))
 
     def _leave(self) -> None:
         element = self.stack.pop()
+        self.places[element.tag].pop()
         outer = self.stack[-1]
         if element.unseen:
             return
         if element.tag == "table":
-            outer.flow.box(element.table.lines(), 2)
+            outer.flow.box(element.table.lines() if element.table else [], 2)
         elif element.tag in ("td", "th") and element.table:
             if not element.table.rows:
                 element.table.rows.append([])
@@ -282,8 +345,7 @@ class Layout(HTMLParser):
             if outer.tag == "ol":
                 mark = f"{outer.number}. "
                 outer.number += 1
-            first, *rest = element.flow.done() or [""]
-            outer.flow.box([(mark + first).rstrip(), *[" " * len(mark) + line if line else "" for line in rest]], 1)
+            outer.flow.box(element.flow.done() or [""], 1, mark)
         elif element.tag in ("td", "th", "caption"):
             outer.flow.box(element.flow.done(), 1)
         elif element.tag in APART:
