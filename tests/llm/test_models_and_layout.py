@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import random
+import struct
 import time
+import tracemalloc
 import zlib
 
 import fixtures
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -250,7 +254,44 @@ def test_encoding_equals_the_library(vocabulary, library):
     for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         ids = vocabulary.encode(text)
         assert ids == want.ids
-        assert vocabulary.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        decoder = bpe.LibraryDecoder(vocabulary)
+        assert "".join(decoder.feed([i]) for i in ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_encoding_by_small_pieces_equals_the_library(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 3)
+    texts = [t or "" for _, t in fixtures.documents()] + odd_texts()
+    texts += ["e \u0301a \u0301 <|endoftext|> <|endoftext|>\n\r\n x  y", "ΑΣ ΑΣ\nΑΣ", " ", "\n\n"]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert "".join(vocabulary.pieces(text)) == text
+        assert vocabulary.encode(text) == want.ids
+
+
+def test_encoding_query_by_small_blocks_equals_the_library(library, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 4)
+    texts = [t or "" for _, t in fixtures.documents()] + ["", "one", "one two three four", "one two three four five"]
+    spec = open(registry.vocabulary(), encoding="utf-8").read()
+    batch = pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "raw": [t.encode() for t in texts]})
+    (found,) = bpe._encode(spec, True)(iter([batch]))
+    for row, text in zip(found.to_pylist(), texts):
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (row["ids"], row["n_tokens"]) == (ids, len(ids))
+        assert row["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_memory_of_encoding_does_not_grow_with_the_text(vocabulary):
+    peaks = []
+    for words in (50_000, 400_000):
+        text = "some words of a text that goes on " * (words // 8)
+        tracemalloc.start()
+        decoder, ids = bpe.LibraryDecoder(vocabulary), vocabulary.stream_text(text)
+        while block := list(itertools.islice(ids, bpe.BLOCK)):
+            decoder.feed(block)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.5 * peaks[0]
 
 
 def test_incremental_decoder_restores_words(vocabulary):

@@ -4,8 +4,10 @@ Merges apply in rank order, so a token may depend on symbols to its right: a mer
 better-ranked one took part of it, and so on. Along such a chain ranks fall strictly, and neighbours overlap
 as strings. `sufficient_lookahead` follows all chains that the merge list allows and returns how many symbols
 to the right can matter. A word is encoded from a window: tokens that end at least that many symbols before
-the window's end are final and are emitted; the rest stays and is refilled. Memory is bounded by the lookahead
-and the longest token, not by the word or the text. A word that fits into the window is merged in one go.
+the window's end are final and are emitted; the rest stays and is refilled. Beyond the text itself, memory is
+bounded by the lookahead, the longest token and a piece of PIECE characters up to the next space, not by the text;
+a run without spaces is held once. A word that fits into the window is merged in one go. Ids are decoded and
+hashed block by block as they come.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 
 from txwatch.llm.text import raw
 
+#: Characters normalised at a time, and ids packed, decoded and hashed at a time.
+PIECE, BLOCK = 1 << 16, 1 << 13
 #: Code points of symbols that end a word lie this much higher.
 _END = 0x10000
 #: Runs without spaces kept with their tokens by each worker.
@@ -124,6 +129,9 @@ class Bpe:
         self.alphabet = byte_alphabet()
         self.table = {b: c for b, c in enumerate(self.alphabet)}
         self.cache: dict[str, list[int]] = {}
+        self.gap = regex.compile("[ \n]")
+        #: A special token with white space in it may stand across a cut, so such texts stay whole.
+        self.whole = any(c.isspace() for name in self.special for c in name)
 
     def normalise(self, text: str) -> str:
         """NFC and lower case, character by character (no final-sigma rule)."""
@@ -191,36 +199,63 @@ class Bpe:
             return [self.ids[t] for t in self._merge([self.alphabet[b] for b in data[:last]] + [closing])]
         return list(self.stream(closing if k == last else self.alphabet[b] for k, b in enumerate(data)))
 
-    def chunk(self, chunk: str) -> list[int]:
+    def chunk(self, chunk: str) -> Iterator[int]:
         """Tokens of a run without spaces; no word of the pattern reaches beyond one."""
         text, words = chunk, self.words
         if not chunk.isascii():
             text = chunk.translate(LATER_LOWER)
             words = self.words_exact if self.newer.search(text) else words
-        ids = [i for word in words.findall(text) for i in self.word(word)]
-        if len(chunk) <= 64:
-            if len(self.cache) >= CACHE_CHUNKS:
-                self.cache.clear()
-            self.cache[chunk] = ids
-        return ids
+        if len(chunk) > 64:
+            for found in words.finditer(text):
+                yield from self.word(found.group())
+            return
+        if len(self.cache) >= CACHE_CHUNKS:
+            self.cache.clear()
+        known = self.cache[chunk] = [i for word in words.findall(text) for i in self.word(word)]
+        yield from known
+
+    def pieces(self, text: str) -> Iterator[str]:
+        """A text in pieces of PIECE characters and up to the next space or line break. Neither composes with a
+        neighbour nor stands inside a word, so pieces are normalised and encoded on their own."""
+        at = 0
+        while at < len(text):
+            found = None if self.whole else self.gap.search(text, at + PIECE)
+            cut = found.start() if found else len(text)
+            yield text[at:cut]
+            at = cut
+
+    def stream_text(self, text: str) -> Iterator[int]:
+        """Ids of a text, as they become final; the strings of special tokens become those tokens."""
+        get, chunk = self.cache.get, self.chunk
+        for piece in self.pieces(text):
+            for part in self.split.split(piece) if self.split else [piece]:
+                if part in self.special:
+                    yield self.special[part]
+                    continue
+                for run in self.normalise(part).replace("\n", " ").split(" "):
+                    if run:
+                        known = get(run)
+                        yield from chunk(run) if known is None else known
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text; the strings of special tokens become those tokens."""
-        ids: list[int] = []
-        get, chunk = self.cache.get, self.chunk
-        for part in self.split.split(text) if self.split else [text]:
-            if part in self.special:
-                ids.append(self.special[part])
-                continue
-            for run in self.normalise(part).replace("\n", " ").split(" "):
-                if run:
-                    known = get(run)
-                    ids += chunk(run) if known is None else known
-        return ids
+        """All ids of a text."""
+        return list(self.stream_text(text))
+
+
+class LibraryDecoder:
+    """Token ids to the library's text, id by id: without a decoder in its file it sets the vocabulary's strings
+    side by side with a space between. The state is whether an id has come before."""
+
+    def __init__(self, bpe: Bpe):
+        self.names, self.lead = bpe.names, ""
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The vocabulary's strings joined by spaces, as the library decodes a file without a decoder."""
-        return " ".join(map(self.names.__getitem__, ids))
+    def feed(self, tokens: Iterable[int]) -> str:
+        """The text that some further ids add."""
+        body = " ".join(map(self.names.__getitem__, tokens))
+        if not body:
+            return ""
+        lead, self.lead = self.lead, " "
+        return lead + body
 
 
 class TextDecoder:
@@ -259,13 +294,20 @@ def _encode(spec: str, keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Itera
         for batch in batches:
             n, ids_hash, text_hash, kept = [], [], [], []
             for data in batch.column("raw"):
-                ids = bpe.encode(data.as_py().decode("utf-8", "replace"))
-                packed = np.asarray(ids, dtype="<u4")
-                n.append(len(ids))
-                ids_hash.append(hashlib.sha256(packed.tobytes()).hexdigest())
-                text_hash.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
+                count, id_sha, text_sha, blocks = 0, hashlib.sha256(), hashlib.sha256(), []
+                decoder, ids = LibraryDecoder(bpe), bpe.stream_text(data.as_py().decode("utf-8", "replace"))
+                while block := list(islice(ids, BLOCK)):
+                    packed = np.asarray(block, dtype="<u4")
+                    count += len(block)
+                    id_sha.update(packed.tobytes())
+                    text_sha.update(decoder.feed(block).encode())
+                    if keep:
+                        blocks.append(packed.astype(np.int32))
+                n.append(count)
+                ids_hash.append(id_sha.hexdigest())
+                text_hash.append(text_sha.hexdigest())
                 if keep:
-                    kept.append(packed.astype(np.int32))
+                    kept.append(np.concatenate(blocks) if blocks else np.empty(0, np.int32))
             columns = [batch.column("key"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
             names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep:
