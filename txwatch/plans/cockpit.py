@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.quantiles import exact_quantiles
+from txwatch.session import materialise
 
 
 def kpi_summary(alerts: DataFrame, as_of: str) -> DataFrame:
@@ -116,7 +117,9 @@ def star_operator_day(fact: DataFrame, operators: DataFrame, days: DataFrame) ->
 
 
 def score_histogram(scores: DataFrame, bins: int = 20) -> DataFrame:
-    """Equal-width bins of score over 0..1, each with the 99th percentile of all scores."""
+    """Equal-width bins of score over 0..1, each with the 99th percentile of all scores. The one column is stored
+    first, as bins and percentile read it several times."""
+    scores = materialise(scores.select("score"), "scores")
     slot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1))
     counts = scores.where(F.col("score").isNotNull()).groupBy(slot.alias("faixa"))
     counts = counts.agg(F.count(F.lit(1)).alias("qtd"))

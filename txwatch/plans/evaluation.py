@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txwatch.functions.quantiles import exact_quantiles
+from txwatch.session import materialise
 
 _FLOOR = 1e-4
 
@@ -15,15 +18,18 @@ def psi_by_period(
 ) -> DataFrame:
     """Population stability index of `value` per period against the rows meeting `baseline`.
 
-    Bins are the baseline's quantile bins; shares are floored at 1e-4 before the logarithm.
+    Bins are the baseline's quantile bins; shares are floored at 1e-4 before the logarithm. Value, period and
+    baseline mark are stored first, as edges and counts read them several times.
     """
     rows = df.where(F.col(value).isNotNull()).select(
         F.col(value).alias("_v"), period.alias("periodo"), baseline.alias("_base")
     )
+    rows = materialise(rows, "psi")
     probs = [i / bins for i in range(1, bins)]
     cuts = exact_quantiles(rows.where("_base"), "_v", probs)
     edges = cuts.agg(F.array_sort(F.collect_list("quantil")).alias("_edges"))
-    slot = F.size(F.filter("_edges", lambda e: e < F.col("_v")))
+    above = [F.when(F.get("_edges", F.lit(k)) < F.col("_v"), 1).otherwise(0) for k in range(len(probs))]
+    slot = reduce(Column.__add__, above, F.lit(0))
     counts = (
         rows.crossJoin(F.broadcast(edges))
         .groupBy("periodo", "_base", slot.alias("_bin"))
