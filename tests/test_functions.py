@@ -76,6 +76,13 @@ def test_exact_quantiles_of_nothing(spark):
     assert exact_quantiles(df, "v", [0.5]).count() == 0
 
 
+def test_exact_quantiles_do_not_test_their_join_keys_by_copies(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "cast(id as double) as v")
+    found = exact_quantiles(df, "v", [i / 10 for i in range(1, 10)], ("k",))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if line.count("isnotnull(") and line.count("_cuts#") > 40]
+
+
 def test_sliced_sums_equal_plain_running_sums(spark):
     rng = np.random.default_rng(5)
     rows = [
