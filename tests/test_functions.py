@@ -99,3 +99,9 @@ def test_sliced_sums_equal_plain_running_sums(spark):
     for width in (1, 60, 10_000):
         sliced = sliced_running_sums(df, "k", "t", ["v"], width)
         assert sliced.select("k", "t", "v").orderBy("k", "t", "v").collect() == plain
+
+
+def test_sliced_sums_sort_no_row_twice(spark):
+    df = spark.createDataFrame([("a", t, 1) for t in range(500)], "k string, t bigint, v bigint")
+    plan = sliced_running_sums(df, "k", "t", ["v"], 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
