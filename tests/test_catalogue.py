@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
+from txwatch.operators import silver
 from txwatch.plans.catalogue import catalogue as queries
 from txwatch.plans.oracle import oracle as oracle_sql
 
@@ -44,5 +45,12 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+def test_model_round_trip_cleans_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(silver, "clean", lambda raw, clean=silver.clean: seen.append(1) or clean(raw))
+    queries()["model_tables_roundtrip"](spark, SAMPLE)
+    assert len(seen) == 1
+
+
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
