@@ -242,3 +242,44 @@ def test_near_duplicates_of_a_wide_group_with_null_ids(spark):
     shown = lambda d: None if d is None or d >= 10**6 else d
     plain = [(shown(d), n, shown(c)) for d, n, c, _ in want]
     assert rows(found, "doc_id", "n_shingles", "component_id") == expected(plain)
+
+
+def _wide(seed, members, spread):
+    """Copies of one text with up to `spread` of its 80 words changed, and texts that share its first third."""
+    import random
+
+    rnd = random.Random(seed)
+    words = [f"w{k}" for k in range(500)]
+    base = [rnd.choice(words) for _ in range(80)]
+    corpus = []
+    for k in range(members):
+        text = list(base)
+        for _ in range(rnd.randint(0, spread)):
+            text[rnd.randrange(80)] = rnd.choice(words)
+        corpus.append((k, " ".join(text[: rnd.randint(70, 80)])))
+    return corpus + [(1000 + k, " ".join(base[:30] + [rnd.choice(words) for _ in range(40)])) for k in range(members // 4)]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+@pytest.mark.parametrize("light", [1, 6, 10**6])
+def test_near_duplicates_by_short_and_long_lists(spark, size, light):
+    corpus = _wide(11, 80, 14) + _wide(12, 30, 3)
+    corpus = [(k, t) for k, (_, t) in enumerate(corpus)]
+    found = near.near_duplicates(spark.createDataFrame(corpus, SCHEMA), shingle=size, light=light)
+    assert rows(found, "doc_id", "n_shingles", "component_id", "kept") == expected(brute.near(corpus, size))
+
+
+def test_far_members_of_a_large_group_make_no_pairs(spark, monkeypatch):
+    """Texts that are similar to their group, but not similar enough, are not compared with each of its members."""
+    probed = []
+    confirmed = near._Search.confirmed
+
+    def counted(self, pairs, *more):
+        probed.append(pairs.count())
+        return confirmed(self, pairs, *more)
+
+    monkeypatch.setattr(near._Search, "confirmed", counted)
+    corpus = _wide(13, 240, 14)
+    found = near.near_duplicates(spark.createDataFrame(corpus, SCHEMA), shingle=2)
+    assert rows(found, "doc_id", "n_shingles", "component_id", "kept") == expected(brute.near(corpus, 2))
+    assert sum(probed) < 4000, probed
