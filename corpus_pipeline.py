@@ -27,9 +27,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five words, 0.8): that with the smallest doc_id."""
     rows = _numbered(docs)
     found = near.near_duplicates(rows.select(F.col("_pipeline_row").alias("doc_id"), "text"))
-    grouped = found.select(F.col("doc_id").alias("_pipeline_row"), "component_id").join(rows.select("_pipeline_row", "doc_id"), "_pipeline_row")
+    grouped = found.select(F.col("doc_id").alias("_pipeline_row"), "component_id").join(rows.select("_pipeline_row", "doc_id").hint("merge"), "_pipeline_row")
     keepers = grouped.groupBy("component_id").agg(F.min(F.struct("doc_id", "_pipeline_row")).alias("k")).select("k._pipeline_row")
-    return rows.join(keepers, "_pipeline_row", "left_semi").select(*docs.columns)
+    return rows.join(keepers.hint("merge"), "_pipeline_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         rows.select(F.col("_pipeline_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
     )
     hit = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("_pipeline_row"))
-    return rows.join(hit, "_pipeline_row", "left_anti").select(*docs.columns)
+    return rows.join(hit.hint("merge"), "_pipeline_row", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -13,7 +14,8 @@ import fixtures
 import pytest
 from tokenizers import Tokenizer
 
-from txwatch.llm import registry, weak_rules
+from txwatch.llm import decontaminate, graph, near, registry, secrets, weak_rules
+from txwatch.session import materialise
 
 SAMPLE = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -141,3 +143,36 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_dedup", "decontamination", "secret_scan", "tokenise"
     ]
+
+
+def test_no_table_that_grows_with_the_documents_is_broadcast(spark, tmp_path, monkeypatch):
+    docs = [(d, t, "en", f"s{d % 5}", len(t or "")) for d, t in fixtures.documents()]
+    write(spark, str(tmp_path), docs, fixtures.ITEMS)
+    plans = []
+
+    def note(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return materialise(df, name)
+
+    for module in (corpus_pipeline, decontaminate, graph, near, secrets):
+        monkeypatch.setattr(module, "materialise", note)
+    light = near.near_duplicates
+    monkeypatch.setattr(near, "near_duplicates", lambda rows: light(rows, light=2))  # lists beyond it are dealt out too
+    corpus_pipeline.run(spark, str(tmp_path))
+    assert {"near-prefixes", "near-alive", "near-links", "pipeline-near_dedup", "pipeline-secret_scan", "pointers"} <= {name for name, _ in plans}
+    sent = {(name, keys) for name, plan in plans for keys in re.findall(r"BroadcastHashJoin \[([^]]*\]?)\]", plan)}
+    # What may be: texts wanted, stored with their checksums and read whole, and the benchmark's chosen windows.
+    assert {name for name, _ in sent} <= {"near-texts", "pipeline-decontamination"}
+    assert all(re.fullmatch(r"token#\d+L", keys) for name, keys in sent if name == "pipeline-decontamination")
+
+
+def test_a_table_of_exploded_signatures_is_not_broadcast(spark):
+    rnd = random.Random(3)
+    n = 15_000
+    rows = [(k, " ".join(str(rnd.randrange(10**6)) for _ in range(8))) for k in range(n)]
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "40m")  # its 32 x n posts take more, its file less than 10 MB
+    try:
+        found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert found.where("kept").count() == n
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")

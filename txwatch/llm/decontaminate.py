@@ -144,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     rarest = Window.partitionBy("window").orderBy("seen", "token", "offset")
     anchors = materialise(
         windows.select("window", "n", "token", "offset").distinct()
-        .join(rarity, "token")  # a shingle that no document has cannot be contained
+        .join(rarity.hint("merge"), "token")  # a shingle that no document has cannot be contained
         .withColumn("nth", F.row_number().over(rarest))
         .where("nth = 1")
         .drop("nth", "seen"),
@@ -170,8 +170,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     exact = bounded.where(
         F.concat_ws(" ", F.expr("slice(split(around, ' '), lead - offset + 1, n)")) == F.col("window")
     ).select("row", (F.col("pos") - F.col("offset")).alias("start"), "n", "window")
+    # Stored, so that the join can split the places of a window found everywhere.
+    holders = materialise(windows.select("window", "item_id").distinct(), "benchmark-holders")
     per_row = (
-        exact.join(windows.select("window", "item_id").distinct(), "window")
+        exact.join(holders.hint("merge"), "window")
         .groupBy("row")
         .agg(
             F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("hits"),
@@ -179,7 +181,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         )
     )
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return found.select("key.*", "n_words").join(per_row, "row", "left").select(
+    return found.select("key.*", "n_words").join(per_row.hint("merge"), "row", "left").select(
         "doc_id", "n_words", F.coalesce("hits", none).alias("hits"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )

@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round points every node at its smallest neighbour, follows pointers twice, and contracts the edges;
     at least halves the nodes that still have edges. All steps are combinable aggregates and joins whose
-    right side has one row per node, so a hub is no hot group. Rounds are cut by written tables.
+    right side has one row per node, so a hub is no hot group, and that side grows with the graph, so it is merged and
+    never broadcast. Rounds are cut by written tables.
     """
     edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     labels: DataFrame | None = None
@@ -25,18 +26,21 @@ def components(edges: DataFrame) -> DataFrame:
         )
         for _ in range(2):
             above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            parent = parent.join(above, "up").select("node", F.col("top").alias("up"))
+            parent = parent.join(above.hint("merge"), "up").select("node", F.col("top").alias("up"))
         parent = materialise(parent, "pointers")
         if labels is None:
             labels = parent.select("node", F.col("up").alias("component"))
         else:
             moved = parent.withColumnRenamed("node", "component")
             labels = materialise(
-                labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component")),
+                labels.join(moved.hint("merge"), "component", "left").select("node", F.coalesce("up", "component").alias("component")),
                 "labels",
             )
-        ends = edges.join(parent.select(F.col("node").alias("a"), F.col("up").alias("ra")), "a")
-        ends = ends.join(parent.select(F.col("node").alias("b"), F.col("up").alias("rb")), "b").where("ra <> rb")
+        ends = edges
+        for side in ("a", "b"):
+            root = parent.select(F.col("node").alias(side), F.col("up").alias(f"r{side}"))
+            ends = ends.join(root.hint("merge"), side)
+        ends = ends.where("ra <> rb")
         edges = materialise(
             ends.select(F.greatest("ra", "rb").alias("a"), F.least("ra", "rb").alias("b")).distinct(), "edges"
         )

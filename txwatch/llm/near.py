@@ -141,7 +141,7 @@ class _Search:
         )
         classes = summaries.where("n > 0").groupBy("digest").agg(F.min("row").alias("cls"))
         self.members = materialise(
-            summaries.join(classes, "digest", "left").withColumn("cls", F.coalesce("cls", "row")), "near-members"
+            summaries.join(classes.hint("merge"), "digest", "left").withColumn("cls", F.coalesce("cls", "row")), "near-members"
         )
         self.classes = self.members.where("row = cls and n > 0")
 
@@ -150,7 +150,7 @@ class _Search:
         posts = self.classes.select("cls", "n", F.explode("posts").alias("token"))
         shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
         ranked = (
-            posts.join(shared, "token")
+            posts.join(shared.hint("merge"), "token")
             .groupBy("cls", "n")
             .agg(F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("found"))  # at most COORDINATES
             .where(F.size("found") >= self.matches)
@@ -163,7 +163,7 @@ class _Search:
 
     def own_texts(self, wanted: DataFrame) -> DataFrame:
         """(cls, text) of the wanted classes: the text of each is fetched once, by id and checksum."""
-        about = materialise(self.classes.join(wanted.distinct(), "cls", "left_semi").select("cls", "doc_id", "t"), "near-wanted")
+        about = materialise(self.classes.join(wanted.distinct().hint("merge"), "cls", "left_semi").select("cls", "doc_id", "t"), "near-wanted")
         own = self.texts.select(F.col("doc_id").alias("own"), F.unhex(F.md5("text")).alias("own_t"), "text")
         fetched = own.join(about, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("own_t")))
         return materialise(fetched.select("cls", "text").dropDuplicates(["cls"]), "near-texts")
@@ -172,7 +172,8 @@ class _Search:
         """Of (a, b) class pairs those whose signatures agree often enough and whose sets are similar enough."""
         about = self.classes.select("cls", "posts")
         for side in ("a", "b"):
-            pairs = pairs.join(about.select(F.col("cls").alias(side), F.col("posts").alias(f"posts_{side}")), side)
+            own = about.select(F.col("cls").alias(side), F.col("posts").alias(f"posts_{side}"))
+            pairs = pairs.join(own.hint("merge"), side)
         agree = pairs.where(F.size(F.array_intersect("posts_a", "posts_b")) >= self.matches)
         rows = materialise(agree.select("a", "b"), "near-candidates")
         if texts is None:
@@ -188,7 +189,7 @@ class _Search:
         banded = lists.select("token", "cls", "n", "weight", band)
         pivots = banded.groupBy("token", "band").agg(F.max(F.struct("weight", "cls", "n")).alias("p"))
         return (
-            banded.join(pivots, ["token", "band"])
+            banded.join(pivots.hint("merge"), ["token", "band"])
             .select(F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("cls").alias("b"), F.col("n").alias("n_b"))
             .where((F.col("a") != F.col("b")) & _close(self.percent))
             .select("a", "b")
@@ -200,10 +201,10 @@ class _Search:
         their rarest shared shingles and each size step of a partner that they can have from there on, where `left`
         shared shingles remain. Only posts whose key holds both sides of a pair of components are returned."""
         sets = materialise(texts.mapInArrow(_sets(self.size), "cls long, set array<long>"), "near-sets")
-        rows = members.join(sets, "cls").select("cls", "n", "component", F.explode("set").alias("token"))
+        rows = members.join(sets.hint("merge"), "cls").select("cls", "n", "component", F.explode("set").alias("token"))
         seen = rows.groupBy("token").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1")
         # What nobody shares comes first in the order by rarity and uses up places.
-        found = rows.join(seen, "token").groupBy("cls", "n", "component").agg(
+        found = rows.join(seen.hint("merge"), "token").groupBy("cls", "n", "component").agg(
             F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("found")  # one document's shingles
         )
         least = F.ceil(F.col("n") * self.percent / 100)  # shingles of the smallest partner, all of them shared
@@ -226,14 +227,14 @@ class _Search:
         alive = dealt.groupBy(key).agg(
             F.min("own").alias("first"), F.max("own").alias("last"), F.min("component").alias("one"), F.max("component").alias("two")
         ).where("first = low and last = high and one < two")
-        return materialise(dealt.join(alive.select(key), key), "near-alive")
+        return materialise(dealt.join(alive.select(key).hint("merge"), key), "near-alive")
 
     def _meeting(self, left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs (a, b) of posts that name each other's size step, of different components and with enough left."""
         about = ("cls", "n", "left", "component")
         a = left.select("token", "own", "other", *[F.col(c).alias(f"{c}_a") for c in about])
         b = right.select("token", F.col("own").alias("other"), F.col("other").alias("own"), *[F.col(c).alias(f"{c}_b") for c in about])
-        pairs = a.join(b, ["token", "own", "other"]).where(
+        pairs = a.join(b.hint("merge"), ["token", "own", "other"]).where(
             (F.col("component_a") != F.col("component_b")) & _close(self.percent) & _enough(self.percent)
         )
         return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
@@ -248,14 +249,14 @@ class _Search:
         key = ["token", "low", "high"]
         counts = posts.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("rows"))
         main = counts.groupBy(key).agg(F.max(F.struct("rows", "component")).alias("m")).select(*key, F.col("m.component").alias("main"))
-        return self._meeting(posts.join(main, key).where("component <> main"), posts)
+        return self._meeting(posts.join(main.hint("merge"), key).where("component <> main"), posts)
 
     def links(self) -> DataFrame:
         """(node, component) over classes that have a partner."""
 
         def placed(rows: DataFrame) -> DataFrame:
             labels = components(edges).withColumnRenamed("node", "cls")
-            return rows.drop("component").join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+            return rows.drop("component").join(labels.hint("merge"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
 
         lists = self.prefixes()
         edges = self.confirmed(self.star(lists))
@@ -264,11 +265,11 @@ class _Search:
         mixed = grouped.groupBy("token").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
         ).where("low < high")
-        open_lists = materialise(grouped.join(mixed.select("token", "members"), "token"), "near-open")
+        open_lists = materialise(grouped.join(mixed.select("token", "members").hint("merge"), "token"), "near-open")
         short = open_lists.where(F.col("members") <= self.light)
         sides = [short.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "component")]) for s in "ab"]
         across = (
-            sides[0].join(sides[1], "token")
+            sides[0].join(sides[1].hint("merge"), "token")
             .where("cls_a < cls_b and component_a <> component_b")
             .where(_close(self.percent))
             .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
@@ -295,12 +296,13 @@ def near_duplicates(
     """
     search = _Search(docs, shingle, percent, matches, light)
     labels = search.links()
-    placed = search.members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
+    placed = search.members.join(labels.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").select(
         "row", "doc_id", "n", F.coalesce("component", "cls").alias("component")
     )
     placed = materialise(placed, "near-placed")
-    lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(lowest, "component").select(
+    # Stored, so that the join can split the rows of a large component.
+    lowest = materialise(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-lowest")
+    return placed.join(lowest.hint("merge"), "component").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )

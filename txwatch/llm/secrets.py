@@ -104,10 +104,12 @@ def find_secrets(
     holders = placed.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     by_owner = holders.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
     frequency = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
+    # Stored, so that the join can split the places of a value held everywhere.
+    frequency = materialise(frequency, "secret-frequency")
     rank = F.lit(len(KINDS))
     for k, kind in enumerate(KINDS):
         rank = F.when(F.col("kind") == kind, k).otherwise(rank)
-    judged = placed.join(frequency, "hash").withColumn(
+    judged = placed.join(frequency.hint("merge"), "hash").withColumn(
         "live", F.col("candidate") & (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     ).where(F.col("kind").isin(*BASE) | F.col("live"))
     per_row = judged.groupBy("_secret_row").agg(
@@ -115,7 +117,7 @@ def find_secrets(
     )
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value_start:bigint,live:boolean,owners:bigint,repositories:bigint>>")
     return (
-        base.drop("_secret_found", "spans").join(per_row, "_secret_row", "left").withColumn("spans", F.coalesce("spans", none)).drop("_secret_row")
+        base.drop("_secret_found", "spans").join(per_row.hint("merge"), "_secret_row", "left").withColumn("spans", F.coalesce("spans", none)).drop("_secret_row")
     )
 
 
