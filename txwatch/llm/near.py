@@ -165,7 +165,7 @@ class _Search:
         """(cls, text) of the wanted classes: the text of each is fetched once, by id and checksum."""
         about = materialise(self.classes.join(wanted.distinct().hint("merge"), "cls", "left_semi").select("cls", "doc_id", "t"), "near-wanted")
         own = self.texts.select(F.col("doc_id").alias("own"), F.unhex(F.md5("text")).alias("own_t"), "text")
-        fetched = own.join(about, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("own_t")))
+        fetched = own.join(about.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("t") == F.col("own_t")))
         return materialise(fetched.select("cls", "text").dropDuplicates(["cls"]), "near-texts")
 
     def confirmed(self, pairs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
